@@ -1,0 +1,8 @@
+"""The record shapes the library reads and writes."""
+
+EVENT = "seq bigint, user_id string, action string, ts timestamp"
+USER_COUNT = "user_id string, n bigint, window_start timestamp, window_end timestamp"
+BOOK = "bid string, title string, writer string, gender string"
+ORDER_EVENT = "order_id string, channel string, ts timestamp"
+KAFKA_RECORD = ("key binary, value binary, topic string, partition int, offset bigint, "
+                "timestamp timestamp, timestampType int")
