@@ -7,11 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlab.operators.running import ROWS_PER_BUCKET, running
+from eventlab.operators.running import BUCKET, running
 from eventlab.times import floor_div
 
-# Elements one level of `reduce_in_order` folds in one task.
-FOLD = 1 << 20
+# Values of a key that `reduce_in_order` gathers in one task.
+FOLD = 1 << 16
 
 
 def _others(df: DataFrame, *taken: str) -> list[str]:
@@ -29,7 +29,7 @@ def group_sum(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def rolling_sum(
-    df: DataFrame, keys: Sequence[str], seq: str, value: str, *, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, keys: Sequence[str], seq: str, value: str, *, bucket: int = BUCKET
 ) -> DataFrame:
     """The change log of a keyed sum: for each row the total so far.
 
@@ -39,7 +39,7 @@ def rolling_sum(
     out = running(df.select(*keys, seq, *others, value), keys, seq, {
         "_sum": ("sum", F.col(value)),
         "_first": ("min", F.struct(seq, *others)),
-    }, rows_per_bucket=rows_per_bucket)
+    }, bucket=bucket)
     return out.select(seq, *keys, *[F.col(f"_first.{c}").alias(c) for c in others], F.col("_sum").alias(value))
 
 
@@ -51,13 +51,13 @@ def arg_max(df: DataFrame, column: str, seq: str, keys: Sequence[str] = ()) -> D
 
 
 def rolling_arg_max(
-    df: DataFrame, column: str, seq: str, keys: Sequence[str] = (), *, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, column: str, seq: str, keys: Sequence[str] = (), *, bucket: int = BUCKET
 ) -> DataFrame:
     """For each row the best row so far, as in :func:`arg_max`; its own ``seq`` becomes ``best_seq``."""
     others = _others(df, *keys, seq, column)
     best = F.struct(F.col(column).alias("top"), (-F.col(seq)).alias("minus_seq"), *others)
     out = running(df.select(*keys, seq, column, *others), keys, seq, {"_best": ("max", best)},
-                  rows_per_bucket=rows_per_bucket)
+                  bucket=bucket)
     return out.select(seq, *keys, F.col("_best.top").alias(column), (-F.col("_best.minus_seq")).alias("best_seq"),
                       *[F.col(f"_best.{c}").alias(c) for c in others])
 
@@ -71,14 +71,14 @@ def max_keep_first(df: DataFrame, column: str, seq: str, keys: Sequence[str] = (
 
 
 def rolling_max(
-    df: DataFrame, column: str, seq: str, keys: Sequence[str] = (), *, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, column: str, seq: str, keys: Sequence[str] = (), *, bucket: int = BUCKET
 ) -> DataFrame:
     """For each row the largest ``column`` so far and the other columns of the first row."""
     others = _others(df, *keys, seq, column)
     out = running(df.select(*keys, seq, column, *others), keys, seq, {
         "_top": ("max", F.col(column)),
         "_first": ("min", F.struct(seq, *others)),
-    }, rows_per_bucket=rows_per_bucket)
+    }, bucket=bucket)
     return out.select(seq, *keys, F.col("_top").alias(column), *[F.col(f"_first.{c}").alias(c) for c in others])
 
 
@@ -95,12 +95,11 @@ def reduce_in_order(
     """Combine the values of each key in ``seq`` order with an associative ``merge``.
 
     ``seq`` is a unique whole number.  Rows fold in levels: first each run of ``fold``
-    consecutive numbers, then each run of that many partial results, then the rest.  No
-    task holds more than ``fold`` values of a key at once while ``seq`` is below
-    ``fold ** 3``.
+    consecutive numbers, then twice each run of that many partial results, then the rest.
+    No task gathers more than ``fold`` values of a key while ``seq`` is below ``fold ** 4``.
     """
     level = df.select(*keys, F.col(seq).cast("bigint").alias("_at"), value.alias("_value"))
-    for unit in (True, True, False):
+    for unit in (True, True, True, False):
         at = floor_div(F.col("_at"), fold) if unit else F.lit(0).cast("bigint")
         ordered = F.array_sort(F.collect_list(F.struct("_at", "_value")))
         level = (level.groupBy(*keys, at.alias("_unit")).agg(ordered.alias("_run"))

@@ -12,15 +12,15 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlab.operators.running import ROWS_PER_BUCKET, running
+from eventlab.operators.running import BUCKET, running
 from eventlab.times import MILLISECOND, NONE
 
 
 def watermark_trace(
-    df: DataFrame, ts: str, seq: str, delay: timedelta = NONE, *, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, ts: str, seq: str, delay: timedelta = NONE, *, bucket: int = BUCKET
 ) -> DataFrame:
     """Add ``watermark``: the one in force when the row arrives.  No delay means ascending times."""
-    out = running(df, [], seq, {"_newest": ("max", F.col(ts))}, inclusive=False, rows_per_bucket=rows_per_bucket)
+    out = running(df, [], seq, {"_newest": ("max", F.col(ts))}, inclusive=False, bucket=bucket)
     return out.withColumn("watermark", F.col("_newest") - F.lit(delay + MILLISECOND)).drop("_newest")
 
 
@@ -31,7 +31,7 @@ def union_watermark(
     source: str,
     delays: Mapping[str, timedelta],
     *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Add ``watermark`` for a union of sources: that of the slowest one.
 
@@ -40,7 +40,7 @@ def union_watermark(
     """
     names = {s: f"_newest_{i}" for i, s in enumerate(delays)}
     out = running(df, [], seq, {name: ("max", F.when(F.col(source) == s, F.col(ts))) for s, name in names.items()},
-                  inclusive=False, rows_per_bucket=rows_per_bucket)
+                  inclusive=False, bucket=bucket)
     each = [F.col(names[s]) - F.lit(delay + MILLISECOND) for s, delay in delays.items()]
     known = F.lit(True)
     for mark in each:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlab.operators.aggregates import visits
-from eventlab.operators.running import ROWS_PER_BUCKET, running
+from eventlab.operators.running import BUCKET, running
 from eventlab.operators.windows import window_counts
 from eventlab.session import checkpoint_dir
 from eventlab.times import NONE, Windows
@@ -47,38 +47,49 @@ class LatePolicy:
     lateness: timedelta = NONE
 
 
-def window_limits(
-    df: DataFrame, ts: str, seq: str, policy: LatePolicy, *, windows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """``(window_at, fire_seq, close_seq)`` for each window that holds a row.
+def limit_points(df: DataFrame, ts: str, seq: str, policy: LatePolicy) -> DataFrame:
+    """``(window_at, fire, close, held)``: which windows the rows fall in, fire and close.
 
-    ``window_at`` is the window's number on the grid.
+    ``window_at`` is a window's number on the grid.  ``fire`` and ``close`` are the first
+    rows for which this is the newest window that fires or closes; every older window then
+    has, too.  Two such tables merge by the same aggregates.
     """
-    grid, at = policy.windows, F.col(ts)
-    # Each row can settle the windows that end (plus delay) at or before its time; those
-    # before the newest of them follow from the running minimum.
-    settles = policy.delay + grid.size
-    newest, oldest = grid.index(at), grid.index(at, grid.size) + 1
-    no_seq, this_seq = F.lit(None).cast("bigint"), F.col(seq).cast("bigint")
-    points = df.select(F.explode(F.concat(
-        F.transform(F.sequence(oldest, newest), lambda w: F.struct(
-            w.alias("window_at"), no_seq.alias("fire_seq"), no_seq.alias("close_seq"), F.lit(True).alias("held"))),
-        F.array(
-            F.struct(grid.index(at, settles).alias("window_at"), this_seq.alias("fire_seq"),
-                     no_seq.alias("close_seq"), F.lit(False).alias("held")),
-            F.struct(grid.index(at, settles + policy.lateness).alias("window_at"), no_seq.alias("fire_seq"),
-                     this_seq.alias("close_seq"), F.lit(False).alias("held")),
-        ))).alias("p")).select("p.*")
-    grouped = points.groupBy("window_at").agg(
-        F.min("fire_seq").alias("fire"), F.min("close_seq").alias("close"), F.max("held").alias("held"))
-    newest_first = grouped.withColumn("_back", -F.col("window_at"))
+    grid, at, this = policy.windows, F.col(ts), F.col(seq).cast("bigint")
+    none, due = F.lit(None).cast("bigint"), policy.delay + policy.windows.size
+
+    def point(window_at, fire, close, held):
+        return F.struct(window_at.alias("window_at"), fire.alias("fire"), close.alias("close"),
+                        F.lit(held).alias("held"))
+
+    held = F.transform(F.sequence(grid.index(at, grid.size) + 1, grid.index(at)),
+                       lambda w: point(w, none, none, True))
+    points = F.concat(held, F.array(point(grid.index(at, due), this, none, False),
+                                    point(grid.index(at, due + policy.lateness), none, this, False)))
+    return merge_points(df.select(F.explode(points).alias("p")).select("p.*"))
+
+
+def merge_points(points: DataFrame) -> DataFrame:
+    return points.groupBy("window_at").agg(
+        F.min("fire").alias("fire"), F.min("close").alias("close"), F.max("held").alias("held"))
+
+
+def limits_of(points: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
+    """``(window_at, fire_seq, close_seq)`` of each window that holds a row.
+
+    A window fires and closes with the earliest row that makes it or a newer one do so.
+    """
+    newest_first = points.withColumn("_back", -F.col("window_at"))
     return (running(newest_first, [], "_back",
-                    {"fire_seq": ("min", F.col("fire")), "close_seq": ("min", F.col("close"))},
-                    rows_per_bucket=windows_per_bucket)
+                    {"fire_seq": ("min", F.col("fire")), "close_seq": ("min", F.col("close"))}, bucket=bucket)
             .filter("held").select("window_at", "fire_seq", "close_seq"))
 
 
-def _with_limits(
+def window_limits(df: DataFrame, ts: str, seq: str, policy: LatePolicy, *, bucket: int = BUCKET) -> DataFrame:
+    """``(window_at, fire_seq, close_seq)`` of each window of a whole table."""
+    return limits_of(limit_points(df, ts, seq, policy), bucket=bucket)
+
+
+def with_limits(
     rows: DataFrame, limits: DataFrame, seq: str, broadcast_windows: int, salts: int
 ) -> DataFrame:
     """Join rows to their window's limits on ``window_at``.
@@ -110,7 +121,7 @@ def late_rows(
     Windows close in the order of their ends, so the row's newest window decides.
     """
     rows = df.withColumn("window_at", policy.windows.index(F.col(ts)))
-    joined = _with_limits(rows, window_limits(df, ts, seq, policy), seq, broadcast_windows, salts)
+    joined = with_limits(rows, window_limits(df, ts, seq, policy), seq, broadcast_windows, salts)
     return joined.filter(F.col(seq) > F.col("close_seq")).select(*df.columns)
 
 
@@ -125,7 +136,7 @@ def accepted_rows(
 ) -> DataFrame:
     """Each row once per window that takes it, with ``window_start``, ``window_end`` and ``fire_seq``."""
     rows = policy.windows.assign(df, ts).withColumn("window_at", policy.windows.index(F.col("window_start")))
-    joined = _with_limits(rows, window_limits(df, ts, seq, policy), seq, broadcast_windows, salts)
+    joined = with_limits(rows, window_limits(df, ts, seq, policy), seq, broadcast_windows, salts)
     taken = joined.filter(F.col("close_seq").isNull() | (F.col(seq) <= F.col("close_seq")))
     return taken.select(*df.columns, "window_start", "window_end", "fire_seq")
 
@@ -137,7 +148,7 @@ def firings(
     user: str,
     policy: LatePolicy,
     *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
     broadcast_windows: int = BROADCAST_WINDOWS,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -159,7 +170,7 @@ def firings(
     changes = (users.unionByName(after).groupBy(*window, "at_seq")
                .agg(F.sum("pv").alias("more_pv"), F.sum("uv").alias("more_uv")))
     totals = running(changes, window, "at_seq", {"pv": ("sum", F.col("more_pv")), "uv": ("sum", F.col("more_uv"))},
-                     rows_per_bucket=rows_per_bucket)
+                     bucket=bucket)
     return totals.select(
         "window_start", "window_end", F.when(F.col("at_seq") < END, F.col("at_seq")).alias("at_seq"),
         (F.col("at_seq") > F.col("_fire")).alias("refired"), "pv", "uv")

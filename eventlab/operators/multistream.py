@@ -8,8 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlab.operators.windows import window_aggregate
-from eventlab.times import Windows
+from eventlab.times import Windows, flatten
 
 
 def union_all(first: DataFrame, *more: DataFrame) -> DataFrame:
@@ -67,6 +66,7 @@ def window_join(
     Each side is reduced to one row per key and window first, so the work stays in
     proportion to the input however many rows share a key and window.
     """
-    on = [*keys, "window_start", "window_end"]
-    return window_aggregate(left, ts, windows, left_measures, keys).join(
-        window_aggregate(right, ts, windows, right_measures, keys), on)
+    # Joined on the grouping columns themselves: both sides already lie where the join needs them.
+    left, right = (df.groupBy(*keys, windows.of(ts)).agg(*measures)
+                   for df, measures in ((left, left_measures), (right, right_measures)))
+    return flatten(left.join(right, [*keys, "window"]))

@@ -1,23 +1,27 @@
 """Running aggregates in arrival order that no hot key can pin to one task.
 
 A plain ``sum(...) OVER (PARTITION BY key ORDER BY seq)`` sorts all rows of a key in
-one task.  Here every key is cut into buckets of ``rows_per_bucket`` consecutive
-``seq`` numbers.  Each bucket is aggregated first (partial aggregation, no sort), the
-small bucket table is accumulated per key, and what went before a bucket enters it as
-one extra leading row.  The full table is then shuffled once, by key and bucket, and a
-task never sorts more than one bucket per group.
+one task.  Here every key is cut into buckets of consecutive ``seq`` numbers.  Each
+bucket is aggregated first (partial aggregation, no sort), the small bucket table is
+accumulated per key in the same way, and what went before a bucket enters it as one
+extra leading row.  The full table is shuffled once, by key and bucket, and no task
+sorts more than one bucket of a key at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlab.times import floor_div
 
-ROWS_PER_BUCKET = 1 << 18
+# `seq` numbers per bucket, hence the most rows of a key that one task sorts.
+BUCKET = 1 << 18
+# Bucket tables that are themselves cut into buckets; BUCKET ** (LEVELS + 1) numbers
+# leave at most BUCKET rows per key for the last, unbucketed, accumulation.
+LEVELS = 2
 
 # Aggregates that can be merged with themselves: a partial result is again an input.
 MERGEABLE = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -29,30 +33,50 @@ def running(
     seq: str,
     totals: Mapping[str, tuple[str, Column]],
     *,
-    lead: Sequence[str] = (),
+    lead: str | None = None,
     inclusive: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Add one running total per entry of ``totals`` to every row.
 
     ``totals`` maps an output name to ``("sum" | "max" | "min", input column)``.  Rows
-    are taken per ``keys`` in the order of ``lead`` and then ``seq``, a whole number that
-    is unique within the keys.  ``inclusive=False`` leaves the row itself out.
+    are taken per ``keys`` in the order of ``lead``, if given, and then ``seq``; both are
+    whole numbers, and together they are unique within the keys.  ``inclusive=False``
+    leaves the row itself out.
     """
-    merge = {name: MERGEABLE[how] for name, (how, _) in totals.items()}
+    merges = {name: MERGEABLE[how] for name, (how, _) in totals.items()}
     inputs = {f"_in_{name}": column for name, (_, column) in totals.items()}
-    unit = [*keys, *lead, "_bucket"]
-    rows = df.withColumns({**inputs, "_bucket": floor_div(F.col(seq), rows_per_bucket), "_is_row": F.lit(1)})
+    unit = [*([lead] if lead else []), "_bucket"]
+    rows = df.withColumns({**inputs, "_bucket": floor_div(F.col(seq), bucket)})
+    out = _accumulate(rows, keys, unit, [seq], merges, inclusive, bucket, LEVELS)
+    return out.select(*df.columns, *[F.col(f"_out_{n}").alias(n) for n in totals])
 
-    buckets = rows.groupBy(*unit).agg(*[merge[n](f"_in_{n}").alias(f"_in_{n}") for n in totals])
-    earlier = Window.partitionBy(*keys).orderBy(*lead, "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = buckets.select(
-        *unit, *[merge[n](f"_in_{n}").over(earlier).alias(f"_in_{n}") for n in totals], F.lit(0).alias("_is_row"))
 
-    upto = (Window.partitionBy(*unit).orderBy("_is_row", seq)
+def _accumulate(
+    rows: DataFrame,
+    keys: Sequence[str],
+    unit: Sequence[str],
+    order: Sequence[str],
+    merges: Mapping[str, Callable[[str], Column]],
+    inclusive: bool,
+    bucket: int,
+    levels: int,
+) -> DataFrame:
+    """Running ``_out_*`` from ``_in_*``, per ``keys`` in the order of ``unit`` and then ``order``."""
+    group = [*keys, *unit]
+    units = rows.groupBy(*group).agg(*[merge(f"_in_{n}").alias(f"_in_{n}") for n, merge in merges.items()])
+    if levels > 1:
+        above = f"_level_{levels}"
+        units = units.withColumn(above, floor_div(F.col(unit[0]), bucket))
+        before = _accumulate(units, keys, [above], unit, merges, False, bucket, levels - 1)
+    else:
+        earlier = Window.partitionBy(*keys).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
+        before = units.withColumns({f"_out_{n}": merge(f"_in_{n}").over(earlier) for n, merge in merges.items()})
+    carried = before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges], F.lit(0).alias("_is_row"))
+    upto = (Window.partitionBy(*group).orderBy("_is_row", *order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
-    return (rows.unionByName(carried, allowMissingColumns=True)
-            .select(*df.columns, "_is_row", *[merge[n](f"_in_{n}").over(upto).alias(n) for n in totals])
+    return (rows.withColumn("_is_row", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+            .withColumns({f"_out_{n}": merge(f"_in_{n}").over(upto) for n, merge in merges.items()})
             .filter("_is_row = 1").drop("_is_row"))
 
 
@@ -62,12 +86,12 @@ def numbered(
     seq: str,
     name: str = "position",
     *,
-    lead: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    lead: str | None = None,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Add the 1-based position of every row within its key."""
     return running(df, keys, seq, {name: ("sum", F.lit(1).cast("bigint"))},
-                   lead=lead, rows_per_bucket=rows_per_bucket)
+                   lead=lead, bucket=bucket)
 
 
 def chunked(
@@ -76,8 +100,8 @@ def chunked(
     seq: str,
     size: int,
     *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Add ``chunk``: 0 for the first ``size`` rows of a key, 1 for the next, and so on."""
-    placed = numbered(df, keys, seq, "_position", rows_per_bucket=rows_per_bucket)
+    placed = numbered(df, keys, seq, "_position", bucket=bucket)
     return placed.withColumn("chunk", floor_div(F.col("_position") - 1, size)).drop("_position")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlab.operators.aggregates import visits
-from eventlab.operators.running import ROWS_PER_BUCKET, chunked, numbered
+from eventlab.operators.running import BUCKET, chunked, numbered
 from eventlab.times import Windows, flatten
 
 
@@ -45,11 +45,11 @@ def window_contents(
     windows: Windows,
     keys: Sequence[str] = (),
     *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """All rows of each window in arrival order, as rows numbered by ``position``."""
     return numbered(windows.assign(df, ts), [*keys, "window_start", "window_end"], seq,
-                    rows_per_bucket=rows_per_bucket)
+                    bucket=bucket)
 
 
 def window_concat(
@@ -62,7 +62,7 @@ def window_concat(
     *,
     separator: str = " ",
     rows_per_part: int = 10_000,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Join ``column`` in arrival order per key and window; ``ts`` is the first row's.
 
@@ -71,7 +71,7 @@ def window_concat(
     """
     group = [*keys, "window_start", "window_end"]
     parts = chunked(windows.assign(df.select(*dict.fromkeys([*keys, ts, seq, column])), ts), group, seq, rows_per_part,
-                    rows_per_bucket=rows_per_bucket).withColumnRenamed("chunk", "part")
+                    bucket=bucket).withColumnRenamed("chunk", "part")
     in_order = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("at"), F.col(column).alias("item"))))
     return (parts.groupBy(*group, "part")
             .agg(F.min_by(ts, seq).alias(ts), F.count(F.lit(1)).alias("n"), in_order.alias("_items"))
@@ -85,20 +85,20 @@ def chunk_summary(
     size: int,
     *,
     complete_only: bool = False,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Batches of ``size`` rows per key in arrival order: their number, rows and ends.
 
     ``complete_only`` gives count windows, where an unfinished group is never emitted.
     """
-    out = (chunked(df.select(*keys, seq), keys, seq, size, rows_per_bucket=rows_per_bucket)
+    out = (chunked(df.select(*keys, seq), keys, seq, size, bucket=bucket)
            .groupBy(*keys, "chunk")
            .agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq")))
     return out.filter(F.col("n") == size) if complete_only else out
 
 
 def count_windows(
-    df: DataFrame, keys: Sequence[str], seq: str, size: int, *, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, keys: Sequence[str], seq: str, size: int, *, bucket: int = BUCKET
 ) -> DataFrame:
     """Windows of exactly ``size`` rows per key."""
-    return chunk_summary(df, keys, seq, size, complete_only=True, rows_per_bucket=rows_per_bucket)
+    return chunk_summary(df, keys, seq, size, complete_only=True, bucket=bucket)
