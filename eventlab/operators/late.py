@@ -73,33 +73,44 @@ def merge_points(points: DataFrame) -> DataFrame:
         F.min("fire").alias("fire"), F.min("close").alias("close"), F.max("held").alias("held"))
 
 
-def limits_of(points: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
-    """``(window_at, fire_seq, close_seq)`` of each window that holds a row.
+def settle(points: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
+    """Points with ``fire_seq`` and ``close_seq``, and ``closed_at``, the newest closed window.
 
     A window fires and closes with the earliest row that makes it or a newer one do so.
+    ``closed_at`` is null in the windows newer than it, which are still open.
     """
     newest_first = points.withColumn("_back", -F.col("window_at"))
-    return (running(newest_first, [], "_back",
-                    {"fire_seq": ("min", F.col("fire")), "close_seq": ("min", F.col("close"))}, bucket=bucket)
-            .filter("held").select("window_at", "fire_seq", "close_seq"))
+    closes = F.when(F.col("close").isNotNull(), F.col("window_at"))
+    return running(newest_first, [], "_back", {
+        "fire_seq": ("min", F.col("fire")), "close_seq": ("min", F.col("close")), "closed_at": ("max", closes),
+    }, bucket=bucket).drop("_back")
+
+
+def limits_of(settled: DataFrame) -> DataFrame:
+    """``(window_at, fire_seq, close_seq)`` of each window that holds a row."""
+    return settled.filter("held").select("window_at", "fire_seq", "close_seq")
 
 
 def window_limits(df: DataFrame, ts: str, seq: str, policy: LatePolicy, *, bucket: int = BUCKET) -> DataFrame:
     """``(window_at, fire_seq, close_seq)`` of each window of a whole table."""
-    return limits_of(limit_points(df, ts, seq, policy), bucket=bucket)
+    return limits_of(settle(limit_points(df, ts, seq, policy), bucket=bucket))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same table, computed once and kept in the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def with_limits(
     rows: DataFrame, limits: DataFrame, seq: str, broadcast_windows: int, salts: int
 ) -> DataFrame:
-    """Join rows to their window's limits on ``window_at``.
+    """Join rows to their window's limits on ``window_at``; the limits are a written table.
 
-    The limits are written once and counted.  A small table goes to every executor and
-    the rows stay where they are; a larger one is joined by shuffle, with the rows of
-    each window spread over ``salts`` tasks.
+    They are counted.  A small table goes to every executor and the rows stay where they
+    are; a larger one is joined by shuffle, with the rows of each window spread over
+    ``salts`` tasks.
     """
-    checkpoint_dir(rows.sparkSession)
-    limits = limits.checkpoint()
     if limits.count() <= broadcast_windows:
         return rows.join(F.broadcast(limits), "window_at")
     copies = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
@@ -121,7 +132,7 @@ def late_rows(
     Windows close in the order of their ends, so the row's newest window decides.
     """
     rows = df.withColumn("window_at", policy.windows.index(F.col(ts)))
-    joined = with_limits(rows, window_limits(df, ts, seq, policy), seq, broadcast_windows, salts)
+    joined = with_limits(rows, written(window_limits(df, ts, seq, policy)), seq, broadcast_windows, salts)
     return joined.filter(F.col(seq) > F.col("close_seq")).select(*df.columns)
 
 
@@ -136,7 +147,7 @@ def accepted_rows(
 ) -> DataFrame:
     """Each row once per window that takes it, with ``window_start``, ``window_end`` and ``fire_seq``."""
     rows = policy.windows.assign(df, ts).withColumn("window_at", policy.windows.index(F.col("window_start")))
-    joined = with_limits(rows, window_limits(df, ts, seq, policy), seq, broadcast_windows, salts)
+    joined = with_limits(rows, written(window_limits(df, ts, seq, policy)), seq, broadcast_windows, salts)
     taken = joined.filter(F.col("close_seq").isNull() | (F.col(seq) <= F.col("close_seq")))
     return taken.select(*df.columns, "window_start", "window_end", "fire_seq")
 

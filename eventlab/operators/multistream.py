@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlab.operators.running import BUCKET, running
 from eventlab.times import Windows, flatten
 
 
@@ -52,6 +53,51 @@ def reconcile(
             .withColumn("status", status(F.col("left_ts"), F.col("right_ts"), timeout)))
 
 
+def reconcile_in_order(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    ts: str,
+    seq: str,
+    timeout: timedelta | None = None,
+    *,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """Pair events one by one as they arrive; every event ends up in one pair or alone.
+
+    An arriving event meets the one that waits on the other side, if any, and both are
+    done; else it waits, and one already waiting on its own side is given up.  So only
+    neighbours can pair, and whether an event is left waiting alternates from the last
+    event that followed one of its own side.  ``seq`` numbers both inputs together.
+    """
+    def event(df: DataFrame) -> DataFrame:
+        return df.select(key, F.col(seq).cast("bigint").alias("seq"), F.col(ts).alias("ts"))
+
+    both = tagged_union(event(left), event(right))
+    seen = running(both, [key], "seq", {
+        "_before": ("sum", F.lit(1).cast("bigint")), "_prev": ("max", F.struct("seq", "side", "ts")),
+    }, inclusive=False, bucket=bucket)
+    # `_at` is the event's place within its key; a place where waiting starts over is kept in `_from`.
+    placed = seen.withColumns({
+        "_at": F.coalesce("_before", F.lit(0)),
+        "_starts": F.col("_prev").isNull() | (F.col("_prev.side") == F.col("side"))})
+    chains = running(placed, [key], "seq", {"_from": ("max", F.when(F.col("_starts"), F.col("_at")))},
+                     inclusive=False, bucket=bucket)
+    prev_waits = F.coalesce(F.pmod(F.col("_at") - 1 - F.col("_from"), F.lit(2)) == 0, F.lit(False))
+    steps = chains.withColumn("_prev_waits", prev_waits).withColumn("_waits", F.col("_starts") | ~F.col("_prev_waits"))
+
+    def times(*sides: tuple[Column, Column]) -> list[Column]:
+        return [F.coalesce(*[F.when(side == name, at) for side, at in sides]).alias(f"{name}_ts")
+                for name in ("left", "right")]
+
+    prev = (F.col("_prev.side"), F.col("_prev.ts"))
+    settled = steps.filter("_prev_waits").select(
+        key, *times(prev, (F.when(~F.col("_starts"), F.col("side")), F.col("ts"))))
+    last = (steps.groupBy(key).agg(F.max(F.struct("seq", "side", "ts", "_waits")).alias("_last"))
+            .filter("_last._waits").select(key, *times((F.col("_last.side"), F.col("_last.ts")))))
+    return settled.unionByName(last).withColumn("status", status(F.col("left_ts"), F.col("right_ts"), timeout))
+
+
 def window_join(
     left: DataFrame,
     right: DataFrame,

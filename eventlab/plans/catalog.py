@@ -292,6 +292,13 @@ def reconcile_no_timeout(spark, d):
     return multistream.reconcile(tables.orders(spark, d), tables.shipments(spark, d), "order_id", "ts")
 
 
+@query
+def reconcile_in_order(spark, d):
+    events = tables.events(spark, d)
+    clicks, purchases = (events.filter(F.col("action") == action) for action in ("click", "purchase"))
+    return multistream.reconcile_in_order(clicks, purchases, "user_id", "ts", "seq", timedelta(days=1))
+
+
 @query
 def union_all(spark, d):
     reads, rest = multistream.route(tables.events(spark, d), F.col("action").isin("view", "click"))

@@ -186,6 +186,27 @@ SELECT action, window_start, window_end, count(*) AS pv, count(DISTINCT user_id)
 FROM a WHERE NOT rejected GROUP BY action, window_start, window_end""",
     "reconcile": RECONCILED.format(late="WHEN abs(date_diff('day', left_ts, right_ts)) > 30 THEN 'matched_late'"),
     "reconcile_no_timeout": RECONCILED.format(late=""),
+    "reconcile_in_order": f"""WITH {EVENTS}, p AS (
+  SELECT *, row_number() OVER k AS place, lag(action) OVER k AS prev_action, lag(ts) OVER k AS prev_ts,
+         lead(seq) OVER k IS NULL AS is_last
+  FROM e WHERE action IN ('click', 'purchase') WINDOW k AS (PARTITION BY user_id ORDER BY seq)),
+c AS (
+  SELECT *, max(CASE WHEN action IS NOT DISTINCT FROM coalesce(prev_action, action) THEN place END) OVER (
+    PARTITION BY user_id ORDER BY seq) AS start FROM p),
+s AS (
+  SELECT *, (place - start) % 2 = 0 AS waits FROM c),
+t AS (SELECT *, coalesce(lag(waits) OVER (PARTITION BY user_id ORDER BY seq), false) AS prev_waits FROM s),
+o AS (
+  SELECT user_id, prev_action AS a, prev_ts AS a_ts,
+         CASE WHEN action <> prev_action THEN action END AS b, ts AS b_ts FROM t WHERE prev_waits
+  UNION ALL
+  SELECT user_id, action, ts, NULL, NULL FROM t WHERE is_last AND waits),
+m AS (
+  SELECT user_id, CASE WHEN a = 'click' THEN a_ts WHEN b = 'click' THEN b_ts END AS left_ts,
+         CASE WHEN a = 'purchase' THEN a_ts WHEN b = 'purchase' THEN b_ts END AS right_ts FROM o)
+SELECT *, CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only'
+               WHEN abs(epoch_us(left_ts) - epoch_us(right_ts)) > 86400000000 THEN 'matched_late'
+               ELSE 'matched' END AS status FROM m""",
     "union_all": f"""WITH {EVENTS} SELECT * FROM e
 UNION ALL SELECT * FROM e WHERE action IN ('view', 'click')""",
     "split_side": f"WITH {BOOKS} SELECT * FROM b WHERE gender = 'ECONOMY'",

@@ -1,0 +1,156 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlab.operators import aggregates, eventtime, state, windows
+from eventlab.operators.running import chunked, numbered, running
+from eventlab.times import Windows, floor_div
+from datetime import timedelta
+from helpers import at, utc
+
+HOT = 0.4
+
+
+def table(spark, n, seed=0, step=1):
+    """Rows of a few keys (one null), one of which holds 40 % of them, in no particular order."""
+    dice = random.Random(seed)
+    rows = [(i * step - 20, "hot" if dice.random() < HOT else dice.choice(["a", "b", None]),
+             dice.randint(-9, 9), str(dice.randint(0, 30))) for i in range(n)]
+    shuffled = rows[:]
+    dice.shuffle(shuffled)
+    return rows, spark.createDataFrame(shuffled, "seq bigint, k string, v bigint, t string").repartition(5)
+
+
+@pytest.mark.parametrize("bucket", [1, 2, 3, 7, 1 << 18])
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_running_totals_do_not_depend_on_buckets(spark, bucket, inclusive):
+    rows, df = table(spark, 120, seed=bucket)
+    out = running(df, ["k"], "seq", {"total": ("sum", F.col("v")), "top": ("max", F.struct("v", "seq")),
+                                     "low": ("min", F.col("t"))}, inclusive=inclusive, bucket=bucket)
+    got = {r.seq: (r.total, tuple(r.top) if r.top else None, r.low) for r in out.collect()}
+    seen, want = {}, {}
+    for seq, k, v, t in rows:
+        before = list(seen.get(k, []))
+        seen.setdefault(k, []).append((v, seq, t))
+        used = seen[k] if inclusive else before
+        want[seq] = (sum(x[0] for x in used), max((x[0], x[1]) for x in used), min(x[2] for x in used)) \
+            if used else (None, None, None)
+    assert got == want
+    assert out.columns == [*df.columns, "total", "top", "low"]
+
+
+def test_no_bucket_holds_more_rows_than_numbers(spark):
+    _, df = table(spark, 100)
+    sizes = df.groupBy("k", floor_div(F.col("seq"), 8).alias("b")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 8
+
+
+@pytest.mark.parametrize("bucket", [2, 5, 1 << 18])
+def test_running_without_keys_and_with_lead(spark, bucket):
+    rows, df = table(spark, 60, seed=3, step=7)
+    got = {r.seq: r.position for r in numbered(df, [], "seq", bucket=bucket).collect()}
+    assert got == {r[0]: i + 1 for i, r in enumerate(rows)}
+    got = {r.seq: r.position for r in numbered(df, ["k"], "seq", lead="v", bucket=bucket).collect()}
+    want, seen = {}, {}
+    for seq, k, v, _ in sorted(rows, key=lambda r: (r[2], r[0])):
+        seen[k] = seen.get(k, 0) + 1
+        want[seq] = seen[k]
+    assert got == want
+
+
+def test_empty_input(spark):
+    _, df = table(spark, 0)
+    assert numbered(df, ["k"], "seq").count() == 0
+    assert aggregates.arg_max(df, "t", "seq", ["k"]).count() == 0
+
+
+def test_chunks_and_count_windows(spark):
+    df = spark.createDataFrame([(i, "a") for i in range(5)] + [(i, "b") for i in range(5, 7)], "seq bigint, k string")
+    assert sorted((r.k, r.seq, r.chunk) for r in chunked(df, ["k"], "seq", 2, bucket=3).collect()) == [
+        ("a", 0, 0), ("a", 1, 0), ("a", 2, 1), ("a", 3, 1), ("a", 4, 2), ("b", 5, 0), ("b", 6, 0)]
+    full = windows.count_windows(df, ["k"], "seq", 2, bucket=3)
+    assert sorted(tuple(r) for r in full.collect()) == [("a", 0, 2, 0, 1), ("a", 1, 2, 2, 3), ("b", 0, 2, 5, 6)]
+    every = windows.chunk_summary(df, ["k"], "seq", 2)
+    assert every.count() == 4 and every.agg(F.sum("n")).first()[0] == 7
+
+
+BOOKS = [(0, "9", "t0", "boy"), (1, "10", "t1", "girl"), (2, "9", "t2", "girl"), (3, "95", "t3", "boy"), (4, "1", "t4", "boy")]
+
+
+def books(spark):
+    return spark.createDataFrame([(*b, 1) for b in BOOKS], "seq bigint, bid string, title string, gender string, n bigint")
+
+
+@pytest.mark.parametrize("bucket", [2, 1 << 18])
+def test_rolling_forms(spark, bucket):
+    df = books(spark)
+    sums = aggregates.rolling_sum(df, ["gender"], "seq", "n", bucket=bucket)
+    assert sorted(tuple(r) for r in sums.select("seq", "gender", "bid", "title", "n").collect()) == [
+        (0, "boy", "9", "t0", 1), (1, "girl", "10", "t1", 1), (2, "girl", "10", "t1", 2), (3, "boy", "9", "t0", 2),
+        (4, "boy", "9", "t0", 3)]
+    best = aggregates.rolling_arg_max(df, "bid", "seq", bucket=bucket)
+    assert sorted((r.seq, r.bid, r.best_seq, r.title) for r in best.collect()) == [
+        (0, "9", 0, "t0"), (1, "9", 0, "t0"), (2, "9", 0, "t0"), (3, "95", 3, "t3"), (4, "95", 3, "t3")]
+    top = aggregates.rolling_max(df, "bid", "seq", bucket=bucket)
+    assert sorted((r.seq, r.bid, r.title) for r in top.collect()) == [
+        (0, "9", "t0"), (1, "9", "t0"), (2, "9", "t0"), (3, "95", "t0"), (4, "95", "t0")]
+
+
+def test_final_forms(spark):
+    df = books(spark)
+    assert tuple(aggregates.arg_max(df, "bid", "seq").first())[:3] == (3, "95", "t3")
+    first = aggregates.arg_max(df.filter("bid != '95'"), "bid", "seq").first()
+    assert (first.seq, first.bid) == (0, "9")  # text order, and the first of two equal rows
+    kept = aggregates.max_keep_first(df, "bid", "seq").first()
+    assert (kept.bid, kept.title, kept.seq) == ("95", "t0", 0)
+    assert {r.gender: r.n for r in aggregates.group_sum(df, ["gender"], "n").collect()} == {"boy": 3, "girl": 2}
+
+
+@pytest.mark.parametrize("fold", [2, 3, 1 << 16])
+def test_reduce_keeps_the_order(spark, fold):
+    df = books(spark)
+    out = aggregates.reduce_in_order(df, ["gender"], "seq", F.col("title"),
+                                     lambda a, b: F.concat(a, F.lit(">"), b), "titles", fold=fold)
+    assert {r.gender: r.titles for r in out.collect()} == {"boy": "t0>t3>t4", "girl": "t1>t2"}
+
+
+def test_reduce_of_long_runs(spark):
+    df = spark.range(1000).select(F.col("id").alias("seq"), (F.col("id") % 3 == 0).alias("k"), "id")
+    out = aggregates.reduce_in_order(df, ["k"], "seq", F.col("id"), lambda a, b: a + b, fold=8)
+    assert {r.k: r.value for r in out.collect()} == {True: sum(range(0, 1000, 3)),
+                                                    False: sum(i for i in range(1000) if i % 3)}
+
+
+TIMES = [(0, "a", 500), (1, "a", 1500), (2, "b", 400), (3, "a", 700), (4, "b", 2500), (5, "a", 2600)]
+
+
+@pytest.mark.parametrize("bucket", [2, 1 << 18])
+def test_counters(spark, bucket):
+    df = spark.createDataFrame([(s, k, at(t)) for s, k, t in TIMES], "seq bigint, k string, ts timestamp")
+    second = Windows(timedelta(seconds=1))
+    by_seq = lambda frame: {r.seq: r.n for r in frame.collect()}
+    assert by_seq(state.running_count(df, ["k"], "seq", bucket=bucket)) == {0: 1, 1: 2, 2: 1, 3: 3, 4: 2, 5: 4}
+    assert by_seq(state.in_window_count(df, ["k"], "ts", "seq", second, bucket=bucket)) == {0: 1, 1: 1, 2: 1, 3: 2, 4: 1, 5: 1}
+    # The second row of the first window comes before the rows of later windows.
+    assert by_seq(state.cross_window_count(df, ["k"], "ts", "seq", second, bucket=bucket)) == {0: 1, 3: 2, 1: 3, 5: 4, 2: 1, 4: 2}
+    both = state.window_and_cumulative(df, ["k"], "ts", second, bucket=bucket)
+    assert sorted(utc(both.select("k", "window_start", "n", "cumulative"))) == [
+        ("a", 0, 2, 2), ("a", 1000, 1, 3), ("a", 2000, 1, 4), ("b", 0, 1, 1), ("b", 2000, 1, 2)]
+    assert sorted(utc(state.active_keys(df, "k", "ts", second))) == [(1000, 2), (2000, 1), (3000, 2)]
+
+
+@pytest.mark.parametrize("bucket", [2, 1 << 18])
+def test_watermarks(spark, bucket):
+    rows = [(0, "x", 1000), (1, "y", 5000), (2, "x", 3000), (3, "y", 4000), (4, "x", 9000)]
+    df = spark.createDataFrame([(s, k, at(t)) for s, k, t in rows], "seq bigint, src string, ts timestamp")
+    marks = eventtime.watermark_trace(df, "ts", "seq", timedelta(milliseconds=2), bucket=bucket)
+    assert sorted(utc(marks.select("seq", "watermark"))) == [(0, None), (1, 997), (2, 4997), (3, 4997), (4, 4997)]
+    slowest = eventtime.union_watermark(df, "ts", "seq", "src", {"x": timedelta(0), "y": timedelta(seconds=1)}, bucket=bucket)
+    assert sorted(utc(slowest.select("seq", "watermark"))) == [(0, None), (1, None), (2, 999), (3, 2999), (4, 2999)]
+
+
+def test_unseen_source_holds_the_watermark_back(spark):
+    df = spark.createDataFrame([(0, "x", at(1000)), (1, "x", at(2000))], "seq bigint, src string, ts timestamp")
+    out = eventtime.union_watermark(df, "ts", "seq", "src", {"x": timedelta(0), "y": timedelta(0)})
+    assert [r.watermark for r in out.collect()] == [None, None]
