@@ -83,7 +83,7 @@ def settle(points: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
     closes = F.when(F.col("close").isNotNull(), F.col("window_at"))
     return running(newest_first, [], "_back", {
         "fire_seq": ("min", F.col("fire")), "close_seq": ("min", F.col("close")), "closed_at": ("max", closes),
-    }, bucket=bucket).drop("_back")
+    }, bucket=bucket, levels=1).drop("_back")
 
 
 def limits_of(settled: DataFrame) -> DataFrame:

@@ -36,19 +36,21 @@ def running(
     lead: str | None = None,
     inclusive: bool = True,
     bucket: int = BUCKET,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """Add one running total per entry of ``totals`` to every row.
 
     ``totals`` maps an output name to ``("sum" | "max" | "min", input column)``.  Rows
     are taken per ``keys`` in the order of ``lead``, if given, and then ``seq``; both are
     whole numbers, and together they are unique within the keys.  ``inclusive=False``
-    leaves the row itself out.
+    leaves the row itself out.  One level is enough for numbers without large gaps below
+    ``bucket ** 2``, such as the numbers of windows.
     """
     merges = {name: MERGEABLE[how] for name, (how, _) in totals.items()}
     inputs = {f"_in_{name}": column for name, (_, column) in totals.items()}
     unit = [*([lead] if lead else []), "_bucket"]
     rows = df.withColumns({**inputs, "_bucket": floor_div(F.col(seq), bucket)})
-    out = _accumulate(rows, keys, unit, [seq], merges, inclusive, bucket, LEVELS)
+    out = _accumulate(rows, keys, unit, [seq], merges, inclusive, bucket, levels)
     return out.select(*df.columns, *[F.col(f"_out_{n}").alias(n) for n in totals])
 
 

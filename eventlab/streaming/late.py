@@ -51,16 +51,13 @@ class LiveLate:
         settled = settle(merge_points(points)).persist()
         limits = limits_of(settled)
 
-        columns = self.stream.columns
-        newest = batch.withColumn("window_at", grid.index(F.col(self.ts)))
-        late = with_limits(newest, limits, seq, BROADCAST_WINDOWS, SALTS).filter(F.col(seq) > F.col("close_seq"))
-        self.late.write(late.select(*columns), batch_id)
-
         rows = grid.assign(batch, self.ts).withColumn("window_at", grid.index(F.col("window_start")))
-        taken = with_limits(rows, limits, seq, BROADCAST_WINDOWS, SALTS).filter(
-            F.col("close_seq").isNull() | (F.col(seq) <= F.col("close_seq")))
+        rows = with_limits(rows, limits, seq, BROADCAST_WINDOWS, SALTS)
+        rejected = F.coalesce(F.col(seq) > F.col("close_seq"), F.lit(False))
+        newest = F.col("window_at") == grid.index(F.col(self.ts))
+        self.late.write(rows.filter(newest & rejected).select(*self.stream.columns), batch_id)
         refired = F.coalesce(F.col(seq) > F.col("fire_seq"), F.lit(False)).alias("refired")
-        self.counts.write(taken.groupBy("window_start", "window_end", self.user, refired)
+        self.counts.write(rows.filter(~rejected).groupBy("window_start", "window_end", self.user, refired)
                           .agg(F.count(F.lit(1)).alias("n")), batch_id)
 
         # The newest closed window also closes every older one, so older points can go.

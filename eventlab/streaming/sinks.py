@@ -13,10 +13,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 HOUR_FOLDER = "yyyy-MM-dd--HH"
 
 
+def labelled(df: DataFrame, label: str) -> DataFrame:
+    """Rows with a first column that names their branch."""
+    return df.select(F.lit(label).alias("label"), "*")
+
+
 def to_console(stream: DataFrame, label: str | None = None, mode: str = "append") -> DataStreamWriter:
     """Print rows, each with a label when one is given."""
     if label is not None:
-        stream = stream.select(F.lit(label).alias("label"), "*")
+        stream = labelled(stream, label)
     return stream.writeStream.format("console").option("truncate", "false").outputMode(mode)
 
 
