@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from eventlab.operators.aggregates import visits
 from eventlab.operators.running import BUCKET, running
 from eventlab.operators.windows import window_counts
-from eventlab.session import checkpoint_dir
+from eventlab.session import written
 from eventlab.times import NONE, Windows
 
 # A window table up to this many rows (24 bytes each) is sent to every executor.
@@ -96,12 +96,6 @@ def window_limits(df: DataFrame, ts: str, seq: str, policy: LatePolicy, *, bucke
     return limits_of(settle(limit_points(df, ts, seq, policy), bucket=bucket))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same table, computed once and kept in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def with_limits(
     rows: DataFrame, limits: DataFrame, seq: str, broadcast_windows: int, salts: int
 ) -> DataFrame:

@@ -12,6 +12,10 @@ from eventlab.operators.running import BUCKET, running
 from eventlab.times import Windows, flatten
 
 
+# An arrival number after all others.
+LAST = (1 << 63) - 1
+
+
 def union_all(first: DataFrame, *more: DataFrame) -> DataFrame:
     """All rows of tables of one shape, duplicates kept, columns matched by name."""
     for df in more:
@@ -71,31 +75,59 @@ def reconcile_in_order(
     event that followed one of its own side.  ``seq`` numbers both inputs together.
     """
     def event(df: DataFrame) -> DataFrame:
-        return df.select(key, F.col(seq).cast("bigint").alias("seq"), F.col(ts).alias("ts"))
+        return df.select(F.col(key).alias("key"), F.col(seq).cast("bigint").alias("seq"), F.col(ts).alias("ts"))
+
+    events = tagged_union(event(left), event(right))
+    # A closing row per key, of no side, gives up whatever still waits.
+    closing = events.select("key").distinct().select("key", F.lit(LAST).alias("seq"))
+    steps = pairing_steps(events.unionByName(closing, allowMissingColumns=True), bucket=bucket)
+    return (settled(steps).withColumn("status", status(F.col("left_ts"), F.col("right_ts"), timeout))
+            .withColumnRenamed("key", key))
+
 
-    both = tagged_union(event(left), event(right))
-    seen = running(both, [key], "seq", {
-        "_before": ("sum", F.lit(1).cast("bigint")), "_prev": ("max", F.struct("seq", "side", "ts")),
-    }, inclusive=False, bucket=bucket)
-    # `_at` is the event's place within its key; a place where waiting starts over is kept in `_from`.
+def pairing_steps(events: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
+    """Each of the events ``(key, side, seq, ts, ...)`` with the one before it and who waits.
+
+    ``prev`` is the key's previous event, ``prev_waits`` whether that one is waiting when
+    this one arrives, ``meets`` whether the two pair up, ``waits`` whether this one waits.
+    """
+    columns = events.columns
+    row = F.struct("seq", *[c for c in columns if c not in ("key", "seq")])
+    seen = running(events, ["key"], "seq", {"_before": ("sum", F.lit(1).cast("bigint")), "prev": ("max", row)},
+                   inclusive=False, bucket=bucket)
+    # `_at` is the event's place within its key, `_from` the last place where waiting started over.
     placed = seen.withColumns({
         "_at": F.coalesce("_before", F.lit(0)),
-        "_starts": F.col("_prev").isNull() | (F.col("_prev.side") == F.col("side"))})
-    chains = running(placed, [key], "seq", {"_from": ("max", F.when(F.col("_starts"), F.col("_at")))},
+        "_starts": F.col("prev").isNull() | F.col("prev.side").eqNullSafe(F.col("side"))})
+    chains = running(placed, ["key"], "seq", {"_from": ("max", F.when(F.col("_starts"), F.col("_at")))},
                      inclusive=False, bucket=bucket)
     prev_waits = F.coalesce(F.pmod(F.col("_at") - 1 - F.col("_from"), F.lit(2)) == 0, F.lit(False))
-    steps = chains.withColumn("_prev_waits", prev_waits).withColumn("_waits", F.col("_starts") | ~F.col("_prev_waits"))
-
-    def times(*sides: tuple[Column, Column]) -> list[Column]:
-        return [F.coalesce(*[F.when(side == name, at) for side, at in sides]).alias(f"{name}_ts")
-                for name in ("left", "right")]
-
-    prev = (F.col("_prev.side"), F.col("_prev.ts"))
-    settled = steps.filter("_prev_waits").select(
-        key, *times(prev, (F.when(~F.col("_starts"), F.col("side")), F.col("ts"))))
-    last = (steps.groupBy(key).agg(F.max(F.struct("seq", "side", "ts", "_waits")).alias("_last"))
-            .filter("_last._waits").select(key, *times((F.col("_last.side"), F.col("_last.ts")))))
-    return settled.unionByName(last).withColumn("status", status(F.col("left_ts"), F.col("right_ts"), timeout))
+    return chains.withColumn("prev_waits", prev_waits).select(
+        *columns, "prev", "prev_waits", (F.col("prev_waits") & ~F.col("_starts") & F.col("side").isNotNull()).alias("meets"),
+        (F.col("_starts") | ~F.col("prev_waits")).alias("waits"))
+
+
+def settled(steps: DataFrame) -> DataFrame:
+    """``(key, left_ts, right_ts)`` of the events that no longer wait: met, or given up."""
+    def time_of(name: str) -> Column:
+        return F.coalesce(F.when(F.col("prev.side") == name, F.col("prev.ts")),
+                          F.when(F.col("meets") & (F.col("side") == name), F.col("ts"))).alias(f"{name}_ts")
+
+    return steps.filter("prev_waits").select("key", time_of("left"), time_of("right"))
+
+
+def still_waiting(steps: DataFrame) -> DataFrame:
+    """The last event of each key, where it waits, in the columns of the events."""
+    columns = [c for c in steps.columns if c not in ("prev", "prev_waits", "meets", "waits")]
+    last = F.max(F.struct("seq", *[c for c in columns if c not in ("key", "seq")], "waits")).alias("_last")
+    return (steps.groupBy("key").agg(last).filter("_last.waits")
+            .select("key", *[F.col(f"_last.{c}").alias(c) for c in columns if c != "key"]))
+
+
+def alone(waiting: DataFrame) -> DataFrame:
+    """``(key, left_ts, right_ts)`` of events without a partner."""
+    return waiting.select("key", *[F.when(F.col("side") == name, F.col("ts")).alias(f"{name}_ts")
+                                   for name in ("left", "right")])
 
 
 def window_join(

@@ -74,11 +74,14 @@ def _accumulate(
     else:
         earlier = Window.partitionBy(*keys).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
         before = units.withColumns({f"_out_{n}": merge(f"_in_{n}").over(earlier) for n, merge in merges.items()})
-    carried = before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges], F.lit(0).alias("_is_row"))
+    # What went before a unit enters it as its first row; its other columns are null.
+    known = {*group, *(f"_in_{n}" for n in merges)}
+    carried = before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges],
+                            *[F.lit(None).alias(c) for c in rows.columns if c not in known], F.lit(0).alias("_is_row"))
     upto = (Window.partitionBy(*group).orderBy("_is_row", *order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
-    return (rows.withColumn("_is_row", F.lit(1)).unionByName(carried, allowMissingColumns=True)
-            .withColumns({f"_out_{n}": merge(f"_in_{n}").over(upto) for n, merge in merges.items()})
+    return (rows.select("*", F.lit(1).alias("_is_row")).unionByName(carried)
+            .select("*", *[merge(f"_in_{n}").over(upto).alias(f"_out_{n}") for n, merge in merges.items()])
             .filter("_is_row = 1").drop("_is_row"))
 
 

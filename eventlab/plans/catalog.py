@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 from eventlab.functions import parse
 from eventlab.operators import aggregates, eventtime, late, multistream, state, topn, windows
-from eventlab.plans import tables
+from eventlab.plans import live, tables
 from eventlab.sources import readers
+from eventlab.streaming import counters, sinks
+from eventlab.streaming.late import LiveLate
+from eventlab.streaming.live import live_visits
+from eventlab.streaming.reconcile import LiveReconcile
+from eventlab.streaming.topn import live_top_n
 from eventlab.times import Windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,3 +331,66 @@ def window_join(spark, d):
 
     (clicks, of_clicks), (purchases, of_purchases) = side("click", "click"), side("purchase", "purchase")
     return multistream.window_join(clicks, purchases, ["user_id"], "ts", DAY, of_clicks, of_purchases)
+
+
+# Streaming forms; each runs over all data there is now and gives the table it wrote
+
+
+@query
+def live_uv_pv(spark, d):
+    return live.written(live_visits(live.events(spark, d), "ts", "user_id", HALF_PAST, SOURCE_DELAYS["other"], ["action"]),
+                        live.folder(spark))
+
+
+@query
+def live_topn(spark, d):
+    home = live.folder(spark)
+    sinks.run_available(live_top_n(live.events(spark, d), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"],
+                                   f"{home}/out", f"{home}/checkpoint"))
+    return spark.read.parquet(f"{home}/out/batch=*")
+
+
+@query
+def live_running_count(spark, d):
+    home = live.folder(spark)
+    writer, out = counters.live_running_count(live.events(spark, d), ["action"], "seq", home, f"{home}/checkpoint")
+    sinks.run_available(writer)
+    return out.all(spark)
+
+
+@query
+def live_watermark(spark, d):
+    home = live.folder(spark)
+    writer, out = counters.live_watermark_trace(tables.disordered(live.events(spark, d)), "ts", "seq", home,
+                                                f"{home}/checkpoint", timedelta(minutes=15))
+    sinks.run_available(writer)
+    return out.all(spark).select("seq", "ts", "watermark")
+
+
+@query
+def live_late_rows(spark, d):
+    home = live.folder(spark)
+    split = LiveLate(tables.disordered(live.events(spark, d)), "ts", "seq", "user_id", LATE, home)
+    sinks.run_available(split.writer(f"{home}/checkpoint"))
+    return split.late.all(spark)
+
+
+@query
+def live_late_visits(spark, d):
+    home = live.folder(spark)
+    split = LiveLate(tables.disordered(live.events(spark, d)), "ts", "seq", "user_id", LATE_SLIDING, home)
+    sinks.run_available(split.writer(f"{home}/checkpoint"))
+    return split.visits(spark)
+
+
+@query
+def live_reconcile(spark, d):
+    home = live.folder(spark)
+    first = tables.shipments(spark, d).groupBy("order_id").agg(F.min("ts").alias("ts"))
+    first.write.parquet(f"{home}/first")
+    left = live.stream_table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
+    right = readers.stream_parquet(spark, f"{home}/first", "order_id bigint, ts timestamp")
+    pairs = LiveReconcile(left, right, "order_id", "ts", home, timedelta(days=30))
+    sinks.run_available(pairs.writer(f"{home}/checkpoint"))
+    return pairs.out.all(spark)

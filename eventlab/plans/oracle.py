@@ -72,6 +72,9 @@ ends AS (SELECT DISTINCT window_end, window_end - INTERVAL '1 millisecond' AS la
 fires AS (SELECT ends.window_end, rises.seq AS fire_seq FROM ends ASOF LEFT JOIN rises ON ends.last <= rises.wm_after)"""
 
 
+# Windows a live stream with 15 min of disorder has closed at the end of the table.
+CLOSED = "window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '15 minutes' FROM events)"
+
 LATE = "SELECT seq, any_value(user_id) AS user_id, any_value(action) AS action, any_value(ts) AS ts " \
        "FROM a GROUP BY seq HAVING bool_and(rejected)"
 
@@ -207,6 +210,27 @@ m AS (
 SELECT *, CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only'
                WHEN abs(epoch_us(left_ts) - epoch_us(right_ts)) > 86400000000 THEN 'matched_late'
                ELSE 'matched' END AS status FROM m""",
+    "live_uv_pv": f"""WITH {assigned('1 hour', '30 minutes')}
+SELECT action, window_start, window_end, count(*) AS pv, count(DISTINCT user_id) AS uv FROM w
+WHERE {CLOSED} GROUP BY action, window_start, window_end""",
+    "live_topn": f"{top('1 hour', '30 minutes')} AND {CLOSED}",
+    "live_running_count": f"WITH {EVENTS} SELECT *, row_number() OVER (PARTITION BY action ORDER BY seq) AS n FROM e",
+    "live_watermark": f"""WITH {DISORDERED}
+SELECT seq, ts, (max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+       - INTERVAL '15 minutes' - INTERVAL '1 millisecond' AS watermark FROM e""",
+    "live_late_rows": f"WITH {replay(assigned('1 hour', source=DISORDERED))} {LATE}",
+    "live_late_visits": f"""WITH {replay(sliding(DISORDERED))}
+SELECT window_start, window_end, count(*) AS pv, count(DISTINCT user_id) AS uv
+FROM a WHERE NOT rejected GROUP BY window_start, window_end""",
+    "live_reconcile": """WITH l AS (SELECT o_orderkey AS order_id, o_orderdate AS left_ts FROM orders),
+r AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS right_ts FROM lineitem GROUP BY l_orderkey),
+w AS (SELECT least((SELECT max(left_ts) FROM l), (SELECT max(right_ts) FROM r)) - INTERVAL '1 millisecond' AS watermark)
+SELECT order_id AS key, left_ts, right_ts,
+       CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only'
+            WHEN abs(date_diff('day', left_ts, right_ts)) > 30 THEN 'matched_late' ELSE 'matched' END AS status
+FROM l FULL JOIN r USING (order_id), w
+WHERE (left_ts IS NOT NULL AND right_ts IS NOT NULL)
+   OR coalesce(left_ts, right_ts) + INTERVAL '30 days' <= watermark""",
     "union_all": f"""WITH {EVENTS} SELECT * FROM e
 UNION ALL SELECT * FROM e WHERE action IN ('view', 'click')""",
     "split_side": f"WITH {BOOKS} SELECT * FROM b WHERE gender = 'ECONOMY'",

@@ -23,7 +23,11 @@ def naive(df: DataFrame) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click-stream events in arrival order."""
-    return table(spark, sf_dir, "events").select(
+    return as_events(table(spark, sf_dir, "events"))
+
+
+def as_events(df: DataFrame) -> DataFrame:
+    return df.select(
         F.col("event_id").alias("seq"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_type").alias("action"),
@@ -36,8 +40,12 @@ def disordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     A row is held back by ``event_id * 37 % 50`` places; rows that then share a place
     arrive by ``event_id``, which is by falling hold.
     """
+    return disordered(events(spark, sf_dir))
+
+
+def disordered(events: DataFrame) -> DataFrame:
     hold = (F.col("seq") * 37) % 50
-    return events(spark, sf_dir).withColumn("seq", (F.col("seq") + hold) * 50 + 49 - hold)
+    return events.withColumn("seq", (F.col("seq") + hold) * 50 + 49 - hold)
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

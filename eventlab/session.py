@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Event time is UTC, late joins may be skewed, streaming state can be large.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.python.unix.domain.socket.enabled": "true",
 }
 
@@ -32,6 +33,11 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state on disk, as processors with timers need it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
@@ -47,3 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             folder = tempfile.mkdtemp(prefix="eventlab-")
         context.setCheckpointDir(folder)
     return folder or context.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same table, computed once and kept in the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -2,104 +2,89 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter
 
-from eventlab.operators.multistream import tagged_union
-from eventlab.streaming.live import watermarked
-from eventlab.times import NONE, micros
+from eventlab.operators.multistream import alone, pairing_steps, settled, status, still_waiting, tagged_union
+from eventlab.sources.readers import with_arrival
+from eventlab.streaming.counters import schema_of
+from eventlab.streaming.sinks import to_batches
+from eventlab.streaming.tables import OutputTable, StateTable
+from eventlab.times import MILLISECOND, NONE
 
-OUTPUT = "key string, left_ms bigint, right_ms bigint, status string"
+SIDES = ("left", "right")
 
 
-class Reconciler(StatefulProcessor):
-    """Holds at most one waiting event per side of a key, the newest.
+class LiveReconcile:
+    """Writes pairs and lone events of two streams, batch by batch.
 
-    A pair is emitted when its second event arrives, an event pushed out of its place by
-    a newer one is emitted as alone.  An event still waiting ``timeout_ms`` after its time
-    is emitted as alone, too, and kept marked for one more timeout, so that a partner that
-    comes after all is reported as matched late.
-    """
-
-    def __init__(self, timeout_ms: int | None):
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = {side: handle.getValueState(side, "ms bigint, reported boolean") for side in ("left", "right")}
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # One Arrow batch at a time, however many rows the key has.
-        for arrived in rows:
-            arrived = arrived.sort_values("ms", kind="stable")
-            out = []
-            for side, ms in zip(arrived["side"], arrived["ms"].astype("int64")):
-                out.extend(self._arrive(key[0], side, int(ms)))
-            yield self._frame(out)
-
-    def _arrive(self, key: str, side: str, ms: int) -> list[tuple]:
-        other = "right" if side == "left" else "left"
-        if self.waiting[other].exists():
-            met = {side: ms, other: self.waiting[other].get()[0]}
-            self.waiting[other].clear()
-            late = self.timeout_ms is not None and abs(met["left"] - met["right"]) > self.timeout_ms
-            return [(key, met["left"], met["right"], "matched_late" if late else "matched")]
-        out = []
-        if self.waiting[side].exists():
-            earlier, reported = self.waiting[side].get()
-            if not reported:
-                out.append(self._alone(key, side, earlier))
-        self.waiting[side].update((ms, False))
-        if self.timeout_ms is not None:
-            self.handle.registerTimer(ms + self.timeout_ms)
-        return out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now, out = expiredTimerInfo.getExpiryTimeInMs(), []
-        for side in ("left", "right"):
-            if not self.waiting[side].exists():
-                continue
-            ms, reported = self.waiting[side].get()
-            if not reported and ms + self.timeout_ms <= now:
-                out.append(self._alone(key[0], side, ms))
-                self.waiting[side].update((ms, True))
-                self.handle.registerTimer(ms + 2 * self.timeout_ms)
-            elif reported and ms + 2 * self.timeout_ms <= now:
-                self.waiting[side].clear()
-        yield self._frame(out)
-
-    def close(self) -> None:
-        pass
-
-    @staticmethod
-    def _alone(key: str, side: str, ms: int) -> tuple:
-        return key, ms if side == "left" else None, ms if side == "right" else None, f"{side}_only"
-
-    @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=["key", "left_ms", "right_ms", "status"])
-        return frame.astype({"key": "object", "left_ms": "Int64", "right_ms": "Int64", "status": "object"})
-
-
-def live_reconcile(
-    left: DataFrame, right: DataFrame, key: str, ts: str, timeout: timedelta | None = None, delay: timedelta = NONE
-) -> DataFrame:
-    """Pairs and lone events of two streams, in append mode: ``key``, both times and the status.
+    Waiting events enter the next batch as its first rows, and the rules are those of
+    :func:`eventlab.operators.multistream.reconcile_in_order`; nothing depends on how many
+    rows one key has.  An event that the watermark finds waiting ``timeout`` after its time
+    is written as alone and kept for one more timeout, so that a partner that comes after
+    all is reported as matched late.  Without a timeout events wait for ever.
 
-    The watermark of both streams together is that of the slower one.  Without a timeout
-    an event waits for ever and only pairs are emitted.
+    The watermark of both streams is that of the slower one.  Rows of one batch arrive in
+    the order of ``seq``, unique and not negative within the batch; without one, in the
+    order of reading.
     """
-    def side(df: DataFrame) -> DataFrame:
-        return watermarked(df.select(F.col(key).cast("string").alias("key"), ts), ts, delay)
 
-    both = tagged_union(side(left), side(right)).withColumn("ms", F.unix_millis(ts))
-    out = both.groupBy("key").transformWithStateInPandas(
-        Reconciler(micros(timeout) // 1000 if timeout is not None else None),
-        OUTPUT, "Append", "EventTime" if timeout is not None else "None")
-    return out.select("key", F.timestamp_millis("left_ms").alias("left_ts"),
-                      F.timestamp_millis("right_ms").alias("right_ts"), "status")
+    def __init__(
+        self,
+        left: DataFrame,
+        right: DataFrame,
+        key: str,
+        ts: str,
+        folder: str,
+        timeout: timedelta | None = None,
+        delay: timedelta = NONE,
+        seq: str | None = None,
+    ):
+        def events(df: DataFrame) -> DataFrame:
+            return df.select(F.col(key).alias("key"), F.col(ts).alias("ts"), *([F.col(seq).alias("seq")] if seq else []))
+
+        both = tagged_union(events(left), events(right))
+        self.stream, self.numbered = both, seq is not None
+        self.timeout, self.delay = timeout, delay
+        kind = schema_of(self.stream, "key")
+        self.waiting = StateTable(f"{folder}/waiting", f"{kind}, side string, ts timestamp, reported boolean")
+        self.newest = StateTable(f"{folder}/newest", "left timestamp, right timestamp")
+        self.out = OutputTable(f"{folder}/out", f"{kind}, left_ts timestamp, right_ts timestamp, status string")
+
+    def writer(self, checkpoint: str) -> DataStreamWriter:
+        return to_batches(self.stream, self._settle, checkpoint)
+
+    def _watermark(self, batch: DataFrame, batch_id: int):
+        """The watermark after this batch, null until both sides have delivered."""
+        times = batch.select(*[F.when(F.col("side") == s, F.col("ts")).alias(s) for s in SIDES]).unionByName(
+            self.newest.before(batch.sparkSession, batch_id))
+        self.newest.write(times.agg(*[F.max(s).alias(s) for s in SIDES]), batch_id)
+        both = F.when(F.col("left").isNotNull() & F.col("right").isNotNull(), F.least("left", "right"))
+        micros = self.newest.before(batch.sparkSession, batch_id + 1).select(F.unix_micros(both)).first()[0]
+        return F.timestamp_micros(F.lit(micros).cast("bigint")) - F.lit(self.delay + MILLISECOND)
+
+    def _settle(self, batch: DataFrame, batch_id: int) -> None:
+        spark: SparkSession = batch.sparkSession
+        batch = (batch if self.numbered else with_arrival(batch)).persist()
+        earlier = self.waiting.before(spark, batch_id).withColumn("seq", F.lit(-1).cast("bigint"))
+        events = batch.withColumn("reported", F.lit(False)).unionByName(earlier)
+        steps = pairing_steps(events).persist()
+
+        waiting = still_waiting(steps)
+        if self.timeout is None:
+            expired = F.lit(False)
+        else:
+            mark = self._watermark(batch, batch_id)
+            expired = F.coalesce(F.col("ts") + F.lit(self.timeout) <= mark, F.lit(False))
+            forgotten = F.col("reported") & F.coalesce(F.col("ts") + F.lit(2 * self.timeout) <= mark, F.lit(False))
+            waiting = waiting.filter(~forgotten)
+        given_up = F.col("prev.reported") & ~F.col("meets")
+        out = settled(steps.filter(~F.coalesce(given_up, F.lit(False)))).unionByName(
+            alone(waiting.filter(expired & ~F.col("reported"))))
+        self.out.write(out.withColumn("status", status(F.col("left_ts"), F.col("right_ts"), self.timeout)), batch_id)
+        self.waiting.write(waiting.select("key", "side", "ts", (F.col("reported") | expired).alias("reported")), batch_id)
+        steps.unpersist()
+        batch.unpersist()

@@ -31,5 +31,10 @@ def live_top_n(
     can be ranked as a table; nothing keeps the list of a window's keys.
     """
     counts = live_windows(stream, ts, windows, delay, [F.count(F.lit(1)).alias("n")], [key])
-    return to_batches(counts, lambda rows, batch: overwrite_batch(
-        rank_counts(rows, key, k, min_groups), folder, batch), checkpoint)
+
+    def rank(closed: DataFrame, batch_id: int) -> None:
+        closed = closed.persist()  # read twice, but the state is to be updated once
+        overwrite_batch(rank_counts(closed, key, k, min_groups), folder, batch_id)
+        closed.unpersist()
+
+    return to_batches(counts, rank, checkpoint)

@@ -4,16 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlab.functions import parse
-from eventlab.operators import late, state, topn, windows
+from eventlab.operators import late, multistream, state, topn, windows
+from eventlab.operators.eventtime import watermark_trace
 from eventlab.operators.late import LatePolicy
 from eventlab.sources import readers
 from eventlab.streaming import counters, live, sinks
 from eventlab.streaming.late import LiveLate
-from eventlab.streaming.reconcile import live_reconcile
+from eventlab.streaming.reconcile import LiveReconcile
 from eventlab.streaming.tables import StateTable
+from eventlab.streaming.timers import reconcile_with_timers
 from eventlab.streaming.topn import live_top_n
 from eventlab.times import Windows
-from helpers import at, utc
+from helpers import at, pair_up, utc
 from test_multistream import LEFT, RIGHT, STATUS, TIMEOUT
 
 EVENT = "seq bigint, user_id string, action string, ts timestamp"
@@ -91,6 +93,21 @@ def test_live_running_count_goes_on_between_batches(spark, stream, tmp_path):
     assert sorted(utc(out.all(spark))) == sorted(utc(want))
 
 
+def test_live_watermark_goes_on_between_batches(spark, stream, tmp_path):
+    df, opened = stream
+    writer, out = counters.live_watermark_trace(opened(), "ts", "seq", str(tmp_path / "t"), str(tmp_path / "c"), HOUR)
+    sinks.run_available(writer)
+    assert sorted(utc(out.all(spark)), key=str) == sorted(utc(watermark_trace(df, "ts", "seq", HOUR)), key=str)
+
+
+def test_routes_and_unions_work_on_streams(stream, tmp_path):
+    df, opened = stream
+    side, main = multistream.route(opened(), F.col("action") == "a")
+    assert side.isStreaming and main.isStreaming
+    got = finish(multistream.union_all(side, main, side), tmp_path)
+    assert got.count() == df.count() + df.filter("action = 'a'").count()
+
+
 @pytest.mark.parametrize("grid", [Windows(HOUR), Windows(HOUR, slide=timedelta(minutes=50))])
 def test_live_late_rows_agree_row_by_row(spark, stream, tmp_path, grid):
     df, opened = stream
@@ -132,20 +149,71 @@ def order_files(spark, rows):
     return [spark.createDataFrame([(k, at(t))], "order_id string, ts timestamp") for k, t in [*rows, *end, ("tail", 10**8)]]
 
 
-@pytest.mark.parametrize("timeout", [TIMEOUT, None])
-def test_live_reconcile(spark, files, tmp_path, timeout):
-    left, right = (readers.stream_parquet(spark, files(name, order_files(spark, rows)), "order_id string, ts timestamp", 1)
-                   for name, rows in (("left", LEFT), ("right", RIGHT)))
-    out = finish(live_reconcile(left, right, "order_id", "ts", timeout), tmp_path)
+ORDER = "order_id string, ts timestamp"
+
+
+@pytest.fixture
+def order_streams(spark, files):
+    return [readers.stream_parquet(spark, files(name, order_files(spark, rows)), ORDER, 1)
+            for name, rows in (("left", LEFT), ("right", RIGHT))]
+
+
+def last_status(out):
+    """What is known in the end: a pair, if there is one, counts more than an earlier lone event."""
     found = {}
-    for key, l, r, status in utc(out):
+    for key, left, right, status in utc(out.select("key", "left_ts", "right_ts", "status")):
         if key not in ("end", "tail"):
-            found.setdefault(key, []).append((l is None or r is None, status))
-    last = {key: max(statuses, key=lambda s: not s[0])[1] for key, statuses in found.items()}
-    if timeout is None:
-        assert last == {k: "matched" for k, s in STATUS.items() if s.startswith("matched")}
+            found.setdefault(key, []).append((left is not None and right is not None, status))
+    return {key: max(statuses)[1] for key, statuses in found.items()}
+
+
+@pytest.mark.parametrize("timeout", [TIMEOUT, None])
+@pytest.mark.parametrize("timers", [True, False])
+def test_live_reconcile(spark, order_streams, tmp_path, timeout, timers):
+    left, right = order_streams
+    if timers:
+        out = finish(reconcile_with_timers(left, right, "order_id", "ts", timeout), tmp_path)
     else:
-        assert last == STATUS
+        pairs = LiveReconcile(left, right, "order_id", "ts", str(tmp_path / "t"), timeout)
+        sinks.run_available(pairs.writer(str(tmp_path / "c")))
+        out = pairs.out.all(spark)
+    matched = {k: "matched" for k, s in STATUS.items() if s.startswith("matched")}
+    assert last_status(out) == (matched if timeout is None else STATUS)
+
+
+def test_live_reconcile_reports_each_event_once(spark, files, tmp_path):
+    """Repeated keys over several batches: as the table form, but for those still waiting."""
+    rows = [(i, "hot" if i % 3 else "abc"[i % 7 % 3], "left" if i * 5 % 7 < 4 else "right", i * 1000) for i in range(90)]
+
+    def side(name):
+        tables = [spark.createDataFrame([(k, at(t), q) for q, k, s, t in rows if s == name and a <= q < a + 30],
+                                        "order_id string, ts timestamp, seq bigint") for a in (0, 30, 60)]
+        return readers.stream_parquet(spark, files(name, tables), "order_id string, ts timestamp, seq bigint", 1)
+
+    pairs = LiveReconcile(side("left"), side("right"), "order_id", "ts", str(tmp_path / "t"), seq="seq")
+    sinks.run_available(pairs.writer(str(tmp_path / "c")))
+    got = utc(pairs.out.all(spark).select("key", "left_ts", "right_ts"))
+    waiting = utc(pairs.waiting.before(spark, 3).select("key", "side", "ts"))
+    got += [(k, *((t, None) if s == "left" else (None, t))) for k, s, t in waiting]
+    assert sorted(got, key=str) == sorted(pair_up(rows), key=str)
+
+
+def test_live_reconcile_forgets_after_two_timeouts(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    none = spark.createDataFrame([], ORDER)
+    pairs = LiveReconcile(none, none, "order_id", "ts", folder, timedelta(seconds=10))
+
+    def batch(number, *events):
+        pairs._settle(spark.createDataFrame([(k, at(t * 1000), s, i) for i, (k, s, t) in enumerate(events)],
+                                            "key string, ts timestamp, side string, seq bigint"), number)
+        return sorted(utc(pairs.out.batch(spark, number)))
+
+    assert batch(0, ("o", "left", 0), ("p", "left", 0), ("x", "left", 5), ("x", "right", 5)) == [("x", 5000, 5000, "matched")]
+    assert batch(1, ("y", "left", 15), ("y", "right", 15)) == [
+        ("o", 0, None, "left_only"), ("p", 0, None, "left_only"), ("y", 15000, 15000, "matched")]
+    assert batch(2, ("o", "right", 16)) == [("o", 0, 16000, "matched_late")]
+    assert batch(3, ("z", "left", 30), ("z", "right", 30)) == [("z", 30000, 30000, "matched")]
+    assert pairs.waiting.before(spark, 4).count() == 0
 
 
 def test_text_lines_to_events_in_a_stream(spark, tmp_path):
