@@ -13,7 +13,7 @@ from eventlab.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
         "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
     })
     session.sparkContext.setLogLevel("ERROR")

@@ -88,7 +88,7 @@ def compare(spark, rows, size, slide, offset, delay, lateness, **scale):
 STREAMS = st.lists(st.tuples(st.integers(0, 40), st.sampled_from("abc")), min_size=1, max_size=25)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(STREAMS, st.sampled_from([(4, 4), (3, 2), (6, 2)]), st.integers(0, 3), st.integers(0, 6), st.integers(0, 5))
 def test_any_disorder(spark, stream, grid, offset, delay, lateness):
     rows = [(i * 3, t, u) for i, (t, u) in enumerate(stream)]
