@@ -101,7 +101,7 @@ def reduce_in_order(
     level = df.select(*keys, F.col(seq).cast("bigint").alias("_at"), value.alias("_value"))
     for unit in (True, True, True, False):
         at = floor_div(F.col("_at"), fold) if unit else F.lit(0).cast("bigint")
-        ordered = F.array_sort(F.collect_list(F.struct("_at", "_value")))
+        ordered = F.sort_array(F.collect_list(F.struct("_at", "_value")))
         level = (level.groupBy(*keys, at.alias("_unit")).agg(ordered.alias("_run"))
                  .select(*keys, F.col("_unit").alias("_at"), F.reduce(
                      F.slice("_run", F.lit(2), F.size("_run")), F.col("_run")[0]["_value"],

@@ -54,18 +54,24 @@ def limit_points(df: DataFrame, ts: str, seq: str, policy: LatePolicy) -> DataFr
     rows for which this is the newest window that fires or closes; every older window then
     has, too.  Two such tables merge by the same aggregates.
     """
-    grid, at, this = policy.windows, F.col(ts), F.col(seq).cast("bigint")
-    none, due = F.lit(None).cast("bigint"), policy.delay + policy.windows.size
+    grid, at = policy.windows, F.col(ts)
+    due = policy.delay + grid.size
+    # Rows of one cell touch the same windows; there are a few cells per window, so only
+    # their first rows are spread over the windows.
+    cells = df.groupBy(
+        (grid.index(at, grid.size) + 1).alias("oldest"), grid.index(at).alias("newest"),
+        grid.index(at, due).alias("fires"), grid.index(at, due + policy.lateness).alias("closes"),
+    ).agg(F.min(F.col(seq).cast("bigint")).alias("first"))
+    none = F.lit(None).cast("bigint")
 
     def point(window_at, fire, close, held):
         return F.struct(window_at.alias("window_at"), fire.alias("fire"), close.alias("close"),
                         F.lit(held).alias("held"))
 
-    held = F.transform(F.sequence(grid.index(at, grid.size) + 1, grid.index(at)),
-                       lambda w: point(w, none, none, True))
-    points = F.concat(held, F.array(point(grid.index(at, due), this, none, False),
-                                    point(grid.index(at, due + policy.lateness), none, this, False)))
-    return merge_points(df.select(F.explode(points).alias("p")).select("p.*"))
+    held = F.transform(F.sequence("oldest", "newest"), lambda w: point(w, none, none, True))
+    points = F.concat(held, F.array(point(F.col("fires"), F.col("first"), none, False),
+                                    point(F.col("closes"), none, F.col("first"), False)))
+    return merge_points(cells.select(F.explode(points).alias("p")).select("p.*"))
 
 
 def merge_points(points: DataFrame) -> DataFrame:
@@ -172,8 +178,8 @@ def firings(
              .select(*window, F.greatest("_seen", "_fire").alias("at_seq"), "pv", F.lit(1).alias("uv")))
     after = rows.filter(F.col(seq) > F.col("_fire")).select(
         *window, F.col(seq).alias("at_seq"), F.lit(1).alias("pv"), F.lit(0).alias("uv"))
-    changes = (users.unionByName(after).groupBy(*window, "at_seq")
-               .agg(F.sum("pv").alias("more_pv"), F.sum("uv").alias("more_uv")))
+    changes = written(users.unionByName(after).groupBy(*window, "at_seq")
+                      .agg(F.sum("pv").alias("more_pv"), F.sum("uv").alias("more_uv")))
     totals = running(changes, window, "at_seq", {"pv": ("sum", F.col("more_pv")), "uv": ("sum", F.col("more_uv"))},
                      bucket=bucket)
     return totals.select(

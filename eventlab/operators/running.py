@@ -11,6 +11,8 @@ sorts more than one bucket of a key at a time.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,7 +76,8 @@ def _accumulate(
     else:
         earlier = Window.partitionBy(*keys).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
         before = units.withColumns({f"_out_{n}": merge(f"_in_{n}").over(earlier) for n, merge in merges.items()})
-    # What went before a unit enters it as its first row; its other columns are null.
+    # What went before a unit, if anything, enters it as its first row; its other columns are null.
+    before = before.filter(reduce(or_, [F.col(f"_out_{n}").isNotNull() for n in merges]))
     known = {*group, *(f"_in_{n}" for n in merges)}
     carried = before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges],
                             *[F.lit(None).alias(c) for c in rows.columns if c not in known], F.lit(0).alias("_is_row"))

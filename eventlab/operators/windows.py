@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlab.operators.aggregates import visits
 from eventlab.operators.running import BUCKET, chunked, numbered
-from eventlab.times import Windows, flatten
+from eventlab.times import Windows, flatten, floor_div
 
 
 def window_aggregate(
@@ -62,20 +62,27 @@ def window_concat(
     *,
     separator: str = " ",
     rows_per_part: int = 10_000,
-    bucket: int = BUCKET,
 ) -> DataFrame:
     """Join ``column`` in arrival order per key and window; ``ts`` is the first row's.
 
-    A window of more than ``rows_per_part`` rows continues in further rows (``part`` 1, 2,
-    ...), so that no task gathers an unbounded window; parts joined in order are the text.
+    Each run of ``rows_per_part`` arrival numbers is joined on its own, then the pieces of
+    a window are.  A text that has reached ``rows_per_part`` rows continues in a further
+    row (``part`` 1, 2, ...), so no task gathers an unbounded window; parts joined in order
+    are the whole text.
     """
     group = [*keys, "window_start", "window_end"]
-    parts = chunked(windows.assign(df.select(*dict.fromkeys([*keys, ts, seq, column])), ts), group, seq, rows_per_part,
-                    bucket=bucket).withColumnRenamed("chunk", "part")
-    in_order = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("at"), F.col(column).alias("item"))))
+
+    def joined(order: str, item: str) -> Column:
+        items = F.array_compact(F.sort_array(F.collect_list(F.struct(order, item)))[item])
+        return F.when(F.size(items) > 0, F.array_join(items, separator)).alias(column)
+
+    pieces = (windows.assign(df.select(*dict.fromkeys([*keys, ts, seq, column])), ts)
+              .groupBy(*group, floor_div(F.col(seq), rows_per_part).alias("_piece"))
+              .agg(F.min_by(ts, seq).alias(ts), F.count(F.lit(1)).alias("n"), joined(seq, column)))
+    earlier = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    parts = pieces.withColumn("part", floor_div(F.coalesce(F.sum("n").over(earlier), F.lit(0)), rows_per_part))
     return (parts.groupBy(*group, "part")
-            .agg(F.min_by(ts, seq).alias(ts), F.count(F.lit(1)).alias("n"), in_order.alias("_items"))
-            .withColumn(column, F.array_join(F.col("_items.item"), separator)).drop("_items"))
+            .agg(F.min_by(ts, "_piece").alias(ts), F.sum("n").alias("n"), F.coalesce(joined("_piece", column), F.lit("")).alias(column)))
 
 
 def chunk_summary(

@@ -137,8 +137,9 @@ FROM b GROUP BY gender""",
     "window_all_counts": counts("1 hour"),
     "sliding_counts": f"""WITH {sliding()}
 SELECT window_start, window_end, count(*) AS n FROM w GROUP BY window_start, window_end""",
-    "window_concat": f"""WITH {assigned('24 hours')}, p AS (
-  SELECT *, (row_number() OVER (PARTITION BY user_id, window_start ORDER BY seq) - 1) // 10000 AS part FROM w)
+    "window_concat": f"""WITH {assigned('24 hours')}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY seq) - 1 AS place FROM w),
+p AS (SELECT *, min(place) OVER (PARTITION BY user_id, window_start, seq // 10000) // 10000 AS part FROM r)
 SELECT user_id, window_start, window_end, part, min(ts) AS ts, count(*) AS n,
        string_agg(action, ' ' ORDER BY seq) AS action
 FROM p GROUP BY user_id, window_start, window_end, part""",

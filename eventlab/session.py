@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,5 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """The same table, computed once and kept in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
