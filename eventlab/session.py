@@ -29,6 +29,19 @@ def build_session(app_name: str = "eventlab", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def sized_for(shuffled_bytes: int, task_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a job that shuffles about this much: that many tasks to begin with.
+
+    Adaptive execution joins those that turn out small and splits skewed ones in joins.
+    """
+    tasks = max(200, -(-shuffled_bytes // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+    }
+
+
 def use_utc(spark: SparkSession) -> None:
     """Pin the session zone: window borders and parsed times are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
