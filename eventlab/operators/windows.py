@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlab.operators.aggregates import visits
-from eventlab.operators.running import BUCKET, chunked, numbered
+from eventlab.operators.running import BUCKET, chunked, numbered, running
 from eventlab.times import Windows, flatten, floor_div
 
+# Pieces of a window's text that one task orders at a time.
+PIECES = 64
+
 
 def window_aggregate(
     df: DataFrame, ts: str, windows: Windows, measures: Sequence[Column], keys: Sequence[str] = ()
@@ -79,10 +82,13 @@ def window_concat(
     pieces = (windows.assign(df.select(*dict.fromkeys([*keys, ts, seq, column])), ts)
               .groupBy(*group, floor_div(F.col(seq), rows_per_part).alias("_piece"))
               .agg(F.min_by(ts, seq).alias(ts), F.count(F.lit(1)).alias("n"), joined(seq, column)))
-    earlier = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    parts = pieces.withColumn("part", floor_div(F.coalesce(F.sum("n").over(earlier), F.lit(0)), rows_per_part))
+    # A large window has many pieces; few of them pass through a task together.
+    placed = running(pieces, group, "_piece", {"_before": ("sum", F.col("n"))}, inclusive=False,
+                     bucket=PIECES, levels=1)
+    parts = placed.withColumn("part", floor_div(F.coalesce("_before", F.lit(0)), rows_per_part))
     return (parts.groupBy(*group, "part")
-            .agg(F.min_by(ts, "_piece").alias(ts), F.sum("n").alias("n"), F.coalesce(joined("_piece", column), F.lit("")).alias(column)))
+            .agg(F.min_by(ts, "_piece").alias(ts), F.sum("n").alias("n"), joined("_piece", column))
+            .fillna("", [column]))
 
 
 def chunk_summary(

@@ -64,6 +64,14 @@ def test_long_concat_goes_on_in_parts(spark):
         (0, 2, "show click"), (1, 2, "begin read"), (2, 1, "close")]
 
 
+def test_a_very_long_window_keeps_its_order(spark):
+    df = spark.range(2000).selectExpr("id AS seq", "timestamp_millis(id) AS ts", "CAST(id AS STRING) AS action").repartition(4)
+    out = windows.window_concat(df, "ts", "seq", "action", Windows(SECONDS(4)), rows_per_part=10)
+    found = sorted((r.part, r.n, r.action) for r in out.collect())
+    assert [n for _, n, _ in found] == [10] * 200
+    assert " ".join(text for _, _, text in found) == " ".join(map(str, range(2000)))
+
+
 def test_pieces_of_a_short_window_are_joined(spark):
     # Numbers 7 to 12 fall in two runs of ten but make one text; nulls leave no gap.
     rows = [("u", None if i == 12 else f"a{i}", at(i), i) for i in range(7, 13)]
