@@ -1,6 +1,7 @@
 """Operators on single texts, against plain Python."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -33,9 +34,6 @@ def texts_of(df):
 # -- 2 -----------------------------------------------------------------------------------
 
 def plain_scan(text):
-    words = [w for w in "".join(chr(c) for c in []).split()]
-    import re
-
     words = re.findall(common.WORD_CLASS, (text or "").translate({c: c + 32 for c in range(65, 91)}))
     at, labels = [], set()
     for phrase, label in licenses.BASE.items():
@@ -140,7 +138,7 @@ def test_repeats_against_brute_force(spark, which):
     assert sorted(got, key=str) == sorted(plain_repeats(texts_of(df)), key=str)
 
 
-def test_repeats_in_crowded_grams(spark, monkeypatch):
+def test_repeats_in_crowded_grams(spark):
     """A line that stands in many surroundings, split by longer grams or not, gives the same."""
     rng = np.random.default_rng(1)
     line = "this line of sixty letters stands in many different places.."
@@ -150,17 +148,7 @@ def test_repeats_in_crowded_grams(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = sorted(plain_repeats(rows))
     assert sorted(tuple(r) for r in suffix_dedup.repeats(df).collect()) == want
-    marks = suffix_dedup.repeated
-
-    def crowded(pdf, limit=5):
-        old, suffix_dedup.CROWDED = suffix_dedup.CROWDED, limit
-        try:
-            return marks(pdf)
-        finally:
-            suffix_dedup.CROWDED = old
-
-    monkeypatch.setattr(suffix_dedup, "repeated", crowded)
-    assert sorted(tuple(r) for r in suffix_dedup.repeats(df).collect()) == want
+    assert sorted(tuple(r) for r in suffix_dedup.repeats(df, crowded=5).collect()) == want
 
 
 @pytest.mark.parametrize("seed", range(6))
