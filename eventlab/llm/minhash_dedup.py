@@ -7,10 +7,12 @@ Arrivals are drawn up to a time bound, which is raised only while some place is
 so that most shingles draw one number.
 
 Texts with the same counted shingles are one class.  Classes that share a band of their
-signatures are compared by the exact similarity: first each with one chosen member of the
-bucket, which joins groups of copies in a number of comparisons that follows their size, and
-at last every pair of a bucket that is still in different groups.  No link is lost between
-classes that share a band.
+signatures are compared by the exact similarity: first each with one member of the bucket,
+that with the most copies, which joins groups of near copies in a number of comparisons that
+follows their size.  Of buckets that still hold several groups, pairs of different groups are
+compared where they can be similar at all: at a similarity of 0.8, the shingles that the two
+share hold 0.8 of either text's weight, so with the rarest first, the first 0.2 of either's
+weight reach the rarest shared one.  No link is lost between classes that share a band.
 
 Null texts and texts without words are linked with nothing.  Texts of fewer than five words
 have one shingle.  Rows with equal ids and different texts are classed by id: the id's class
@@ -24,7 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlab.llm.common import U64, components, mix, portions, shingles, table, utf8, words_of, written
@@ -135,46 +137,64 @@ def verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
-def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4, rounds: int = 2) -> DataFrame:
+def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle, with its share of the text's weight."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 200):
+            some = batch.slice(i, 200)
+            items = [np.frombuffer(x.as_py(), "<i8") for x in some["items"]]
+            counts = [np.frombuffer(x.as_py(), "<i4") for x in some["counts"]]
+            at = pa.array(np.repeat(np.arange(len(items)), [len(x) for x in items]))
+            yield pa.RecordBatch.from_arrays([some["class"].take(at), some["component"].take(at), pa.array(np.concatenate(items)), pa.array(np.concatenate([c / c.sum() for c in counts]))],
+                                             names=["class", "component", "item", "share"])
+
+
+def possible(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes in different components that share one of the rarest shingles of both.
+
+    A shingle counts as rare by the number of the given classes that hold it.
+    """
+    each = written(rows.mapInArrow(exploded, "class long, component long, item long, share double"), "shingles")
+    spread = each.groupBy("item").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    before = Window.partitionBy("class").orderBy("n", "item").rowsBetween(Window.unboundedPreceding, -1)
+    first = each.join(spread, "item").withColumn("before", F.coalesce(F.sum("share").over(before), F.lit(0.0)))
+    first = first.where((F.col("before") <= 1 - threshold + 1e-9) & (F.col("lo") < F.col("hi"))).select("class", "component", "item")
+    first = written(first, "rarest")
+    other = first.select(F.col("class").alias("b"), F.col("component").alias("_c"), "item")
+    return first.join(other, "item").where("class < b AND component <> _c").select(F.col("class").alias("a"), "b")
+
+
+def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4) -> DataFrame:
     """One row per document: ``doc_id, class_id, kept``; the class id is its smallest document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = written(docs.mapInArrow(partial(features, size=size, bands=bands, rows=rows), "doc_id long, c1 long, c2 long, bands array<long>"), "features")
-    classes = written(found.groupBy("c1", "c2").agg(F.min("doc_id").alias("class"), F.min("bands").alias("bands")), "classes")
-    placed = classes.select("class", F.posexplode("bands").alias("band", "key"))
-    shared = placed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
+    classes = written(found.groupBy("c1", "c2").agg(F.min("doc_id").alias("class"), F.count("*").alias("copies"), F.min("bands").alias("bands")), "classes")
+    placed = classes.select("class", "copies", F.posexplode("bands").alias("band", "key"))
+    centre = F.max_by("class", F.struct("copies", -F.col("class"))).alias("centre")
+    shared = placed.groupBy("band", "key").agg(F.count("*").alias("n"), centre).where("n > 1").select("band", "key", "centre")
     buckets = written(placed.join(shared, ["band", "key"]), "buckets")
-
-    members = buckets.select(F.col("class").alias("doc_id")).distinct()
-    owner = found.select("doc_id", "c1", "c2").join(classes.select("c1", "c2", F.col("class").alias("doc_id")), ["c1", "c2", "doc_id"]).join(members, "doc_id")
-    sets = docs.join(owner.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(partial(weighted, size=size), "doc_id long, items binary, counts binary")
-    sets = written(sets.distinct(), "sets")
+    members = written(buckets.select("class").distinct(), "members")
+    sets = docs.join(members, docs["doc_id"] == members["class"], "left_semi").mapInArrow(partial(weighted, size=size), "doc_id long, items binary, counts binary")
+    sets = written(sets, "sets")
 
     def links(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("ia"), F.col("counts").alias("ca"))
         two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("ib"), F.col("counts").alias("cb"))
         return pairs.distinct().join(one, "a").join(two, "b").select("a", "b", "ia", "ca", "ib", "cb").mapInArrow(partial(verified, threshold=threshold), "a long, b long")
 
-    groups = buckets.select("class").distinct().withColumn("component", F.col("class"))
-    edges = None
-    for turn in range(rounds + 1):
-        inside = buckets.join(groups, "class")
-        if turn:
-            open_ = inside.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "key")
-            inside = written(inside.join(open_, ["band", "key"]), "open")
-            if inside.isEmpty():
-                break
-        if turn < rounds:
-            centre = inside.groupBy("band", "key").agg(F.min_by(F.struct("class", "component"), F.struct(F.xxhash64(F.lit(turn), "component"), "class")).alias("m"))
-            pairs = inside.join(centre, ["band", "key"]).where("component <> m.component")
-            pairs = pairs.select(F.least("class", "m.class").alias("a"), F.greatest("class", "m.class").alias("b"))
-        else:
-            other = inside.select("band", "key", F.col("class").alias("b"), F.col("component").alias("cb"))
-            pairs = inside.join(other, ["band", "key"]).where("class < b AND component <> cb").select(F.col("class").alias("a"), "b")
-        new = written(links(pairs), "edges")
-        edges = new if edges is None else edges.unionByName(new)
-        labels = components(edges, "class", "component")
-        groups = buckets.select("class").distinct().join(labels, "class", "left").select("class", F.coalesce("component", "class").alias("component"))
-    members = found.select("doc_id", "c1", "c2").join(classes.select("c1", "c2", "class"), ["c1", "c2"]).join(groups, "class", "left")
+    def groups(edges: DataFrame) -> DataFrame:
+        joined = members.join(components(edges, "class", "component"), "class", "left")
+        return written(joined.select("class", F.coalesce("component", "class").alias("component")), "groups")
+
+    edges = written(links(buckets.where("class <> centre").select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"))), "edges")
+    labels = groups(edges)
+    inside = buckets.select("band", "key", "class").join(labels, "class")
+    apart = inside.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "key")
+    apart = written(inside.join(apart, ["band", "key"]).select("class", "component").distinct(), "apart")
+    if not apart.isEmpty():
+        more = written(links(possible(sets.join(apart, sets["doc_id"] == apart["class"]).select("class", "component", "items", "counts"), threshold)), "edges")
+        labels = groups(edges.unionByName(more))
+    members = found.select("doc_id", "c1", "c2").join(classes.select("c1", "c2", "class"), ["c1", "c2"]).join(labels, "class", "left")
     members = members.groupBy("doc_id").agg(F.min(F.coalesce("component", "class")).alias("class_id"))
     out = docs.select("doc_id").join(members, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("class_id"))
