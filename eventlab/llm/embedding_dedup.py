@@ -21,14 +21,16 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlab.llm.common import components, table, written
 
+#: Rows of a bucket that one side of a tile holds.
 TILE = 1024
+#: Larger groups are compared by matrix product, smaller ones pair by pair, so many at a time.
+SMALL, PAIRS = 64, 1 << 16
 
 
 def hyperplanes(size: int, tables: int, bits: int) -> np.ndarray:
@@ -55,49 +57,95 @@ def sized(vectors: list) -> list[tuple[int, list]]:
     return sorted(by.items())
 
 
-def tile(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links between the two sides of a tile: per class the other side's rows, and a spanning set."""
-    here = int(rows["t"].iloc[0])
+def near_pairs(unit: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one group, one from either side, whose product reaches the threshold."""
+    border = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+    sizes = np.diff(border)
+    found = []
+    for a, b in zip(border[:-1][sizes > SMALL], border[1:][sizes > SMALL]):
+        i, j = np.nonzero(unit[a:b] @ unit[a:b].T >= threshold)
+        found.append((i[i < j] + a, j[i < j] + a))
+    later = np.repeat(border[1:], sizes) - np.arange(len(group)) - 1  # rows of the group behind each row
+    later[np.repeat(sizes > SMALL, sizes)] = 0
+    ends = np.cumsum(later)
+    for low in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+        nth = np.arange(low, min(low + PAIRS, ends[-1]))
+        i = np.searchsorted(ends, nth, "right")
+        j = i + 1 + nth - (ends[i] - later[i])
+        near = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
+        found.append((i[near], j[near]))
+    i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    facing = left[i] & right[j] | left[j] & right[i]
+    return i[facing], j[facing]
+
+
+def spanning(rows: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each row the first row it is connected with."""
+    label = np.arange(rows)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def compared(rows: pa.Table, threshold: float) -> pa.RecordBatch:
+    """Sums of links per class, and a spanning set of links, of whole groups."""
     out = []
-    for _, same in rows.groupby(rows["unit"].map(len)):
-        same = same.sort_values("class_id")
-        left = same[same["left"]]
-        right = same[same["right"]]
-        if not len(left) or not len(right):
-            continue
-        a, b = np.stack(left["unit"].to_list()), np.stack(right["unit"].to_list())
-        ids_a, ids_b = left["class_id"].to_numpy(), right["class_id"].to_numpy()
-        same_tile = bool(left["right"].all())
-        near = a @ b.T >= threshold
-        if same_tile:
-            near = np.triu(near, 1)
-        i, j = np.nonzero(near)
-        if not len(i):
-            continue
-        codes_a, codes_b = np.stack(left["codes"].to_list())[i, :here], np.stack(right["codes"].to_list())[j, :here]
-        new = ~(codes_a == codes_b).any(axis=1)
-        i, j = i[new], j[new]
-        for ids, mine, other, copies in ((ids_a, i, j, right["copies"].to_numpy()), (ids_b, j, i, left["copies"].to_numpy())):
-            total = np.bincount(mine, weights=copies[other], minlength=len(ids)).astype(np.int64)
-            out.append(pd.DataFrame({"a": ids, "b": ids, "n": total})[total > 0])
-        x, y = ids_a[i], ids_b[j]
-        roots: dict[int, int] = {}
-
-        def root(v: int) -> int:
-            while roots.get(v, v) != v:
-                roots[v] = roots.get(roots[v], roots[v])
-                v = roots[v]
-            return v
-
-        links = []
-        for u, v in zip(x.tolist(), y.tolist()):
-            p, q = root(u), root(v)
-            if p != q:
-                roots[max(p, q)] = min(p, q)
-                links.append((u, v))
-        if links:
-            out.append(pd.DataFrame(links, columns=["a", "b"]).assign(n=0))
-    return pd.concat(out).astype("int64") if out else pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
+    lengths = np.diff(rows["unit"].combine_chunks().offsets.to_numpy())
+    for size in np.unique(lengths):
+        part = rows.take(pa.array(np.flatnonzero(lengths == size))).combine_chunks()
+        names, copies, t, group = (part[c].to_numpy() for c in ("class_id", "copies", "t", "_group"))
+        left, right = (np.array(part[c].to_pylist(), bool) for c in ("left", "right"))
+        unit = part["unit"].combine_chunks().flatten().to_numpy().reshape(len(names), size)
+        codes = part["codes"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
+        i, j = near_pairs(unit, group, left, right, threshold)
+        fresh = [((codes[i[k:k + PAIRS]] == codes[j[k:k + PAIRS]]) & (np.arange(codes.shape[1]) < t[i[k:k + PAIRS], None])).any(axis=1) for k in range(0, len(i), PAIRS)]
+        if fresh:
+            new = ~np.concatenate(fresh)
+            i, j = i[new], j[new]
+        total = np.bincount(i, copies[j], len(names)) + np.bincount(j, copies[i], len(names))
+        label = spanning(len(names), i, j)
+        many, linked = np.flatnonzero(total), np.flatnonzero(label != np.arange(len(names)))
+        out += [(names[many], names[many], total[many].astype(np.int64)), (names[linked], names[label[linked]], np.zeros(len(linked), np.int64))]
+    columns = [np.concatenate(x) for x in zip(*out)]
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b", "n"])
+
+
+def tiles(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Tiles follow one another in order; the last one of a batch waits for the next batch."""
+    rest: pa.Table | None = None
+    number = 0
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        keys = [rows[c].to_numpy() for c in ("t", "code", "x", "y")]
+        new = np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
+        group = np.cumsum(new) + number
+        if rest is not None:
+            same = all(rest[c][0].as_py() == rows[c][0].as_py() for c in ("t", "code", "x", "y"))
+            group -= same
+            rows = pa.concat_tables([rest, rows.append_column("_group", pa.array(group))])
+        else:
+            rows = rows.append_column("_group", pa.array(group))
+        number = int(group[-1])
+        whole = int(np.searchsorted(rows["_group"].to_numpy(), number))
+        for low in whole_groups(rows["_group"].to_numpy()[:whole]):
+            yield compared(rows.slice(*low), threshold)
+        rest = rows.slice(whole).combine_chunks()
+    if rest is not None:
+        yield compared(rest, threshold)
+
+
+def whole_groups(group: np.ndarray, rows: int = 8192) -> Iterator[tuple[int, int]]:
+    """Slices of whole groups, of about so many rows."""
+    first = 0
+    while first < len(group):
+        last = len(group) if first + rows >= len(group) else int(np.searchsorted(group, group[first + rows], "right"))
+        yield first, last - first
+        first = last
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, miss: float = 0.002, spare_bits: int = 4) -> DataFrame:
@@ -122,10 +170,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     block, blocks = F.pmod(F.xxhash64("class_id"), F.col("blocks")).alias("block"), F.ceil(F.col("size") / TILE).alias("blocks")
     full = full.select("*", blocks).select("t", "code", "class_id", "blocks", block)
     # A row of block i takes part in the tiles (i, i), (i, j) for later j, and (j, i) for earlier j.
-    tiles = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    full = full.select("*", tiles).select("t", "code", "class_id", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    full = full.select("*", others).select("t", "code", "class_id", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"))
     carried = full.join(classes.select("class_id", "copies", "unit").join(coded, "class_id"), "class_id")
-    found = carried.groupBy("t", "code", "x", "y").applyInPandas(partial(tile, threshold=threshold), "a long, b long, n long")
+    order = ["t", "code", "x", "y"]
+    found = carried.select(*order, "class_id", "left", "right", "copies", "unit", "codes").repartition(*order).sortWithinPartitions(*order)
+    found = found.mapInArrow(partial(tiles, threshold=threshold), "a long, b long, n long")
     found = written(found, "found")
 
     links = found.where("a = b").groupBy(F.col("a").alias("class_id")).agg(F.sum("n").alias("n"))
