@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Separator, time format and its length, field positions of each record.
+# Separator, time format, field positions of each record.
 SEPARATOR = ","
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-TIME_LENGTH = 19
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 BOOK_FIELDS = {"bid": 0, "title": 1, "writer": 2, "gender": 4}
 EVENT_FIELDS = {"user_id": 0, "action": 1, "ts": 2}
 WIDE_EVENT_FIELDS = {"user_id": 3, "action": 20, "ts": 5}
@@ -24,8 +23,8 @@ def field(line: str, position: int) -> Column:
 
 
 def parse_time(value: Column) -> Column:
-    """A timestamp from text; what follows the seconds is ignored."""
-    return F.try_to_timestamp(F.left(value, F.lit(TIME_LENGTH)), F.lit(TIME_FORMAT))
+    """A timestamp from text, with up to six digits after the second."""
+    return F.try_to_timestamp(value, F.lit(TIME_FORMAT))
 
 
 def parse_number(value: Column) -> Column:

@@ -97,6 +97,7 @@ def reduce_in_order(
     ``seq`` is a unique whole number.  Rows fold in levels: first each run of ``fold``
     consecutive numbers, then twice each run of that many partial results, then the rest.
     No task gathers more than ``fold`` values of a key while ``seq`` is below ``fold ** 4``.
+    Merges that need no order are cheaper by :func:`reduce_any_order`.
     """
     level = df.select(*keys, F.col(seq).cast("bigint").alias("_at"), value.alias("_value"))
     for unit in (True, True, True, False):
@@ -109,6 +110,18 @@ def reduce_in_order(
     return level.select(*keys, F.col("_value").alias(name))
 
 
+def reduce_any_order(
+    df: DataFrame, keys: Sequence[str], seq: str, first: Sequence[str], sums: Sequence[str]
+) -> DataFrame:
+    """The same for merges that add ``sums`` and keep the first row's ``first`` columns.
+
+    Such a merge needs no order, so rows are reduced before the single shuffle.
+    """
+    base = F.min_by(F.struct(*first), seq).alias("_base")
+    out = df.groupBy(*keys).agg(base, *[F.sum(c).alias(c) for c in sums])
+    return out.select(*keys, *[F.col(f"_base.{c}").alias(c) for c in first], *sums)
+
+
 def visits(user: str, approx: bool = False) -> list[Column]:
     """Page views and unique visitors, to be used with any grouping."""
     unique = F.approx_count_distinct(user) if approx else F.count_distinct(user)

@@ -89,7 +89,7 @@ def settle(points: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
     closes = F.when(F.col("close").isNotNull(), F.col("window_at"))
     return running(newest_first, [], "_back", {
         "fire_seq": ("min", F.col("fire")), "close_seq": ("min", F.col("close")), "closed_at": ("max", closes),
-    }, bucket=bucket, levels=1).drop("_back")
+    }, bucket=bucket).drop("_back")
 
 
 def limits_of(settled: DataFrame) -> DataFrame:
@@ -136,6 +136,14 @@ def late_rows(
     return joined.filter(F.col(seq) > F.col("close_seq")).select(*df.columns)
 
 
+def undated_rows(df: DataFrame, ts: str) -> DataFrame:
+    """The rows without a time: no window can take them and they are not late.
+
+    Late, accepted and undated rows together are the input.
+    """
+    return df.filter(F.col(ts).isNull())
+
+
 def accepted_rows(
     df: DataFrame,
     ts: str,
@@ -145,7 +153,7 @@ def accepted_rows(
     broadcast_windows: int = BROADCAST_WINDOWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Each row once per window that takes it, with ``window_start``, ``window_end`` and ``fire_seq``."""
+    """Each row once per window that takes it (see :func:`undated_rows` for the others), with ``window_start``, ``window_end`` and ``fire_seq``."""
     rows = policy.windows.assign(df, ts).withColumn("window_at", policy.windows.index(F.col("window_start")))
     joined = with_limits(rows, written(window_limits(df, ts, seq, policy)), seq, broadcast_windows, salts)
     taken = joined.filter(F.col("close_seq").isNull() | (F.col(seq) <= F.col("close_seq")))
@@ -170,7 +178,7 @@ def firings(
     first firing are numbered one by one.
     """
     rows = accepted_rows(df, ts, seq, policy, broadcast_windows=broadcast_windows, salts=salts)
-    rows = rows.withColumn("_fire", F.coalesce("fire_seq", F.lit(END)))
+    rows = written(rows.select(seq, user, "window_start", "window_end", F.coalesce("fire_seq", F.lit(END)).alias("_fire")))
     window = ["window_start", "window_end", "_fire"]
     # A user counts from the first firing, or from the first row after it.
     users = (rows.groupBy(*window, user)

@@ -12,10 +12,6 @@ from eventlab.operators.running import BUCKET, running
 from eventlab.times import Windows, flatten
 
 
-# An arrival number after all others.
-LAST = (1 << 63) - 1
-
-
 def union_all(first: DataFrame, *more: DataFrame) -> DataFrame:
     """All rows of tables of one shape, duplicates kept, columns matched by name."""
     for df in more:
@@ -43,13 +39,14 @@ def status(left_ts: Column, right_ts: Column, timeout: timedelta | None) -> Colu
     return out.otherwise("matched")
 
 
-def reconcile(
+def newest_per_side(
     left: DataFrame, right: DataFrame, key: str, ts: str, timeout: timedelta | None = None
 ) -> DataFrame:
     """Pair the newest event of each side per key and say how they met.
 
     One aggregation over both inputs: each task keeps one time per key and side before
-    the single shuffle, so a key repeated without end costs no more than any other.
+    the single shuffle, so a key repeated without end costs no more than any other.  Older
+    events are not listed; :func:`reconcile_in_order` pairs every event.
     """
     both = tagged_union(left.select(key, ts), right.select(key, ts))
     newest = {s: F.max(F.when(F.col("side") == s, F.col(ts))).alias(f"{s}_ts") for s in ("left", "right")}
@@ -79,7 +76,7 @@ def reconcile_in_order(
 
     events = tagged_union(event(left), event(right))
     # A closing row per key, of no side, gives up whatever still waits.
-    closing = events.select("key").distinct().select("key", F.lit(LAST).alias("seq"))
+    closing = events.groupBy("key").agg((F.max("seq") + 1).alias("seq"))
     steps = pairing_steps(events.unionByName(closing, allowMissingColumns=True), bucket=bucket)
     return (settled(steps).withColumn("status", status(F.col("left_ts"), F.col("right_ts"), timeout))
             .withColumnRenamed("key", key))

@@ -1,29 +1,29 @@
 """Running aggregates in arrival order that no hot key can pin to one task.
 
-A plain ``sum(...) OVER (PARTITION BY key ORDER BY seq)`` sorts all rows of a key in
-one task.  Here every key is cut into buckets of consecutive ``seq`` numbers.  Each
-bucket is aggregated first (partial aggregation, no sort), the small bucket table is
-accumulated per key in the same way, and what went before a bucket enters it as one
-extra leading row.  The full table is shuffled once, by key and bucket, and no task
-sorts more than one bucket of a key at a time.
+A plain ``sum(...) OVER (PARTITION BY key ORDER BY seq)`` sorts all rows of a key in one
+task, which is right for keys of up to ``bucket`` rows.  Larger keys, of which there is at
+most one per ``bucket`` rows of the table, are cut into runs at quantiles of their arrival
+numbers.  Each run is aggregated first (partial aggregation, no sort), the small table of
+runs is accumulated per key, and what went before a run enters it as one leading row.  The
+table is shuffled once, by key and run; how the numbers are spread doesn't matter, and
+where the cuts lie moves work between tasks but changes no result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlab.times import floor_div
 
-# `seq` numbers per bucket, hence the most rows of a key that one task sorts.
+# The most rows of a key that one task sorts without need.
 BUCKET = 1 << 18
-# Bucket tables that are themselves cut into buckets; BUCKET ** (LEVELS + 1) numbers
-# leave at most BUCKET rows per key for the last, unbucketed, accumulation.
-LEVELS = 2
+# Cuts at quantiles; between two of them a key's numbers are cut evenly.
+CUTS = 64
 
 # Aggregates that can be merged with themselves: a partial result is again an input.
 MERGEABLE = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -38,54 +38,81 @@ def running(
     lead: str | None = None,
     inclusive: bool = True,
     bucket: int = BUCKET,
-    levels: int = LEVELS,
 ) -> DataFrame:
     """Add one running total per entry of ``totals`` to every row.
 
     ``totals`` maps an output name to ``("sum" | "max" | "min", input column)``.  Rows
     are taken per ``keys`` in the order of ``lead``, if given, and then ``seq``; both are
     whole numbers, and together they are unique within the keys.  ``inclusive=False``
-    leaves the row itself out.  One level is enough for numbers without large gaps below
-    ``bucket ** 2``, such as the numbers of windows.
+    leaves the row itself out.
     """
     merges = {name: MERGEABLE[how] for name, (how, _) in totals.items()}
-    inputs = {f"_in_{name}": column for name, (_, column) in totals.items()}
-    unit = [*([lead] if lead else []), "_bucket"]
-    rows = df.withColumns({**inputs, "_bucket": floor_div(F.col(seq), bucket)})
-    out = _accumulate(rows, keys, unit, [seq], merges, inclusive, bucket, levels)
-    return out.select(*df.columns, *[F.col(f"_out_{n}").alias(n) for n in totals])
+    rows = df.withColumns({**{f"_in_{name}": column for name, (_, column) in totals.items()}, "_is_row": F.lit(1)})
+    if lead is not None:
+        # A key's earlier values of `lead` enter the next one as its first row.
+        groups = rows.groupBy(*keys, lead).agg(*_merged(merges))
+        before = _accumulate(groups.withColumn("_is_row", F.lit(1)), keys, lead, merges, False, bucket)
+        rows = rows.unionByName(_carried(before, rows, [*keys, lead], merges))
+        keys = [*keys, lead]
+    out = _accumulate(rows, keys, seq, merges, inclusive, bucket)
+    return out.filter("_is_row = 1").select(*df.columns, *[F.col(f"_out_{n}").alias(n) for n in totals])
+
+
+def _merged(merges: Mapping[str, Callable]) -> list[Column]:
+    return [merge(f"_in_{n}").alias(f"_in_{n}") for n, merge in merges.items()]
+
+
+def _carried(before: DataFrame, rows: DataFrame, group: Sequence[str], merges: Mapping[str, Callable]) -> DataFrame:
+    """What went before each group, if anything, as a row; its other columns are null."""
+    known = {*group, "_is_row", *(f"_in_{n}" for n in merges)}
+    before = before.filter(reduce(or_, [F.col(f"_out_{n}").isNotNull() for n in merges]))
+    return before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges], F.lit(0).alias("_is_row"),
+                         *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in known])
 
 
 def _accumulate(
     rows: DataFrame,
     keys: Sequence[str],
-    unit: Sequence[str],
-    order: Sequence[str],
-    merges: Mapping[str, Callable[[str], Column]],
+    seq: str,
+    merges: Mapping[str, Callable],
     inclusive: bool,
     bucket: int,
-    levels: int,
 ) -> DataFrame:
-    """Running ``_out_*`` from ``_in_*``, per ``keys`` in the order of ``unit`` and then ``order``."""
-    group = [*keys, *unit]
-    units = rows.groupBy(*group).agg(*[merge(f"_in_{n}").alias(f"_in_{n}") for n, merge in merges.items()])
-    if levels > 1:
-        above = f"_level_{levels}"
-        units = units.withColumn(above, floor_div(F.col(unit[0]), bucket))
-        before = _accumulate(units, keys, [above], unit, merges, False, bucket, levels - 1)
-    else:
-        earlier = Window.partitionBy(*keys).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
-        before = units.withColumns({f"_out_{n}": merge(f"_in_{n}").over(earlier) for n, merge in merges.items()})
-    # What went before a unit, if anything, enters it as its first row; its other columns are null.
-    before = before.filter(reduce(or_, [F.col(f"_out_{n}").isNotNull() for n in merges]))
-    known = {*group, *(f"_in_{n}" for n in merges)}
-    carried = before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges],
-                            *[F.lit(None).alias(c) for c in rows.columns if c not in known], F.lit(0).alias("_is_row"))
-    upto = (Window.partitionBy(*group).orderBy("_is_row", *order)
+    """Running ``_out_*`` from ``_in_*`` per ``keys``; rows with ``_is_row`` 0 come first."""
+    at = F.col(seq).cast("bigint")
+    if not keys:  # one key for all rows, in a form that stays a key to join on
+        rows = rows.withColumn("_all", F.coalesce(at.bitwiseAND(F.lit(0)), F.lit(0)))
+        return _accumulate(rows, ["_all"], seq, merges, inclusive, bucket).drop("_all")
+    names = {f"_key_{i}": k for i, k in enumerate(keys)}
+
+    def join(df: DataFrame, large: DataFrame, how: str) -> DataFrame:
+        """At most one row per `bucket` rows of the table is sent to all tasks."""
+        on = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for n, k in names.items()])
+        return df.join(F.broadcast(large), on, how).drop(*names)
+
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count")).filter(F.col("_count") > bucket)
+    counts = counts.select(*[F.col(k).alias(n) for n, k in names.items()], "_count")
+    cuts = F.percentile_approx(at, [i / CUTS for i in range(CUTS + 1)], 10_000)
+    large = join(rows.select(*keys, seq), counts, "inner").groupBy(*keys).agg(F.first("_count").alias("_count"), cuts.alias("_cuts"))
+    large = large.select(*[F.col(k).alias(n) for n, k in names.items()], F.array_distinct("_cuts").alias("_cuts"),
+                         F.ceil(F.col("_count") / F.lit(bucket * CUTS)).alias("_pieces"))
+    cut = join(rows, large, "left")
+    place = F.size(F.filter("_cuts", lambda x: x <= at))
+    low, high = F.get("_cuts", F.col("_place") - 1), F.get("_cuts", F.col("_place"))
+    piece = F.least(F.col("_pieces") - 1, F.floor((at.cast("double") - low) / (high.cast("double") - low) * F.col("_pieces")))
+    run = F.when(F.col("_cuts").isNull() | at.isNull(), F.lit(0)).otherwise(F.col("_place") * F.col("_pieces") + F.coalesce(piece, F.lit(0)))
+    cut = cut.withColumn("_place", place).withColumn("_run", run.cast("bigint"))
+
+    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = cut.filter("_cuts IS NOT NULL").groupBy(*keys, "_run").agg(*_merged(merges))
+    before = runs.select(*keys, "_run", *[merge(f"_in_{n}").over(earlier).alias(f"_out_{n}") for n, merge in merges.items()])
+    cut = cut.drop("_cuts", "_pieces", "_place")
+    carried = _carried(before, cut, [*keys, "_run"], merges).withColumn("_is_row", F.lit(-1))
+    upto = (Window.partitionBy(*keys, "_run").orderBy("_is_row", seq)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
-    return (rows.select("*", F.lit(1).alias("_is_row")).unionByName(carried)
+    return (cut.unionByName(carried)
             .select("*", *[merge(f"_in_{n}").over(upto).alias(f"_out_{n}") for n, merge in merges.items()])
-            .filter("_is_row = 1").drop("_is_row"))
+            .filter("_is_row >= 0").drop("_run"))
 
 
 def numbered(

@@ -40,7 +40,7 @@ def window_and_cumulative(
 ) -> DataFrame:
     """Per key and window the rows of the window and of all windows up to it."""
     counts = window_counts(df, ts, windows, keys).withColumn("_at", windows.index(F.col("window_start")))
-    return running(counts, keys, "_at", {"cumulative": ("sum", F.col("n"))}, bucket=bucket, levels=1).drop("_at")
+    return running(counts, keys, "_at", {"cumulative": ("sum", F.col("n"))}, bucket=bucket).drop("_at")
 
 
 def active_keys(df: DataFrame, key: str, ts: str, windows: Windows) -> DataFrame:

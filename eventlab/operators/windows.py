@@ -8,13 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlab.operators.aggregates import visits
-from eventlab.operators.running import BUCKET, chunked, numbered, running
+from eventlab.operators.running import BUCKET, chunked, numbered
 from eventlab.times import Windows, flatten, floor_div
 
-# Pieces of a window's text that one task orders at a time.
-PIECES = 64
-
-
 def window_aggregate(
     df: DataFrame, ts: str, windows: Windows, measures: Sequence[Column], keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -26,8 +22,16 @@ def window_aggregate(
 
 
 def window_counts(df: DataFrame, ts: str, windows: Windows, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows per key and window."""
-    return window_aggregate(df, ts, windows, [F.count(F.lit(1)).alias("n")], keys)
+    """Rows per key and window.
+
+    Overlapping windows add up the counts of their panes, so a row is counted once however
+    many windows it belongs to.
+    """
+    counted = [F.count(F.lit(1)).alias("n")]
+    if windows.step >= windows.size:
+        return window_aggregate(df, ts, windows, counted, keys)
+    panes = window_aggregate(df, ts, windows.panes, counted, keys).select(*keys, F.col("window_start").alias("_pane"), "n")
+    return window_aggregate(panes, "_pane", windows, [F.sum("n").alias("n")], keys)
 
 
 def window_visits(
@@ -35,10 +39,14 @@ def window_visits(
 ) -> DataFrame:
     """Page views and unique visitors per key and window.
 
-    The exact form shuffles by (window, user) first, so one window may hold most rows;
-    ``approx`` needs one shuffle of sketches.
+    The exact form shuffles by (window, user) first, so one window may hold most rows, and
+    overlapping windows take one row per pane and user; ``approx`` needs one shuffle of sketches.
     """
-    return window_aggregate(df, ts, windows, visits(user, approx), keys)
+    if approx or windows.step >= windows.size:
+        return window_aggregate(df, ts, windows, visits(user, approx), keys)
+    panes = window_aggregate(df, ts, windows.panes, [F.count(F.lit(1)).alias("_n")], [*dict.fromkeys([*keys, user])])
+    panes = panes.select(*dict.fromkeys([*keys, user]), F.col("window_start").alias("_pane"), "_n")
+    return window_aggregate(panes, "_pane", windows, [F.sum("_n").alias("pv"), F.count_distinct(user).alias("uv")], keys)
 
 
 def window_contents(
@@ -63,32 +71,21 @@ def window_concat(
     windows: Windows,
     keys: Sequence[str] = (),
     *,
+    rows_per_part: int,
     separator: str = " ",
-    rows_per_part: int = 10_000,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Join ``column`` in arrival order per key and window; ``ts`` is the first row's.
 
-    Each run of ``rows_per_part`` arrival numbers is joined on its own, then the pieces of
-    a window are.  A text that has reached ``rows_per_part`` rows continues in a further
-    row (``part`` 1, 2, ...), so no task gathers an unbounded window; parts joined in order
-    are the whole text.
+    A text comes in parts of ``rows_per_part`` rows each, counted from the window's first
+    row, so no task gathers an unbounded window; parts joined in order are the whole text.
     """
     group = [*keys, "window_start", "window_end"]
-
-    def joined(order: str, item: str) -> Column:
-        items = F.array_compact(F.sort_array(F.collect_list(F.struct(order, item)))[item])
-        return F.when(F.size(items) > 0, F.array_join(items, separator)).alias(column)
-
-    pieces = (windows.assign(df.select(*dict.fromkeys([*keys, ts, seq, column])), ts)
-              .groupBy(*group, floor_div(F.col(seq), rows_per_part).alias("_piece"))
-              .agg(F.min_by(ts, seq).alias(ts), F.count(F.lit(1)).alias("n"), joined(seq, column)))
-    # A large window has many pieces; few of them pass through a task together.
-    placed = running(pieces, group, "_piece", {"_before": ("sum", F.col("n"))}, inclusive=False,
-                     bucket=PIECES, levels=1)
-    parts = placed.withColumn("part", floor_div(F.coalesce("_before", F.lit(0)), rows_per_part))
-    return (parts.groupBy(*group, "part")
-            .agg(F.min_by(ts, "_piece").alias(ts), F.sum("n").alias("n"), joined("_piece", column))
-            .fillna("", [column]))
+    rows = windows.assign(df.select(*dict.fromkeys([*keys, ts, seq, column])), ts)
+    placed = numbered(rows, group, seq, "_position", bucket=bucket)
+    items = F.array_compact(F.sort_array(F.collect_list(F.struct(seq, column)))[column])
+    return (placed.groupBy(*group, floor_div(F.col("_position") - 1, rows_per_part).alias("part"))
+            .agg(F.min_by(ts, seq).alias(ts), F.count(F.lit(1)).alias("n"), F.array_join(items, separator).alias(column)))
 
 
 def chunk_summary(

@@ -13,9 +13,13 @@ from eventlab.operators import aggregates, eventtime, late, multistream, state,
 from eventlab.plans import live, tables
 from eventlab.sources import readers
 from eventlab.streaming import counters, sinks
+from eventlab.streaming.groups import RowGroups
 from eventlab.streaming.late import LiveLate
+from eventlab.streaming.live import live_totals as totals_of
 from eventlab.streaming.live import live_visits
 from eventlab.streaming.reconcile import LiveReconcile
+from eventlab.streaming.tables import OutputTable
+from eventlab.streaming.timers import reconcile_with_timers
 from eventlab.streaming.topn import live_top_n
 from eventlab.times import Windows
 
@@ -141,6 +145,11 @@ def keyed_reduce(spark, d):
     return out.select("gender", "value.*")
 
 
+@query
+def keyed_sum(spark, d):
+    return aggregates.reduce_any_order(books(spark, d), ["gender"], "seq", ["bid", "title", "writer"], ["n"])
+
+
 # Windows
 
 
@@ -176,7 +185,7 @@ def sliding_counts(spark, d):
 
 @query
 def window_concat(spark, d):
-    return windows.window_concat(tables.events(spark, d), "ts", "seq", "action", DAY, ["user_id"])
+    return windows.window_concat(tables.events(spark, d), "ts", "seq", "action", DAY, ["user_id"], rows_per_part=3)
 
 
 @query
@@ -263,6 +272,16 @@ def late_rows_sliding(spark, d):
     return late.late_rows(tables.disordered_events(spark, d), "ts", "seq", LATE_SLIDING)
 
 
+@query
+def late_outcome(spark, d):
+    """Each event once: late, accepted, or without a time (every 97th, made so here)."""
+    events = tables.disordered_events(spark, d).withColumn("ts", F.when(F.col("seq") % 97 != 0, F.col("ts")))
+    parts = {"late": late.late_rows(events, "ts", "seq", LATE), "undated": late.undated_rows(events, "ts"),
+             "accepted": late.accepted_rows(events, "ts", "seq", LATE)}
+    late_, undated, accepted = (rows.select("seq", F.lit(name).alias("outcome")) for name, rows in parts.items())
+    return multistream.union_all(late_, undated, accepted)
+
+
 @query
 def late_count(spark, d):
     return late.late_counts(tables.disordered_events(spark, d), "ts", "seq", LATE, Windows(timedelta(hours=24_000)))
@@ -288,13 +307,34 @@ def late_final_visits(spark, d):
 
 @query
 def reconcile(spark, d):
-    return multistream.reconcile(tables.orders(spark, d), tables.shipments(spark, d), "order_id", "ts",
+    return multistream.newest_per_side(tables.orders(spark, d), tables.shipments(spark, d), "order_id", "ts",
                                  timedelta(days=30))
 
 
 @query
 def reconcile_no_timeout(spark, d):
-    return multistream.reconcile(tables.orders(spark, d), tables.shipments(spark, d), "order_id", "ts")
+    return multistream.newest_per_side(tables.orders(spark, d), tables.shipments(spark, d), "order_id", "ts")
+
+
+def orders_and_shipments(spark, d):
+    """All events of both parties; they arrive by day, an order before the shipments of its day."""
+    day = lambda c: F.unix_date(F.col(c).cast("date")).cast("bigint") * 16
+    placed = tables.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("ts"), day("o_orderdate").alias("seq"))
+    sent = tables.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
+        (day("l_shipdate") + F.col("l_linenumber")).alias("seq"))
+    return placed, sent
+
+
+@query
+def pair_shipments(spark, d):
+    return multistream.reconcile_in_order(*orders_and_shipments(spark, d), "order_id", "ts", "seq", timedelta(days=30))
+
+
+@query
+def pair_shipments_no_timeout(spark, d):
+    return multistream.reconcile_in_order(*orders_and_shipments(spark, d), "order_id", "ts", "seq")
 
 
 @query
@@ -336,24 +376,61 @@ def window_join(spark, d):
 # Streaming forms; each runs over all data there is now and gives the table it wrote
 
 
+@query
+def text_scan(spark, d):
+    return parse.parse_event(readers.text_lines(spark, live.event_files(spark, d, live.folder(spark))))
+
+
+@query
+def live_text(spark, d):
+    home = live.folder(spark)
+    lines = readers.stream_text_lines(spark, live.event_files(spark, d, home), files_per_batch=1)
+    return live.written(parse.parse_event(lines), home)
+
+
+@query
+def live_text_sink(spark, d):
+    home = live.folder(spark)
+    sinks.run_available(sinks.to_text_files(live.events(spark, d, home), parse.format_event(), f"{home}/out", f"{home}/checkpoint"))
+    return readers.text_lines(spark, f"{home}/out").withColumnRenamed("value", "line")
+
+
 @query
 def live_uv_pv(spark, d):
-    return live.written(live_visits(live.events(spark, d), "ts", "user_id", HALF_PAST, SOURCE_DELAYS["other"], ["action"]),
-                        live.folder(spark))
+    home = live.folder(spark)
+    stream = live.events(spark, d, home)
+    return live.written(live_visits(stream, "ts", "user_id", HALF_PAST, SOURCE_DELAYS["other"], ["action"]), home)
 
 
 @query
 def live_topn(spark, d):
     home = live.folder(spark)
-    sinks.run_available(live_top_n(live.events(spark, d), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"],
+    sinks.run_available(live_top_n(live.events(spark, d, home), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"],
                                    f"{home}/out", f"{home}/checkpoint"))
     return spark.read.parquet(f"{home}/out/batch=*")
 
 
+@query
+def live_totals(spark, d):
+    home = live.folder(spark)
+    changed = totals_of(live.events(spark, d, home), ["action"], [F.count(F.lit(1)).alias("n")])
+    out = OutputTable(f"{home}/out", "action string, n bigint")
+    sinks.run_available(sinks.to_batches(changed, out.write, f"{home}/checkpoint", "update"))
+    return out.all(spark).groupBy("action").agg(F.max("n").alias("n"))
+
+
+@query
+def live_groups(spark, d):
+    home = live.folder(spark)
+    groups = RowGroups(live.events(spark, d, home), "seq", 1000, home)
+    sinks.run_available(groups.writer(f"{home}/checkpoint"))
+    return groups.all(spark).groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
+
+
 @query
 def live_running_count(spark, d):
     home = live.folder(spark)
-    writer, out = counters.live_running_count(live.events(spark, d), ["action"], "seq", home, f"{home}/checkpoint")
+    writer, out = counters.live_running_count(live.events(spark, d, home), ["action"], "seq", home, f"{home}/checkpoint")
     sinks.run_available(writer)
     return out.all(spark)
 
@@ -361,7 +438,7 @@ def live_running_count(spark, d):
 @query
 def live_watermark(spark, d):
     home = live.folder(spark)
-    writer, out = counters.live_watermark_trace(tables.disordered(live.events(spark, d)), "ts", "seq", home,
+    writer, out = counters.live_watermark_trace(live.disordered_events(spark, d, home), "ts", "seq", home,
                                                 f"{home}/checkpoint", timedelta(minutes=15))
     sinks.run_available(writer)
     return out.all(spark).select("seq", "ts", "watermark")
@@ -370,7 +447,7 @@ def live_watermark(spark, d):
 @query
 def live_late_rows(spark, d):
     home = live.folder(spark)
-    split = LiveLate(tables.disordered(live.events(spark, d)), "ts", "seq", "user_id", LATE, home)
+    split = LiveLate(live.disordered_events(spark, d, home), "ts", "seq", "user_id", LATE, home)
     sinks.run_available(split.writer(f"{home}/checkpoint"))
     return split.late.all(spark)
 
@@ -378,19 +455,37 @@ def live_late_rows(spark, d):
 @query
 def live_late_visits(spark, d):
     home = live.folder(spark)
-    split = LiveLate(tables.disordered(live.events(spark, d)), "ts", "seq", "user_id", LATE_SLIDING, home)
+    split = LiveLate(live.disordered_events(spark, d, home), "ts", "seq", "user_id", LATE_SLIDING, home)
     sinks.run_available(split.writer(f"{home}/checkpoint"))
     return split.visits(spark)
 
 
 @query
-def live_reconcile(spark, d):
+def live_pair_shipments(spark, d):
+    """All events of both parties, in several micro-batches."""
     home = live.folder(spark)
+    both = live.staged(spark, multistream.tagged_union(*orders_and_shipments(spark, d)), "seq", home, "in")
+    placed, sent = (both.filter(F.col("side") == side) for side in ("left", "right"))
+    pairs = LiveReconcile(placed, sent, "order_id", "ts", home, seq="seq")
+    sinks.run_available(pairs.writer(f"{home}/checkpoint"))
+    return pairs.out.all(spark)
+
+
+def orders_and_first_shipments(spark, d, home):
+    """Both as streams of one micro-batch: an event given up in one would be paired late in the next."""
     first = tables.shipments(spark, d).groupBy("order_id").agg(F.min("ts").alias("ts"))
-    first.write.parquet(f"{home}/first")
-    left = live.stream_table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
-    right = readers.stream_parquet(spark, f"{home}/first", "order_id bigint, ts timestamp")
-    pairs = LiveReconcile(left, right, "order_id", "ts", home, timedelta(days=30))
+    return live.whole(spark, tables.orders(spark, d), home, "orders"), live.whole(spark, first, home, "first")
+
+
+@query
+def live_reconcile(spark, d):
+    home = live.folder(spark)
+    pairs = LiveReconcile(*orders_and_first_shipments(spark, d, home), "order_id", "ts", home, timedelta(days=30))
     sinks.run_available(pairs.writer(f"{home}/checkpoint"))
     return pairs.out.all(spark)
+
+
+@query
+def live_timers(spark, d):
+    home = live.folder(spark)
+    return live.written(reconcile_with_timers(*orders_and_first_shipments(spark, d, home), "order_id", "ts", timedelta(days=30)), home)

@@ -1,15 +1,20 @@
-"""The streaming forms run over the given tables: all data there is now, then the table written."""
+"""The streaming forms run over the given tables, cut into several micro-batches, then the table written."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventlab.plans import tables
 from eventlab.session import checkpoint_dir, use_rocksdb, use_utc
+from eventlab.sources import readers
 from eventlab.streaming import sinks
 
+# Micro-batches of a staged table.
+FILES = 8
+
 
 def folder(spark: SparkSession) -> str:
     """A new folder next to the checkpoints."""
@@ -18,14 +23,35 @@ def folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/live-{uuid.uuid4().hex}"
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, a file or a folder, as a stream of its files."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")  # a pattern, as a lone file is no folder
+def staged(spark: SparkSession, df: DataFrame, seq: str, home: str, name: str, files: int = FILES) -> DataFrame:
+    """A table as a stream of files, one after another by ``seq`` and one per micro-batch."""
+    low, high = df.agg(F.min(seq), F.max(seq)).first()
+    nth = F.floor((F.col(seq) - F.lit(low)) * F.lit(files) / F.lit((high or 0) - (low or 0) + 1))
+    for i in range(files):  # in order, as the source takes files by their time
+        df.filter(nth == i).coalesce(1).write.mode("append").parquet(f"{home}/{name}")
+    return readers.stream_parquet(spark, f"{home}/{name}", df.schema, 1)
+
+
+def whole(spark: SparkSession, df: DataFrame, home: str, name: str) -> DataFrame:
+    """A table as a stream that delivers it in one micro-batch."""
+    df.write.parquet(f"{home}/{name}")
+    return readers.stream_parquet(spark, f"{home}/{name}", df.schema)
+
+
+def events(spark: SparkSession, sf_dir: str, home: str) -> DataFrame:
+    return staged(spark, tables.events(spark, sf_dir), "seq", home, "in")
+
+
+def disordered_events(spark: SparkSession, sf_dir: str, home: str) -> DataFrame:
+    return staged(spark, tables.disordered_events(spark, sf_dir), "seq", home, "in")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.as_events(stream_table(spark, sf_dir, "events"))
+def event_files(spark: SparkSession, sf_dir: str, home: str) -> str:
+    """A folder with the events as text, one file after another."""
+    lines = tables.event_lines(spark, sf_dir)
+    path = f"{home}/lines"
+    lines.repartitionByRange(FILES, "seq").sortWithinPartitions("seq").select("value").write.text(path)
+    return path
 
 
 def written(stream: DataFrame, home: str) -> DataFrame:

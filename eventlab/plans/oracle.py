@@ -9,6 +9,8 @@ DISORDERED = """e AS (
   SELECT (event_id + hold) * 50 + 49 - hold AS seq, CAST(user_id AS VARCHAR) AS user_id, event_type AS action, ts
   FROM (SELECT *, (event_id * 37) % 50 AS hold FROM events))"""
 
+DATED = DISORDERED.replace("e AS", "every AS", 1) + ", e AS (SELECT * FROM every WHERE seq % 97 <> 0)"
+
 BOOKS = """b AS (
   SELECT p_partkey AS seq, CAST(p_partkey AS VARCHAR) AS bid, p_name AS title, p_brand AS writer,
          p_type AS gender, CAST(1 AS BIGINT) AS n FROM part)"""
@@ -95,14 +97,51 @@ SELECT order_id, left_ts, right_ts,
        CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only' {late} ELSE 'matched' END AS status
 FROM l FULL JOIN r USING (order_id)"""
 
+# One event after another: who waits, and what the event does to it; at last, if asked for, who still waits.
+STEPPED = """WITH RECURSIVE both_sides AS (
+  SELECT o_orderkey AS order_id, 'left' AS side, CAST(o_orderdate AS TIMESTAMP) AS ts, 0 AS part FROM orders
+  UNION ALL SELECT l_orderkey, 'right', CAST(l_shipdate AS TIMESTAMP), l_linenumber FROM lineitem),
+e AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY CAST(ts AS DATE), part) AS place FROM both_sides),
+steps AS (
+  SELECT order_id, place, side AS waits, ts AS waits_ts, CAST(NULL AS VARCHAR) AS done, CAST(NULL AS VARCHAR) AS held,
+         CAST(NULL AS TIMESTAMP) AS held_ts, ts FROM e WHERE place = 1
+  UNION ALL
+  SELECT e.order_id, e.place, CASE WHEN s.waits IS NULL OR s.waits = e.side THEN e.side END,
+         CASE WHEN s.waits IS NULL OR s.waits = e.side THEN e.ts END,
+         CASE WHEN s.waits = e.side THEN 'alone' WHEN s.waits IS NOT NULL THEN 'pair' END, s.waits, s.waits_ts, e.ts
+  FROM steps AS s JOIN e ON e.order_id = s.order_id AND e.place = s.place + 1),
+ended AS (
+  SELECT order_id, done, held, held_ts, ts FROM steps WHERE done IS NOT NULL
+  UNION ALL
+  SELECT order_id, 'alone', waits, waits_ts, NULL FROM steps JOIN (SELECT order_id, max(place) AS place FROM e GROUP BY order_id)
+  USING (order_id, place) WHERE waits IS NOT NULL AND {at_end}),
+sides AS (
+  SELECT order_id, CASE WHEN held = 'left' THEN held_ts WHEN done = 'pair' THEN ts END AS left_ts,
+         CASE WHEN held = 'right' THEN held_ts WHEN done = 'pair' THEN ts END AS right_ts FROM ended)
+SELECT order_id AS {key}, left_ts, right_ts,
+       CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only' {late} ELSE 'matched' END AS status
+FROM sides"""
+
+FIRST_SHIPMENTS = """WITH l AS (SELECT o_orderkey AS order_id, o_orderdate AS left_ts FROM orders),
+r AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS right_ts FROM lineitem GROUP BY l_orderkey),
+w AS (SELECT least((SELECT max(left_ts) FROM l), (SELECT max(right_ts) FROM r)) - INTERVAL '1 millisecond' AS watermark)
+SELECT {key} AS key, left_ts, right_ts,
+       CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only'
+            WHEN abs(date_diff('day', left_ts, right_ts)) > 30 THEN 'matched_late' ELSE 'matched' END AS status
+FROM l FULL JOIN r USING (order_id), w
+WHERE (left_ts IS NOT NULL AND right_ts IS NOT NULL)
+   OR coalesce(left_ts, right_ts) + INTERVAL '30 days' <= watermark"""
+
 ORACLE: dict[str, str] = {
+    "pair_shipments": STEPPED.format(key="order_id", at_end=True, late="WHEN abs(date_diff('day', left_ts, right_ts)) > 30 THEN 'matched_late'"),
+    "pair_shipments_no_timeout": STEPPED.format(key="order_id", at_end=True, late=""),
     "word_count": """WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
 words AS (
   SELECT unnest(CASE WHEN line = '' THEN [''] ELSE string_split(rtrim(line, ' '), ' ') END) AS word
   FROM lines WHERE line = '' OR rtrim(line, ' ') <> '')
 SELECT word, count(*) AS n FROM words GROUP BY word""",
-    "parse_event": f"WITH {EVENTS} SELECT seq, user_id, action, date_trunc('second', ts) AS ts FROM e",
-    "parse_wide_event": f"WITH {EVENTS} SELECT seq, user_id, action, date_trunc('second', ts) AS ts FROM e",
+    "parse_event": f"WITH {EVENTS} SELECT seq, user_id, action, ts FROM e",
+    "parse_wide_event": f"WITH {EVENTS} SELECT seq, user_id, action, ts FROM e",
     "parse_book": f"WITH {BOOKS} SELECT bid, title, writer, gender FROM b",
     "parse_number": """SELECT event_id, TRY_CAST(concat(user_id, event_type) AS BIGINT) AS no_number,
        TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT) AS number FROM events""",
@@ -129,6 +168,9 @@ SELECT seq, max(bid) OVER k AS bid, first_value(title) OVER k AS title, first_va
        first_value(gender) OVER k AS gender FROM b WINDOW k AS (ORDER BY seq)""",
     "keyed_reduce": f"""WITH {BOOKS}
 SELECT gender, arg_min(bid, seq) AS bid, arg_min(title, seq) AS title, arg_min(writer, seq) AS writer, count(*) AS n
+FROM b GROUP BY gender""",
+    "keyed_sum": f"""WITH {BOOKS}
+SELECT gender, arg_min(bid, seq) AS bid, arg_min(title, seq) AS title, arg_min(writer, seq) AS writer, CAST(sum(n) AS BIGINT) AS n
 FROM b GROUP BY gender""",
     "uv_pv": visits("720 hours"),
     "uv_pv_by_action": visits("720 hours", "action,"),
@@ -139,7 +181,7 @@ FROM b GROUP BY gender""",
 SELECT window_start, window_end, count(*) AS n FROM w GROUP BY window_start, window_end""",
     "window_concat": f"""WITH {assigned('24 hours')}, r AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY seq) - 1 AS place FROM w),
-p AS (SELECT *, min(place) OVER (PARTITION BY user_id, window_start, seq // 10000) // 10000 AS part FROM r)
+p AS (SELECT *, place // 3 AS part FROM r)
 SELECT user_id, window_start, window_end, part, min(ts) AS ts, count(*) AS n,
        string_agg(action, ' ' ORDER BY seq) AS action
 FROM p GROUP BY user_id, window_start, window_end, part""",
@@ -180,6 +222,9 @@ m AS (
 SELECT seq, source, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN least(a, b) END AS watermark FROM m""",
     "late_rows": f"WITH {replay(assigned('1 hour', source=DISORDERED))} {LATE}",
     "late_rows_sliding": f"WITH {replay(sliding(DISORDERED))} {LATE}",
+    "late_outcome": f"""WITH {replay(assigned('1 hour', source=DATED))}
+SELECT seq, CASE WHEN bool_and(rejected) THEN 'late' ELSE 'accepted' END AS outcome FROM a GROUP BY seq
+UNION ALL SELECT seq, 'undated' FROM every WHERE seq % 97 = 0""",
     "late_count": f"""WITH {replay(assigned('1 hour', source=DISORDERED))}, late AS ({LATE})
 SELECT {bucket('24000 hours')} AS window_start, {bucket('24000 hours')} + INTERVAL '24000 hours' AS window_end,
        count(*) AS n FROM late GROUP BY 1, 2""",
@@ -223,15 +268,16 @@ SELECT seq, ts, (max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND
     "live_late_visits": f"""WITH {replay(sliding(DISORDERED))}
 SELECT window_start, window_end, count(*) AS pv, count(DISTINCT user_id) AS uv
 FROM a WHERE NOT rejected GROUP BY window_start, window_end""",
-    "live_reconcile": """WITH l AS (SELECT o_orderkey AS order_id, o_orderdate AS left_ts FROM orders),
-r AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS right_ts FROM lineitem GROUP BY l_orderkey),
-w AS (SELECT least((SELECT max(left_ts) FROM l), (SELECT max(right_ts) FROM r)) - INTERVAL '1 millisecond' AS watermark)
-SELECT order_id AS key, left_ts, right_ts,
-       CASE WHEN right_ts IS NULL THEN 'left_only' WHEN left_ts IS NULL THEN 'right_only'
-            WHEN abs(date_diff('day', left_ts, right_ts)) > 30 THEN 'matched_late' ELSE 'matched' END AS status
-FROM l FULL JOIN r USING (order_id), w
-WHERE (left_ts IS NOT NULL AND right_ts IS NOT NULL)
-   OR coalesce(left_ts, right_ts) + INTERVAL '30 days' <= watermark""",
+    "live_reconcile": FIRST_SHIPMENTS.format(key="order_id"),
+    "live_timers": FIRST_SHIPMENTS.format(key="CAST(order_id AS VARCHAR)"),
+    "live_pair_shipments": STEPPED.format(key="key", at_end=False, late=""),
+    "live_totals": "SELECT event_type AS action, count(*) AS n FROM events GROUP BY event_type",
+    "live_groups": f"""WITH {EVENTS}, p AS (SELECT seq, (row_number() OVER (ORDER BY seq) - 1) // 1000 AS "group" FROM e)
+SELECT "group", count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq FROM p GROUP BY ALL""",
+    "text_scan": f"WITH {EVENTS} SELECT user_id, action, ts FROM e",
+    "live_text": f"WITH {EVENTS} SELECT user_id, action, ts FROM e",
+    "live_text_sink": f"""WITH {EVENTS}, t AS (SELECT *, CAST(ts AS VARCHAR) AS plain FROM e)
+SELECT concat(user_id, ',', action, ',', plain, CASE WHEN contains(plain, '.') THEN '' ELSE '.0' END) AS line FROM t""",
     "union_all": f"""WITH {EVENTS} SELECT * FROM e
 UNION ALL SELECT * FROM e WHERE action IN ('view', 'click')""",
     "split_side": f"WITH {BOOKS} SELECT * FROM b WHERE gender = 'ECONOMY'",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlab.functions import parse
 from eventlab.session import use_utc
 
 
@@ -50,15 +51,12 @@ def disordered(events: DataFrame) -> DataFrame:
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as ``user,action,time`` lines, next to their arrival number."""
-    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    return events(spark, sf_dir).select(
-        "seq", F.concat_ws(",", "user_id", "action", F.concat(time, F.lit(".0"))).alias("value"))
+    return events(spark, sf_dir).select("seq", parse.format_event().alias("value"))
 
 
 def wide_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log lines of 21 fields: user, time and action are the 4th, 6th and 21st."""
-    time = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(".0"))
-    fields = [F.lit("x")] * 3 + [F.col("user_id"), F.lit("x"), time] + [F.lit("x")] * 14 + [F.col("action")]
+    fields = [F.lit("x")] * 3 + [F.col("user_id"), F.lit("x"), parse.time_text(F.col("ts"))] + [F.lit("x")] * 14 + [F.col("action")]
     return events(spark, sf_dir).select("seq", F.concat_ws(",", *fields).alias("value"))
 
 

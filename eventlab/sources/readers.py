@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -21,7 +22,7 @@ def stream_text_lines(spark: SparkSession, path: str, files_per_batch: int | Non
     return reader.load(path).filter(F.length("value") > 0)
 
 
-def stream_parquet(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_parquet(spark: SparkSession, path: str, schema: str | StructType, files_per_batch: int | None = None) -> DataFrame:
     """Rows of the Parquet files that appear under a path."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:

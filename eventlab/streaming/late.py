@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventlab.operators.late import (
-    BROADCAST_WINDOWS, SALTS, LatePolicy, limit_points, limits_of, merge_points, settle, with_limits,
+    BROADCAST_WINDOWS, SALTS, LatePolicy, limit_points, limits_of, merge_points, settle, undated_rows, with_limits,
 )
 from eventlab.streaming.counters import schema_of
 from eventlab.streaming.sinks import to_batches
@@ -23,7 +23,7 @@ POINTS = "window_at bigint, fire bigint, close bigint, held boolean"
 
 
 class LiveLate:
-    """Splits a stream into rows its windows accept and late rows.
+    """Splits a stream into rows its windows accept, late rows, and rows without a time.
 
     ``seq`` numbers the rows in arrival order and rises from batch to batch.
     """
@@ -32,6 +32,7 @@ class LiveLate:
         self.stream, self.ts, self.seq, self.user, self.policy = stream, ts, seq, user, policy
         self.points = StateTable(f"{folder}/points", POINTS)
         self.late = OutputTable(f"{folder}/late", schema_of(stream, *stream.columns))
+        self.undated = OutputTable(f"{folder}/undated", schema_of(stream, *stream.columns))
         self.counts = OutputTable(
             f"{folder}/counts",
             f"window_start timestamp, window_end timestamp, {schema_of(stream, user)}, refired boolean, n bigint")
@@ -47,6 +48,7 @@ class LiveLate:
     def _split(self, batch: DataFrame, batch_id: int) -> None:
         spark, grid, seq = batch.sparkSession, self.policy.windows, self.seq
         batch = batch.persist()
+        self.undated.write(undated_rows(batch, self.ts), batch_id)
         points = limit_points(batch, self.ts, seq, self.policy).unionByName(self.points.before(spark, batch_id))
         settled = settle(merge_points(points)).persist()
         limits = limits_of(settled)

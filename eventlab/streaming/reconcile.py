@@ -24,8 +24,9 @@ class LiveReconcile:
     Waiting events enter the next batch as its first rows, and the rules are those of
     :func:`eventlab.operators.multistream.reconcile_in_order`; nothing depends on how many
     rows one key has.  An event that the watermark finds waiting ``timeout`` after its time
-    is written as alone and kept for one more timeout, so that a partner that comes after
-    all is reported as matched late.  Without a timeout events wait for ever.
+    is written as alone and kept, so that a partner that comes after all is reported as
+    matched late, as in the table form; with a ``retention`` it is forgotten when the
+    watermark has passed its time by that much.  Without a timeout events wait for ever.
 
     The watermark of both streams is that of the slower one.  Rows of one batch arrive in
     the order of ``seq``, unique and not negative within the batch; without one, in the
@@ -42,13 +43,14 @@ class LiveReconcile:
         timeout: timedelta | None = None,
         delay: timedelta = NONE,
         seq: str | None = None,
+        retention: timedelta | None = None,
     ):
         def events(df: DataFrame) -> DataFrame:
             return df.select(F.col(key).alias("key"), F.col(ts).alias("ts"), *([F.col(seq).alias("seq")] if seq else []))
 
         both = tagged_union(events(left), events(right))
         self.stream, self.numbered = both, seq is not None
-        self.timeout, self.delay = timeout, delay
+        self.timeout, self.delay, self.retention = timeout, delay, retention
         kind = schema_of(self.stream, "key")
         self.waiting = StateTable(f"{folder}/waiting", f"{kind}, side string, ts timestamp, reported boolean")
         self.newest = StateTable(f"{folder}/newest", "left timestamp, right timestamp")
@@ -79,8 +81,9 @@ class LiveReconcile:
         else:
             mark = self._watermark(batch, batch_id)
             expired = F.coalesce(F.col("ts") + F.lit(self.timeout) <= mark, F.lit(False))
-            forgotten = F.col("reported") & F.coalesce(F.col("ts") + F.lit(2 * self.timeout) <= mark, F.lit(False))
-            waiting = waiting.filter(~forgotten)
+            if self.retention is not None:
+                forgotten = F.col("reported") & F.coalesce(F.col("ts") + F.lit(self.retention) <= mark, F.lit(False))
+                waiting = waiting.filter(~forgotten)
         given_up = F.col("prev.reported") & ~F.col("meets")
         out = settled(steps.filter(~F.coalesce(given_up, F.lit(False)))).unionByName(
             alone(waiting.filter(expired & ~F.col("reported"))))

@@ -66,11 +66,13 @@ def overwrite_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
 
-def run_available(writer: DataStreamWriter, timeout: float = 600) -> StreamingQuery:
-    """Run a stream over all data that is there now, then stop."""
+def run_available(writer: DataStreamWriter, timeout: float | None = None) -> StreamingQuery:
+    """Run a stream over all data that is there now, then stop; with a ``timeout``, at most so many seconds."""
     running = writer.trigger(availableNow=True).start()
     try:
-        if not running.awaitTermination(timeout):
+        if timeout is None:
+            running.awaitTermination()
+        elif not running.awaitTermination(timeout):
             raise TimeoutError("the stream did not finish in time")
     finally:
         running.stop()

@@ -27,14 +27,16 @@ class Reconciler(StatefulProcessor):
 
     A pair is emitted when its second event arrives, an event pushed out of its place by
     a newer one of its side is emitted as alone.  An event still waiting ``timeout_ms``
-    after its time is emitted as alone, too, and kept marked for one more timeout, so that
-    a partner that comes after all is reported as matched late.
+    after its time is emitted as alone, too, and kept marked, so that a partner that comes
+    after all is reported as matched late; after ``retention_ms``, if given, it is forgotten.
 
-    The state of a key is read and written once per batch, not once per row.
+    The rows of a key in one batch are taken by time, then side, so the result does not
+    depend on the order in which the shuffle delivers them.  The state of a key is read and
+    written once per batch, not once per row.
     """
 
-    def __init__(self, timeout_ms: int | None):
-        self.timeout_ms = timeout_ms
+    def __init__(self, timeout_ms: int | None, retention_ms: int | None = None):
+        self.timeout_ms, self.retention_ms = timeout_ms, retention_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -42,7 +44,7 @@ class Reconciler(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = waiting = self.state.get()
-        for row in rows:
+        for row in sorted(rows, key=lambda row: (row.ms, row.side)):
             if waiting is None or waiting[0] == row.side:
                 if waiting is not None and not waiting[2]:
                     yield self._alone(key[0], waiting)
@@ -68,8 +70,9 @@ class Reconciler(StatefulProcessor):
         if not reported and ms + self.timeout_ms <= now:
             yield self._alone(key[0], waiting)
             self.state.update((side, ms, True))
-            self.handle.registerTimer(ms + 2 * self.timeout_ms)
-        elif reported and ms + 2 * self.timeout_ms <= now:
+            if self.retention_ms is not None:
+                self.handle.registerTimer(ms + self.retention_ms)
+        elif reported and self.retention_ms is not None and ms + self.retention_ms <= now:
             self.state.clear()
 
     def close(self) -> None:
@@ -83,7 +86,8 @@ class Reconciler(StatefulProcessor):
 
 
 def reconcile_with_timers(
-    left: DataFrame, right: DataFrame, key: str, ts: str, timeout: timedelta | None = None, delay: timedelta = NONE
+    left: DataFrame, right: DataFrame, key: str, ts: str, timeout: timedelta | None = None, delay: timedelta = NONE,
+    retention: timedelta | None = None,
 ) -> DataFrame:
     """Pairs and lone events of two streams, in append mode: ``key``, both times and the status.
 
@@ -95,7 +99,7 @@ def reconcile_with_timers(
 
     both = tagged_union(side(left), side(right)).withColumn("ms", F.unix_millis(ts))
     out = both.groupBy("key").transformWithState(
-        Reconciler(micros(timeout) // 1000 if timeout is not None else None),
+        Reconciler(*(None if t is None else micros(t) // 1000 for t in (timeout, retention))),
         OUTPUT, "Append", "EventTime" if timeout is not None else "None")
     return out.select("key", F.timestamp_millis("left_ms").alias("left_ts"),
                       F.timestamp_millis("right_ms").alias("right_ts"), "status")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import timedelta
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,11 @@ class Windows:
     def step(self) -> timedelta:
         return self.slide or self.size
 
+    @property
+    def panes(self) -> Windows:
+        """The tumbling grid of which every window is a whole number of cells."""
+        return Windows(timedelta(microseconds=gcd(micros(self.size), micros(self.step))), offset=self.offset)
+
     def of(self, ts: str) -> Column:
         """The window column to group by; a sliding grid yields one row per window."""
         return F.window(ts, text(self.size), text(self.step), text(self.offset % self.step)).alias("window")

@@ -5,9 +5,12 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from eventlab.plans import live
+from eventlab.plans.catalog import CATALOG as QUERIES
+from eventlab.plans.oracle import ORACLE
+from eventlab.streaming import sinks
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = queries()
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +24,21 @@ def duck():
 @pytest.mark.parametrize("name", QUERIES)
 def test_same_rows_as_sql(spark, duck, name):
     got = QUERIES[name](spark, SF_DIR).toPandas()
-    want = duck.sql(oracle_sql()[name]).df()
+    want = duck.sql(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert check.rows_of(got) == check.rows_of(want)
 
 
 def test_every_query_has_a_twin():
-    assert set(oracle_sql()) == set(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+
+
+def test_staged_tables_come_in_many_batches(spark):
+    home = live.folder(spark)
+    stream = live.events(spark, SF_DIR, home)
+    run = sinks.run_available(stream.writeStream.format("noop").option("checkpointLocation", f"{home}/checkpoint"))
+    assert sum(p["numInputRows"] > 0 for p in run.recentProgress) == live.FILES
 
 
 def test_entry(spark):
@@ -38,7 +49,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("live_")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("live_", "text_"))])
 def test_no_python_and_no_cross_join_in_table_queries(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     for part in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):

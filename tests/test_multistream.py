@@ -22,24 +22,24 @@ def orders(spark, rows, first=0):
 
 
 def test_reconcile(spark):
-    out = multistream.reconcile(orders(spark, LEFT), orders(spark, RIGHT), "order_id", "ts", TIMEOUT)
+    out = multistream.newest_per_side(orders(spark, LEFT), orders(spark, RIGHT), "order_id", "ts", TIMEOUT)
     assert {r.order_id: r.status for r in out.collect()} == STATUS
     assert ("order-2", 200000, 1200000, "matched_late") in utc(out)
 
 
 def test_reconcile_without_timeout_never_is_late(spark):
-    out = multistream.reconcile(orders(spark, LEFT), orders(spark, RIGHT), "order_id", "ts")
+    out = multistream.newest_per_side(orders(spark, LEFT), orders(spark, RIGHT), "order_id", "ts")
     assert {r.order_id: r.status for r in out.collect()} == {k: s.replace("_late", "") for k, s in STATUS.items()}
 
 
 def test_the_newest_event_of_a_side_counts(spark):
     left = orders(spark, [("o", 5000), ("o", 1000)])
-    out = multistream.reconcile(left, orders(spark, [("o", 5000)]), "order_id", "ts", timedelta(seconds=1))
+    out = multistream.newest_per_side(left, orders(spark, [("o", 5000)]), "order_id", "ts", timedelta(seconds=1))
     assert utc(out) == [("o", 5000, 5000, "matched")]
 
 
 def test_timeout_itself_is_in_time(spark):
-    out = multistream.reconcile(orders(spark, [("o", 0)]), orders(spark, [("o", 500000)]), "order_id", "ts", TIMEOUT)
+    out = multistream.newest_per_side(orders(spark, [("o", 0)]), orders(spark, [("o", 500000)]), "order_id", "ts", TIMEOUT)
     assert out.first().status == "matched"
 
 

@@ -59,6 +59,38 @@ def test_running_without_keys_and_with_lead(spark, bucket):
     assert got == want
 
 
+@pytest.mark.parametrize("bucket", [2, 30, 1 << 18])
+def test_uneven_numbers_and_sparse_keys(spark, bucket):
+    """Numbers far apart, a hot key with outliers, many keys of one row, null keys."""
+    rows = [(i << 40, "hot") for i in range(200)] + [(i, "hot") for i in range(1, 100)] + [((1 << 62) - i, "hot") for i in range(5)]
+    rows += [(-i << 20, f"k{i}") for i in range(50)] + [(i << 33, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "seq bigint, k string").repartition(7)
+    got = {(r.k, r.seq): r.position for r in numbered(df, ["k"], "seq", bucket=bucket).collect()}
+    want = {}
+    for key in {k for _, k in rows}:
+        want.update({(key, s): n + 1 for n, s in enumerate(sorted(s for s, k in rows if k == key))})
+    assert got == want
+
+
+def test_sparse_keys_are_shuffled_once(spark):
+    """One record per row for the window and at most one more per key for the counts."""
+    df = spark.range(20_000).selectExpr("id << 20 AS seq", "id % 4000 AS k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = numbered(df, ["k"], "seq")
+        out.collect()
+        written, todo = 0, [out._jdf.queryExecution().executedPlan()]
+        while todo:
+            node = todo.pop()
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+            if node.nodeName().startswith("Exchange"):
+                written += node.metrics().apply("shuffleRecordsWritten").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 20_000 <= written <= 2.5 * 20_000
+
+
 def test_empty_input(spark):
     _, df = table(spark, 0)
     assert numbered(df, ["k"], "seq").count() == 0

@@ -198,10 +198,10 @@ def test_live_reconcile_reports_each_event_once(spark, files, tmp_path):
     assert sorted(got, key=str) == sorted(pair_up(rows), key=str)
 
 
-def test_live_reconcile_forgets_after_two_timeouts(spark, tmp_path):
+def test_live_reconcile_forgets_after_its_retention(spark, tmp_path):
     folder = str(tmp_path / "t")
     none = spark.createDataFrame([], ORDER)
-    pairs = LiveReconcile(none, none, "order_id", "ts", folder, timedelta(seconds=10))
+    pairs = LiveReconcile(none, none, "order_id", "ts", folder, timedelta(seconds=10), retention=timedelta(seconds=20))
 
     def batch(number, *events):
         pairs._settle(spark.createDataFrame([(k, at(t * 1000), s, i) for i, (k, s, t) in enumerate(events)],
