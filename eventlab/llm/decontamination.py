@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from eventlab.llm.common import table, written
 
-SIZE, LITERAL, LEAST, CONSISTENT = 8, 5, 3, 0.8
+SIZE, LITERAL, LEAST, CONSISTENT = 8, 5, 3, 0.9
 #: More benchmark windows than these are not broadcast.
 SMALL = 500_000
 TOKEN = r"[0-9]+(?:[.,:][0-9]+)*|[^\x00-\x40\x5B-\x60\x7B-\x7F]+|[.!?\n]+"
@@ -34,21 +34,17 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def lowered(x: Column) -> Column:
-    return F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def template(raw: str) -> Column:
-    """Canonical tokens of the array ``raw``; sentence ends become empty strings."""
-    first = lambda x: F.substring(x, 1, 1)
-    digit = lambda x: first(x).between("0", "9")
-    end = lambda x: first(x).isin(".", "!", "?", "\n")
+    """Canonical tokens of the array ``raw``; sentence ends become empty strings.
 
+    Tokens begin with a sentence end, a digit, a letter or a byte beyond ASCII, in this order
+    of their first bytes, so comparing whole tokens tells their kind.
+    """
     def one(x: Column, i: Column) -> Column:
         before = F.get(F.col(raw), i - 1)
-        name = first(x).between("A", "Z") & (i > 0) & ~end(before)
-        unit = (i > 0) & digit(before) & lowered(x).isin(*UNITS)
-        return F.when(end(x), F.lit("")).when(digit(x), F.lit("#")).when(unit, F.lit("@")).when(name, F.lit("$")).otherwise(lowered(x))
+        unit = (before >= "0") & (before < ":") & F.lower(x).isin(*UNITS)
+        name = (x >= "A") & (x < "[") & (before >= "0")
+        return F.when(x < "0", F.lit("")).when(x < ":", F.lit("#")).when(unit, F.lit("@")).when(name, F.lit("$")).otherwise(F.lower(x))
 
     return F.transform(raw, one)
 
@@ -69,21 +65,23 @@ def places(t: Column) -> Column:
     return F.when(F.size(t) >= SIZE, F.sequence(F.lit(1), F.size(t) - SIZE + 1))
 
 
-def windows(rows: DataFrame, key: str) -> DataFrame:
-    """One row per window: ``key, pos, w, hash, slots``."""
-    out = rows.select(key, "t", "v", F.explode(places(F.col("t"))).alias("pos"))
-    out = out.select(key, "pos", F.slice("t", F.col("pos"), F.lit(SIZE)).alias("w"), F.slice("v", F.col("pos"), F.lit(SIZE)).alias("v"))
-    out = out.where(literals(F.col("w")) >= LITERAL).withColumn("hash", F.xxhash64("w"))
-    slot = F.filter(F.arrays_zip("w", "v"), lambda x: x["w"].isin("#", "@", "$"))
-    return out.select(key, "pos", "w", "hash", F.transform(slot, lambda x: F.concat(x["w"], lowered(x["v"]))).alias("slots"))
+def hashes_of(t: str) -> Column:
+    """Place and hash of every window of the tokens ``t``."""
+    return F.transform(places(F.col(t)), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(t, i, F.lit(SIZE))).alias("hash")))
+
+
+def window_at(pos: Column) -> tuple[Column, Column]:
+    """The window of the columns ``t`` and ``v`` at a place, and its slots."""
+    w, v = F.slice("t", pos, F.lit(SIZE)), F.slice("v", pos, F.lit(SIZE))
+    slots = F.filter(F.arrays_zip(w.alias("w"), v.alias("v")), lambda x: x["w"].isin("#", "@", "$"))
+    return w, F.transform(slots, lambda x: F.concat(x["w"], F.lower(x["v"])))
 
 
 def marked(docs: DataFrame, hashes: DataFrame, small: bool) -> DataFrame:
     """Ids of the documents that share a window's hash with the benchmark; values aren't carried."""
     rows = docs.select("doc_id", tokens(F.col("text")).alias("_raw")).select("doc_id", template("_raw").alias("_t"))
     rows = rows.select("doc_id", F.filter("_t", lambda x: x != "").alias("t"))
-    each = F.transform(places(F.col("t")), lambda i: F.xxhash64(F.slice("t", i, F.lit(SIZE))))
-    rows = rows.select("doc_id", F.explode(each).alias("hash"))
+    rows = rows.select("doc_id", F.explode(hashes_of("t")).alias("h")).select("doc_id", "h.hash")
     return rows.join(F.broadcast(hashes) if small else hashes, "hash", "left_semi").select("doc_id").distinct()
 
 
@@ -91,14 +89,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, n_windows, share, n_slots,
     consistent, changed``; ``changed`` says whether some slot has another value than in the item."""
     docs = docs.select(F.col("doc_id"), "text")
-    items = written(windows(tokenised(benchmark.select("item_id", "text"), "item_id"), "item_id"), "items")
+    parts = tokenised(benchmark.select("item_id", "text"), "item_id").withColumn("p", F.explode(places(F.col("t"))))
+    w, slots = window_at(F.col("p"))
+    items = parts.select("item_id", w.alias("w"), slots.alias("slots")).where(literals(F.col("w")) >= LITERAL)
+    items = written(items.withColumn("hash", F.xxhash64("w")), "items")
     hashes = items.select("hash").distinct()
     small = items.count() <= SMALL
     found = written(marked(docs, hashes, small), "marked")
 
-    near = windows(tokenised(docs.join(found, "doc_id", "left_semi"), "doc_id"), "doc_id")
+    near = written(tokenised(docs.join(found, "doc_id", "left_semi"), "doc_id"), "tokens")
     side = items.select("item_id", "hash", F.col("w").alias("iw"), F.col("slots").alias("islots"))
-    hits = near.join(F.broadcast(side) if small else side, "hash").where("w = iw")
+    met = near.select("doc_id", F.xxhash64("t", "v").alias("_row"), F.explode(hashes_of("t")).alias("h")).select("doc_id", "_row", "h.pos", "h.hash")
+    met = met.join(F.broadcast(side) if small else side, "hash")
+    # The places of a document at which something was met, at most its length times the items that share a window.
+    met = met.groupBy("doc_id", "_row").agg(F.collect_set(F.struct("pos", "item_id", "iw", "islots")).alias("met"))
+    both = near.withColumn("_row", F.xxhash64("t", "v")).join(met, ["doc_id", "_row"]).select("doc_id", F.transform("met", lambda m: F.struct(
+        m["item_id"].alias("item_id"), m["iw"].alias("iw"), m["islots"].alias("islots"), window_at(m["pos"])[0].alias("w"), window_at(m["pos"])[1].alias("slots"))).alias("met"))
+    hits = both.select("doc_id", F.explode("met").alias("m")).select("doc_id", "m.*").where("w = iw")
     hits = written(hits.select("doc_id", "item_id", "w", "slots", "islots").distinct(), "hits")
     sizes = items.groupBy("item_id").agg(F.countDistinct("w").alias("all"))
     counts = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("w").alias("n_windows"))
