@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a function over Arrow batches: whole texts come a thousand at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column end to end, and the border of each row; null is empty."""
     column = pc.fill_null(column, "")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlab.llm.common import portions, table, utf8
+from eventlab.llm.common import in_small_batches, portions, table, utf8
 
 WINDOW, WIDTHS, FILTERS, CODE = 192, (2, 3, 4), 16, 8
 PORTION = 256 << 10
@@ -201,7 +201,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     """``docs`` with ``_lang`` and ``_score``."""
     rows = docs.select("*", F.col("text").alias("_judge"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return rows.mapInArrow(partial(judged, network=network), f"{kinds}, _lang string, _score double")
+    return in_small_batches(rows).mapInArrow(partial(judged, network=network), f"{kinds}, _lang string, _score double")
 
 
 def keep_known(docs: DataFrame, floor: float = 0.3) -> DataFrame:

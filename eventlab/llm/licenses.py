@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlab.llm.common import LOWER_WORDS, table
+from eventlab.llm.common import LOWER_WORDS, in_small_batches, table
 
 # Phrases as lower-case words, the label each gives, and how free the label is.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -180,7 +180,7 @@ def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document; see the module."""
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(scanned, COLUMNS)
+    return in_small_batches(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))).mapInArrow(scanned, COLUMNS)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlab.llm.common import U64, components, mix, portions, shingles, table, utf8, words_of, written
+from eventlab.llm.common import U64, components, in_small_batches, mix, portions, shingles, table, utf8, words_of, written
 
 PORTION = 2 << 20
 
@@ -166,7 +166,7 @@ def possible(rows: DataFrame, threshold: float) -> DataFrame:
 
 def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4) -> DataFrame:
     """One row per document: ``doc_id, class_id, kept``; the class id is its smallest document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = in_small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = written(docs.mapInArrow(partial(features, size=size, bands=bands, rows=rows), "doc_id long, c1 long, c2 long, bands array<long>"), "features")
     classes = written(found.groupBy("c1", "c2").agg(F.min("doc_id").alias("class"), F.count("*").alias("copies"), F.min("bands").alias("bands")), "classes")
     placed = classes.select("class", "copies", F.posexplode("bands").alias("band", "key"))

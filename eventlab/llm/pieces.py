@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlab.llm.common import U64, mix, powers, table
+from eventlab.llm.common import U64, in_small_batches, mix, powers, table
 from eventlab.llm.common import _BASE as BASE, _INVERSE as INVERSE
 
 MARK = "▁"
@@ -44,7 +44,7 @@ def codes(text: str) -> np.ndarray:
 class Pieces:
     """The vocabulary of a model file, with the words met so far (at most ``keep``)."""
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 300_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -182,8 +182,8 @@ def pieces(path: str) -> Pieces:
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = pieces(path)
     for batch in batches:
-        for at in range(0, max(batch.num_rows, 1), 500):
-            some = batch.slice(at, 500)
+        for at in range(0, max(batch.num_rows, 1), 200):
+            some = batch.slice(at, 200)
             ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in model.encode([x or "" for x in some["_text"].to_pylist()])]
             sizes = np.array([len(x) for x in ids], np.int64)
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
@@ -214,7 +214,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """The other columns with ``n_tokens`` and ``ids``."""
     rest = [c for c in docs.columns if c not in (text, "ids", "n_tokens")]
     rows = docs.select(*rest, docs[text].alias("_text"))
-    return rows.mapInArrow(partial(encoded, path=model), _kinds(docs, rest) + "n_tokens long, ids array<int>")
+    return in_small_batches(rows).mapInArrow(partial(encoded, path=model), _kinds(docs, rest) + "n_tokens long, ids array<int>")
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
@@ -237,13 +237,26 @@ def summarised(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """Every text encoded and decoded: token count, checksum of the ids, and whether the text came back."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = in_small_batches(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.mapInArrow(partial(summarised, path=model or default_model()), "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")
 
 
+def both_ways(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Rows with their ids, and their text read back from these; a null stays null."""
+    model = pieces(path)
+    for batch in encoded(batches, path):
+        ids = batch["ids"]
+        flat, at = ids.flatten().to_numpy(), ids.offsets.to_numpy()
+        at = at - at[0]
+        texts = [None if null else model.decode(flat[a:b]) for null, a, b in zip(batch["_null"].to_pylist(), at[:-1], at[1:])]
+        rest = [c for c in batch.schema.names if c not in ("_null", "n_tokens", "ids")]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in rest), pa.array(texts, pa.string()), batch["n_tokens"], ids], names=[*rest, "text", "n_tokens", "ids"])
+
+
 def with_tokens(docs: DataFrame, model: str | None = None) -> DataFrame:
     """The documents with their ids, their text as decoded from these ids."""
-    model = model or default_model()
     names = [c for c in docs.columns if c not in ("ids", "n_tokens")]
-    out = encode(docs.select(*names, docs["text"].alias("_own")), model)
-    return decode(out.select("*", out["ids"].alias("_ids")), model).withColumnRenamed("_ids", "ids").drop("_own").select(*names, "n_tokens", "ids")
+    rest = [c for c in names if c != "text"]
+    rows = in_small_batches(docs.select(*rest, docs["text"].alias("_text"), docs["text"].isNull().alias("_null")))
+    out = rows.mapInArrow(partial(both_ways, path=model or default_model()), _kinds(docs, rest) + "text string, n_tokens long, ids array<int>")
+    return out.select(*names, "n_tokens", "ids")

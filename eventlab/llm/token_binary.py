@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlab.llm.common import shared_path, table
+from eventlab.llm.common import in_small_batches, shared_path, table
 
 FOLDER = "part int, block long, first_id long, last_id long, bits int, start long, n long, doc_ids binary, ends binary, payload binary"
 DIGEST = "part int, doc_id long, local long, n_tokens long, ids_crc32 long"
@@ -145,7 +145,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("_h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
-    rows.mapInArrow(partial(packed, path=tokenizer, end_id=end_id, block=block), FOLDER).write.parquet(folder)
+    in_small_batches(rows).mapInArrow(partial(packed, path=tokenizer, end_id=end_id, block=block), FOLDER).write.parquet(folder)
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
