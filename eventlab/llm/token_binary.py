@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -76,7 +77,7 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {piece: np.array(x.ids, "<u4").tobytes() for piece, x in zip(pieces, found)}
+        return {piece: array("I", x.ids).tobytes() for piece, x in zip(pieces, found)}  # 32 bits, little-endian as all platforms here
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [CUT.split(text) for text in texts]
