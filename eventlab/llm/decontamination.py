@@ -4,12 +4,16 @@ Texts become tokens: numbers turn into ``#``, units behind a number into ``@``,
 (capitalised words within a sentence) into ``$``, and other words are lower-cased.  Windows of
 ``SIZE`` tokens are hash-joined with the windows of the benchmark; a window needs ``LITERAL``
 ordinary words.  First only the ids of documents with some common window are found; for these
-the windows are joined again with their slots, the values behind the placeholders.  Over all
+the windows are joined again with their slots, the values behind the placeholders.  Over the
 common windows of a document and an item, a slot value of the item should always meet the same
 value in the document: a re-parameterised question has other values, but consistently.
 
 A document is contaminated by an item if they share ``LEAST`` different windows, or all of a
-shorter item's, and at least ``CONSISTENT`` of the item's slot values are consistent.  Items of
+shorter item's, and at least ``CONSISTENT`` of the item's slot values are consistent.  This is
+judged over the common windows at one distance between their places in the document and in the
+item, so several variants, or a template that the item repeats, don't spoil each other; and
+over all common windows, so words put into the passage don't hide it.  One judgement that passes
+is enough; of several, that with the largest share of the item's windows is shown.  Items of
 fewer than ``SIZE`` tokens match nothing.  Null and empty texts have no window.  Repeated
 documents are each reported, repeated items count once.  Empty tables give no rows.
 """
@@ -85,37 +89,50 @@ def marked(docs: DataFrame, hashes: DataFrame, small: bool) -> DataFrame:
     return rows.join(F.broadcast(hashes) if small else hashes, "hash", "left_semi").select("doc_id").distinct()
 
 
+def accepted(out: DataFrame) -> DataFrame:
+    return out.where((F.col("n_windows") >= F.least(F.lit(LEAST), F.col("all"))) & (F.col("consistent") >= CONSISTENT))
+
+
+def readings(hits: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """Shared windows and slot consistency of each group ``keys`` of hits, where they suffice."""
+    counts = hits.groupBy(*keys).agg(F.countDistinct("hash").alias("n_windows"))
+    pairs = hits.select(*keys, F.explode(F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d"))).alias("p")).select(*keys, "p.i", "p.d").distinct()
+    values = pairs.groupBy(*keys, "i").agg(F.count("*").alias("n"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
+    slots = values.groupBy(*keys).agg(F.count("*").alias("n_slots"), F.avg((F.col("n") == 1).cast("double")).alias("consistent"), F.max("other").alias("other"))
+    out = counts.join(sizes, "item_id").join(slots, keys, "left")
+    return accepted(out.select("doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("all")).alias("share"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
+                               F.coalesce("consistent", F.lit(1.0)).alias("consistent"), F.coalesce(F.col("other") == 1, F.lit(False)).alias("changed"), "all"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, n_windows, share, n_slots,
     consistent, changed``; ``changed`` says whether some slot has another value than in the item."""
     docs = docs.select(F.col("doc_id"), "text")
-    parts = tokenised(benchmark.select("item_id", "text"), "item_id").withColumn("p", F.explode(places(F.col("t"))))
+    parts = tokenised(benchmark.select("item_id", "text"), "item_id").withColumn("irow", F.xxhash64("t", "v")).withColumn("p", F.explode(places(F.col("t"))))
     w, slots = window_at(F.col("p"))
-    items = parts.select("item_id", w.alias("w"), slots.alias("slots")).where(literals(F.col("w")) >= LITERAL)
-    items = written(items.withColumn("hash", F.xxhash64("w")), "items")
+    items = parts.select("item_id", "irow", F.col("p").alias("ipos"), w.alias("w"), slots.alias("slots")).where(literals(F.col("w")) >= LITERAL)
+    items = written(items.withColumn("hash", F.xxhash64("w")).distinct(), "items")
     hashes = items.select("hash").distinct()
     small = items.count() <= SMALL
     found = written(marked(docs, hashes, small), "marked")
 
-    near = written(tokenised(docs.join(found, "doc_id", "left_semi"), "doc_id"), "tokens")
-    side = items.select("item_id", "hash", F.col("w").alias("iw"), F.col("slots").alias("islots"))
-    met = near.select("doc_id", F.xxhash64("t", "v").alias("_row"), F.explode(hashes_of("t")).alias("h")).select("doc_id", "_row", "h.pos", "h.hash")
-    met = met.join(F.broadcast(side) if small else side, "hash")
-    # The places of a document at which something was met, at most its length times the items that share a window.
-    met = met.groupBy("doc_id", "_row").agg(F.collect_set(F.struct("pos", "item_id", "iw", "islots")).alias("met"))
-    both = near.withColumn("_row", F.xxhash64("t", "v")).join(met, ["doc_id", "_row"]).select("doc_id", F.transform("met", lambda m: F.struct(
-        m["item_id"].alias("item_id"), m["iw"].alias("iw"), m["islots"].alias("islots"), window_at(m["pos"])[0].alias("w"), window_at(m["pos"])[1].alias("slots"))).alias("met"))
-    hits = both.select("doc_id", F.explode("met").alias("m")).select("doc_id", "m.*").where("w = iw")
-    hits = written(hits.select("doc_id", "item_id", "w", "slots", "islots").distinct(), "hits")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("w").alias("all"))
-    counts = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("w").alias("n_windows"))
-    pairs = hits.select("doc_id", "item_id", F.explode(F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d"))).alias("p")).select("doc_id", "item_id", "p.i", "p.d").distinct()
-    values = pairs.groupBy("doc_id", "item_id", "i").agg(F.count("*").alias("n"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
-    slots = values.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_slots"), F.avg((F.col("n") == 1).cast("double")).alias("consistent"), F.max("other").alias("other"))
-    out = counts.join(sizes, "item_id").join(slots, ["doc_id", "item_id"], "left")
-    out = out.select("doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("all")).alias("share"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
-                     F.coalesce("consistent", F.lit(1.0)).alias("consistent"), F.coalesce(F.col("other") == 1, F.lit(False)).alias("changed"), "all")
-    return out.where((F.col("n_windows") >= F.least(F.lit(LEAST), F.col("all"))) & (F.col("consistent") >= CONSISTENT)).drop("all")
+    near = written(tokenised(docs.join(found, "doc_id", "left_semi"), "doc_id").withColumn("_row", F.xxhash64("t", "v")), "tokens")
+    met = near.select("doc_id", "_row", F.explode(hashes_of("t")).alias("h")).select("doc_id", "_row", "h.pos", "h.hash")
+    met = met.join(F.broadcast(hashes) if small else hashes, "hash", "left_semi")
+    # The places of a document at which something was met, at most its length.
+    met = met.groupBy("doc_id", "_row").agg(F.collect_set("pos").alias("met"))
+    both = near.join(met, ["doc_id", "_row"]).select("doc_id", "_row", F.transform("met", lambda m: F.struct(
+        m.alias("pos"), window_at(m)[0].alias("w"), window_at(m)[1].alias("slots"))).alias("met"))
+    both = both.select("doc_id", "_row", F.explode("met").alias("m")).select("doc_id", "_row", "m.*").withColumn("hash", F.xxhash64("w"))
+    side = items.select("item_id", "irow", "ipos", "hash", F.col("w").alias("iw"), F.col("slots").alias("islots"))
+    hits = both.join(F.broadcast(side) if small else side, "hash").where("w = iw")
+    hits = written(hits.select("doc_id", "_row", "item_id", "irow", (F.col("pos") - F.col("ipos")).alias("offset"), "hash", "slots", "islots").distinct(), "hits")
+    sizes = items.groupBy("item_id").agg(F.countDistinct("hash").alias("all"))
+    whole = readings(hits, sizes, ["doc_id", "item_id"])
+    aligned = readings(hits, sizes, ["doc_id", "item_id", "_row", "irow", "offset"])
+    best = F.max(F.struct("share", "consistent", (~F.col("changed")).alias("same"), "n_windows", "n_slots")).alias("b")
+    out = whole.unionByName(aligned).groupBy("doc_id", "item_id").agg(best)
+    return out.select("doc_id", "item_id", "b.n_windows", "b.share", "b.n_slots", "b.consistent", (~F.col("b.same")).alias("changed"))
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -230,6 +230,21 @@ def test_templates_and_slots(spark):
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_slots_per_alignment(spark):
+    """Repeated templates and several variants in a document don't hide each other."""
+    year = "In year {} the price of the share rose by {} percent of its old value."
+    question = "A farmer sells {} baskets of ripe plums at the market and then buys {} sacks of corn for the winter."
+    items = [(1, " ".join(year.format(i, n) for i, n in ((1, 5), (2, 7), (3, 9)))), (2, question.format(12, 30))]
+    docs = [(1, f"Before. {items[0][1]} After."), (2, f"{question.format(12, 30)} Then something else. {question.format(44, 51)}"),
+            (3, f"{question.format(61, 62)} Then something else. {question.format(44, 51)}"), (4, " ".join(year.format(i, n) for i, n in ((4, 11), (5, 12), (6, 13)))),
+            (5, "A farmer sells 61 baskets of ripe plums at the market and then quickly buys 62 sacks of corn for the winter."),
+            (6, "In year 1 the price of the share rose by 2 percent of its old value."), (6, "In year 3 the price of bread fell.")]
+    got = {(r.doc_id, r.item_id): r for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(1, 1), (2, 2), (3, 2), (4, 1), (5, 2)} <= set(got) <= {(1, 1), (2, 2), (3, 2), (4, 1), (5, 2), (6, 1)}
+    assert not got[1, 1].changed and not got[2, 2].changed and got[3, 2].changed and got[4, 1].changed and got[5, 2].changed
+    assert all(r.consistent == 1.0 for r in got.values())
+
+
 def test_planted_passages(spark):
     """Documents that hold a whole item are found, and only those (by plain search for runs of words)."""
     docs = {r.doc_id: " ".join(re.findall(common.WORD_CLASS, (r.text or "").lower())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
