@@ -1,4 +1,4 @@
-"""SentencePiece encoding and decoding by batched Viterbi in numpy.
+"""SentencePiece encoding and decoding in numpy: batched merges by rank, or batched Viterbi.
 
 The pieces and scores of a given model file are kept as sorted 64-bit substring hashes.  A
 text gets a leading space, spaces become the piece mark, and it is cut into words where no
@@ -9,8 +9,12 @@ best sum of scores over all pieces that end there is stored with its piece.  A c
 without a piece costs more than any piece and becomes byte pieces, so decoding restores every
 text exactly, a literal piece mark included.
 
-The segmentation with the largest sum of scores is the unigram rule; for a file whose scores
-are merge ranks it need not be the one that merging gives.  Ties go to the shorter last piece.
+The segmentation with the largest sum of scores is the unigram rule; ties go to the shorter
+last piece.  A file whose scores are whole numbers holds merge ranks: there the two neighbours
+whose union has the best rank are merged, the leftmost at a tie, until no union is a piece, one
+merge at a time in each of the equally long words, which shorter ones are filled up to.  Words
+longer than ``LONG``, or few of a length, keep their possible merges in a heap.  The ids are the library's, but for a literal piece mark, which the
+library reads as a space.
 
 Null and empty texts have no ids; a null stays null when it is decoded.  Repeated rows agree.
 An empty table gives no rows.  Other columns are kept; a column named ``ids`` or ``n_tokens``
@@ -19,6 +23,7 @@ is replaced.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,6 +40,8 @@ MARK = "▁"
 LITERAL = "\U0010FFFF"  # stands for a piece mark in the text itself, which no piece holds
 WORDS = re.compile(r"\n| *[^ \n]+| +")
 CELLS = 1 << 15
+LONG, FEW = 200, 8
+FILL = "\udfff"  # behind a word in a batch; no text from a table holds it
 
 
 def codes(text: str) -> np.ndarray:
@@ -74,6 +81,7 @@ class Pieces:
             if at:
                 sums = self.sums(np.stack([codes(every[usable[k]]) for k in at]))
                 keys[at] = self.hashes(sums, np.zeros(1, np.int64), size)[:, 0]
+        self.ranked = bool((scores == np.round(scores)).all())
         order = np.argsort(keys)
         self.keys, self.scores, self.ids = keys[order], scores[order], np.array(usable)[order]
 
@@ -169,13 +177,105 @@ class Pieces:
         return b"".join([surface[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
 
 
+class Merges(Pieces):
+    """The vocabulary of a model file whose scores are merge ranks."""
+
+    def segment(self, words: np.ndarray) -> list[bytes]:
+        count, length = words.shape
+        sums = self.sums(words)
+        if length > LONG:
+            return [self.merged(word, row[None]) for word, row in zip(words, sums)]
+        # By first character and size: rank and id of the piece there.
+        score = np.full((count, length + 1, min(self.longest, length) + 1), -np.inf)
+        which = np.full(score.shape, -1, np.int32)
+        for size in range(1, score.shape[2]):
+            score[:, :length - size + 1, size], which[:, :length - size + 1, size] = self.probe(sums, np.arange(length - size + 1), size)
+        after = np.tile(np.arange(1, length + 2), (count, 1))  # the symbol behind that at a place, and before it
+        before = np.tile(np.arange(-1, length), (count, 1))
+        pair = score[:, :, 2].copy() if length > 1 else np.full((count, length + 1), -np.inf)
+        live, top = np.arange(count), score.shape[2]
+
+        def rank(rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+            fit = (end <= length) & (end - begin < top) & (begin >= 0)
+            return np.where(fit, score[rows, begin, np.where(fit, end - begin, 0)], -np.inf)
+
+        while len(live):
+            at = pair[live].argmax(axis=1)
+            go = pair[live, at] > -np.inf
+            live, at = live[go], at[go]
+            gone = after[live, at]
+            behind = after[live, gone]
+            after[live, at] = behind
+            before[live, np.minimum(behind, length)] = at
+            pair[live, gone] = -np.inf
+            pair[live, at] = rank(live, at, after[live, np.minimum(behind, length)])
+            ahead = before[live, at]
+            some = ahead >= 0
+            pair[live[some], ahead[some]] = rank(live[some], ahead[some], behind[some])
+        tokens = np.full((count, length), -2, np.int32)
+        live, at = np.arange(count), np.zeros(count, np.int64)
+        while len(live):
+            size = after[live, at] - at
+            tokens[live, at] = which[live, at, size]
+            at = at + size
+            live, at = live[at < length], at[at < length]
+        tokens[words == ord(FILL)] = -2
+        held = tokens != -2
+        flat, ends = tokens[held].astype("<u4").tobytes(), 4 * held.sum(axis=1).cumsum()
+        out = [flat[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        for k in np.flatnonzero((tokens == -1).any(axis=1)):
+            out[k] = self.spell(tokens[k], words[k])
+        return out
+
+    def probe(self, sums: np.ndarray, begin: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks and ids of the pieces of ``size`` characters at ``begin``."""
+        keys = self.hashes(sums, begin, size)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[at] == keys
+        return np.where(hit, self.scores[at], -np.inf), np.where(hit, self.ids[at], -1)
+
+    def merged(self, word: np.ndarray, sums: np.ndarray) -> bytes:
+        """Ids of one long word."""
+        length = len(word)
+        found: list[dict[int, tuple[float, int]]] = [{}, *({} for _ in range(self.longest))]
+        for size in range(1, min(self.longest, length) + 1):
+            score, which = self.probe(sums, np.arange(length - size + 1), size)
+            at = np.flatnonzero(which[0] >= 0)
+            found[size] = dict(zip(at.tolist(), zip(score[0, at].tolist(), which[0, at].tolist())))
+        after, before, heap = list(range(1, length + 1)), list(range(-1, length - 1)), []
+
+        def offer(begin: int) -> None:
+            if begin >= 0 and after[begin] < length:
+                end = after[after[begin]]
+                if end - begin <= self.longest and begin in found[end - begin]:
+                    heapq.heappush(heap, (-found[end - begin][begin][0], begin, after[begin], end))
+
+        for begin in range(length):
+            offer(begin)
+        while heap:
+            _, begin, middle, end = heapq.heappop(heap)
+            if after[begin] == middle and after[middle] == end:
+                after[begin], after[middle] = end, -1
+                if end < length:
+                    before[end] = begin
+                offer(begin)
+                offer(before[begin])
+        row, at = np.full(length, -2, np.int32), 0
+        while at < length:
+            row[at] = found[after[at] - at].get(at, (0.0, -1))[1]
+            at = after[at]
+        row[word == ord(FILL)] = -2
+        return row[row != -2].astype("<u4").tobytes() if (row != -1).all() else self.spell(row, word)
+
+
 _PIECES: dict[str, Pieces] = {}
 
 
 def pieces(path: str) -> Pieces:
     """One vocabulary per file and worker process."""
     if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
+        model = Pieces(path)
+        _PIECES[path] = Merges(path) if model.ranked else model
     return _PIECES[path]
 
 

@@ -215,6 +215,24 @@ def test_viterbi_against_the_plain_rule_and_round_trip():
         pieces.CELLS = small
 
 
+def test_merges_against_the_library(spark):
+    """The ids of a file with merge ranks are the library's, in short and long words."""
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    texts = ["", " ", "a", "hello and that", "  two  spaces \n\n here ", "日本語 テキスト\t", "a" * 300, " " * 30 + "x", "Thnterble whshe ou", "é \U0001F600 \U0010FFFE ok", "éêçà" * 90 + "z", "the" * 100]
+    model = pieces.pieces(pieces.default_model())
+    want = [lib.encode(t) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == want
+    old, pieces.LONG = pieces.LONG, 0  # every word by the heap
+    try:
+        assert [np.frombuffer(x, "<u4").tolist() for x in pieces.Merges(pieces.default_model()).encode(texts)] == want
+    finally:
+        pieces.LONG = old
+    rows = pieces.encode(sample(spark), pieces.default_model()).join(sample(spark).select("doc_id", "text"), "doc_id").collect()
+    assert rows and all(list(r.ids) == lib.encode(r.text) for r in rows)
+
+
 def test_library_decodes_the_same_text(spark):
     import sentencepiece
 
