@@ -6,8 +6,9 @@ the documents' ids and the border of each document, so that a document is found
 block's id range and unpacked alone.  Documents are in ascending id order over the files
 (``part``) and the blocks of a file (``block``).
 
-Null texts are empty and have only the end id.  Rows with equal ids are ordered by text hash
-and then text.  An empty table gives an empty folder.  Other columns are not read.
+Null texts are empty and have only the end id.  Rows without a document id come first: a block
+counts its leading ones in ``no_id`` (their places in ``doc_ids`` hold 0), its id range spans the
+others, and reading gives null back.  Rows with equal ids are ordered by text hash and then text.  An empty table gives an empty folder.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from eventlab.llm.common import in_small_batches, shared_path, table
 
-FOLDER = "part int, block long, first_id long, last_id long, bits int, start long, n long, doc_ids binary, ends binary, payload binary"
+FOLDER = "part int, block long, first_id long, last_id long, no_id long, bits int, start long, n long, doc_ids binary, ends binary, payload binary"
 DIGEST = "part int, doc_id long, local long, n_tokens long, ids_crc32 long"
 #: A space between two visible characters: no token reaches over the point before it.
 CUT = re.compile(r" (?<=\S )(?=\S)")
@@ -108,15 +109,16 @@ def packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block: int
     tokens = encoder(path)
     bits = max(1, int(tokens.size - 1).bit_length())
     part, number, start = TaskContext.get().partitionId(), 0, 0
-    ids: list[int] = []
+    ids: list[int | None] = []
     held: list[bytes] = []
     size = 0
     end = np.array([end_id], "<u4").tobytes()
 
     def row() -> pa.RecordBatch:
         ends = np.cumsum([len(x) // 4 for x in held]).astype("<i8")
-        values = {"part": part, "block": number, "first_id": ids[0], "last_id": ids[-1], "bits": bits, "start": start, "n": int(ends[-1]),
-                  "doc_ids": np.array(ids, "<i8").tobytes(), "ends": ends.tobytes(),
+        no_id = ids.count(None)  # sorted first
+        values = {"part": part, "block": number, "first_id": ids[no_id] if no_id < len(ids) else None, "last_id": ids[-1], "no_id": no_id, "bits": bits, "start": start, "n": int(ends[-1]),
+                  "doc_ids": np.array([0] * no_id + ids[no_id:], "<i8").tobytes(), "ends": ends.tobytes(),
                   "payload": pack(np.frombuffer(b"".join(held), "<u4"), bits)}
         return pa.RecordBatch.from_pylist([values], schema=FIELDS)
 
@@ -134,7 +136,7 @@ def packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block: int
         yield row()
 
 
-FIELDS = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("bits", pa.int32()),
+FIELDS = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("no_id", pa.int64()), ("bits", pa.int32()),
                     ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", pa.binary()), ("ends", pa.binary()), ("payload", pa.binary())])
 
 
@@ -145,7 +147,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     the ranges encodes nothing.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("_h", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
+    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), "_h").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h", "text").select("doc_id", "text")
     in_small_batches(rows).mapInArrow(partial(packed, path=tokenizer, end_id=end_id, block=block), FOLDER).write.parquet(folder)
 
 
@@ -153,12 +155,14 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(FOLDER).parquet(folder)
 
 
-def document_ids(spark: SparkSession, folder: str, doc_id: int) -> list[np.ndarray]:
-    """Random access: the ids of the documents with this id, from the blocks that may hold it."""
+def document_ids(spark: SparkSession, folder: str, doc_id: int | None) -> list[np.ndarray]:
+    """Random access: the ids of the documents with this id (None: without one), from the blocks that may hold it."""
     found = []
-    for row in blocks(spark, folder).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).orderBy("part", "block").collect():
+    where = F.col("no_id") > 0 if doc_id is None else (F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)
+    for row in blocks(spark, folder).where(where).orderBy("part", "block").collect():
         ends = np.frombuffer(row.ends, "<i8")
-        for at in np.flatnonzero(np.frombuffer(row.doc_ids, "<i8") == doc_id):
+        held = np.frombuffer(row.doc_ids, "<i8")
+        for at in range(row.no_id) if doc_id is None else row.no_id + np.flatnonzero(held[row.no_id:] == doc_id):
             found.append(unpack(row.payload, row.bits, int(ends[at - 1]) if at else 0, int(ends[at])))
     return found
 
@@ -170,7 +174,7 @@ def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             ids = memoryview(unpack(row["payload"], row["bits"], 0, row["n"]).tobytes())
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(ends), row["part"], np.int32)), pa.array(np.frombuffer(row["doc_ids"], "<i8")),
+                pa.array(np.full(len(ends), row["part"], np.int32)), pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=np.arange(len(ends)) < row["no_id"]),
                 pa.array(row["start"] + begins), pa.array(ends - begins),
                 pa.array([zlib.crc32(ids[4 * a:4 * b]) for a, b in zip(begins, ends)], pa.int64())],
                 names=["part", "doc_id", "local", "n_tokens", "ids_crc32"])
@@ -182,7 +186,7 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     files = rows.groupBy("part").agg(F.sum("n").alias("n"))  # one row per written file
     later = files.select(F.col("part").alias("_p"), "n")
     before = files.select("part").join(F.broadcast(later), F.col("_p") < F.col("part"), "left").groupBy("part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("before"))
-    each = rows.select("part", "bits", "start", "n", "doc_ids", "ends", "payload").mapInArrow(digests, DIGEST)
+    each = rows.select("part", "no_id", "bits", "start", "n", "doc_ids", "ends", "payload").mapInArrow(digests, DIGEST)
     return each.join(before, "part").select("doc_id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -105,6 +105,23 @@ def test_token_files(spark, which):
         assert sorted(x.tolist() for x in token_binary.document_ids(spark, folder, doc)) == sorted(x.tolist() for x in plain[doc])
 
 
+def test_token_files_with_null_ids(spark):
+    """Documents without an id come first, keep their tokens, and a real id 0 stays apart."""
+    from tokenizers import Tokenizer
+
+    rows = [(None, "no id here"), (5, "five"), (None, None), (0, "zero"), (-7, "minus seven"), (None, "no id here"), (None, "another text without an id")]
+    library = Tokenizer.from_file(tokenizer_path())
+    plain = [(i, [*library.encode(t or "", add_special_tokens=False).ids, 0]) for i, t in rows]
+    for block in (1, 4, 500):
+        folder = common.shared_path(spark, "tokens")
+        token_binary.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, tokenizer_path(), block=block)
+        got = sorted(token_binary.read_digests(spark, folder).collect(), key=lambda r: r.start)
+        assert [r.doc_id for r in got] == [None, None, None, None, -7, 0, 5]
+        assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == sorted((str(i), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in plain)
+        for doc in (None, 0, -7, 5, 6):
+            assert sorted(x.tolist() for x in token_binary.document_ids(spark, folder, doc)) == sorted(x for i, x in plain if i == doc)
+
+
 def test_token_files_of_an_empty_table(spark):
     folder = common.shared_path(spark, "tokens")
     token_binary.write_tokens(odd(spark).limit(0), folder, tokenizer_path())
