@@ -3,7 +3,10 @@
 Texts become tokens: numbers turn into ``#``, units behind a number into ``@``, names
 (capitalised words within a sentence) into ``$``, and other words are lower-cased.  Windows of
 ``SIZE`` tokens are hash-joined with the windows of the benchmark; a window needs ``LITERAL``
-ordinary words.  First only the ids of documents with some common window are found; for these
+ordinary words.  So that verbatim copies are found whatever they hold and in whatever case,
+windows of the lower-cased tokens themselves are joined too, of any kind of token and, for an
+item of fewer than ``SIZE`` tokens, as long as the item.  Each character of a script without
+spaces is a token.  First only the ids of documents with some common window are found; for these
 the windows are joined again with their slots, the values behind the placeholders.  Over the
 common windows of a document and an item, a slot value of the item should always meet the same
 value in the document: a re-parameterised question has other values, but consistently.
@@ -13,8 +16,8 @@ shorter item's, and at least ``CONSISTENT`` of the item's slot values are consis
 judged over the common windows at one distance between their places in the document and in the
 item, so several variants, or a template that the item repeats, don't spoil each other; and
 over all common windows, so words put into the passage don't hide it.  One judgement that passes
-is enough; of several, that with the largest share of the item's windows is shown.  Items of
-fewer than ``SIZE`` tokens match nothing.  Null and empty texts have no window.  Repeated
+is enough, and exact windows, which have no slots, are judged apart; of several, that with the
+largest share of the item's windows is shown.  Items without a token match nothing.  Null and empty texts have no window.  Repeated
 documents are each reported, repeated items count once.  Empty tables give no rows.
 """
 
@@ -28,7 +31,9 @@ from eventlab.llm.common import table, written
 SIZE, LITERAL, LEAST, CONSISTENT = 8, 5, 3, 0.9
 #: More benchmark windows than these are not broadcast.
 SMALL = 500_000
-TOKEN = r"[0-9]+(?:[.,:][0-9]+)*|[^\x00-\x40\x5B-\x60\x7B-\x7F]+|[.!?\n]+"
+#: Scripts written without spaces, and their punctuation: each character is a token.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\uFF00-\uFFEF\x{20000}-\x{3FFFF}"
+TOKEN = rf"[0-9]+(?:[.,:][0-9]+)*|[^\x00-\x40\x5B-\x60\x7B-\x7F{UNSPACED}]+|[.!?\n]+|[{UNSPACED}]"
 # Units that make a slot behind a number.
 UNITS = ("cm", "days", "dollars", "euros", "feet", "g", "hours", "inches", "kg", "km", "l", "lb", "m", "mg", "miles", "minutes", "ml", "mm", "mph", "pounds",
          "seconds", "weeks", "years", "day", "dollar", "euro", "foot", "hour", "inch", "mile", "minute", "pound", "second", "week", "year")
@@ -47,8 +52,9 @@ def template(raw: str) -> Column:
     def one(x: Column, i: Column) -> Column:
         before = F.get(F.col(raw), i - 1)
         unit = (before >= "0") & (before < ":") & F.lower(x).isin(*UNITS)
-        name = (x >= "A") & (x < "[") & (before >= "0")
-        return F.when(x < "0", F.lit("")).when(x < ":", F.lit("#")).when(unit, F.lit("@")).when(name, F.lit("$")).otherwise(F.lower(x))
+        inside = (before >= "A") | (before >= "0") & (before < ":")
+        name = (x >= "A") & (x < "[") & inside
+        return F.when((x < "0") | (x >= "?") & (x < "@"), F.lit("")).when(x < ":", F.lit("#")).when(unit, F.lit("@")).when(name, F.lit("$")).otherwise(F.lower(x))
 
     return F.transform(raw, one)
 
@@ -65,27 +71,48 @@ def literals(window: Column) -> Column:
     return F.size(F.filter(window, lambda x: ~x.isin("#", "@", "$")))
 
 
-def places(t: Column) -> Column:
-    return F.when(F.size(t) >= SIZE, F.sequence(F.lit(1), F.size(t) - SIZE + 1))
+def places(t: Column, size: int | Column = SIZE) -> Column:
+    size = F.lit(size) if isinstance(size, int) else size
+    return F.when((F.size(t) >= size) & (size > 0), F.sequence(F.lit(1), F.size(t) - size + 1))
 
 
-def hashes_of(t: str) -> Column:
-    """Place and hash of every window of the tokens ``t``."""
-    return F.transform(places(F.col(t)), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(t, i, F.lit(SIZE))).alias("hash")))
+def hashes_of(t: Column, low: Column, sizes: list[int]) -> Column:
+    """Place, kind and hash of every window: kind 0 are those of the templates ``t``, others
+    those of as many lower-cased tokens ``low``.  A window's hash is that of its tokens' hashes."""
+    def windows(of: Column, size: int, kind: int) -> Column:
+        each = F.transform(places(of, size), lambda i: F.struct(i.alias("pos"), F.lit(kind).alias("kind"), hashed(F.slice(of, i, F.lit(size))).alias("hash")))
+        return F.coalesce(each, F.array().cast("array<struct<pos:int,kind:int,hash:bigint>>"))
+
+    return F.concat(windows(t, SIZE, 0), *[windows(low, k, k) for k in sizes])
+
+
+def hashed(window: Column) -> Column:
+    return F.xxhash64(window, F.size(window))
+
+
+def token_hashes(t: str) -> Column:
+    return F.transform(t, lambda x: F.xxhash64(F.lower(x)))
 
 
 def window_at(pos: Column) -> tuple[Column, Column]:
-    """The window of the columns ``t`` and ``v`` at a place, and its slots."""
+    """The template window of the columns ``t`` and ``v`` at a place, and its slots."""
     w, v = F.slice("t", pos, F.lit(SIZE)), F.slice("v", pos, F.lit(SIZE))
     slots = F.filter(F.arrays_zip(w.alias("w"), v.alias("v")), lambda x: x["w"].isin("#", "@", "$"))
     return w, F.transform(slots, lambda x: F.concat(x["w"], F.lower(x["v"])))
 
 
-def marked(docs: DataFrame, hashes: DataFrame, small: bool) -> DataFrame:
+def any_window(pos: Column, kind: Column) -> tuple[Column, Column]:
+    """The window of a kind at a place; exact windows have no slots."""
+    w, slots = window_at(pos)
+    low = F.transform(F.slice("v", pos, kind), lambda x: F.lower(x))
+    return F.when(kind == 0, w).otherwise(low), F.when(kind == 0, slots).otherwise(F.array().cast("array<string>"))
+
+
+def marked(docs: DataFrame, hashes: DataFrame, small: bool, sizes: list[int]) -> DataFrame:
     """Ids of the documents that share a window's hash with the benchmark; values aren't carried."""
-    rows = docs.select("doc_id", tokens(F.col("text")).alias("_raw")).select("doc_id", template("_raw").alias("_t"))
-    rows = rows.select("doc_id", F.filter("_t", lambda x: x != "").alias("t"))
-    rows = rows.select("doc_id", F.explode(hashes_of("t")).alias("h")).select("doc_id", "h.hash")
+    rows = tokenised(docs, "doc_id").select("doc_id", token_hashes("t").alias("t"), token_hashes("v").alias("low"))
+    rows = rows.select("doc_id", F.explode(F.transform(hashes_of(F.col("t"), F.col("low"), sizes), lambda x: x["hash"])).alias("hash"))
+    hashes = hashes.select("hash").distinct()
     return rows.join(F.broadcast(hashes) if small else hashes, "hash", "left_semi").select("doc_id").distinct()
 
 
@@ -99,7 +126,7 @@ def readings(hits: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
     pairs = hits.select(*keys, F.explode(F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d"))).alias("p")).select(*keys, "p.i", "p.d").distinct()
     values = pairs.groupBy(*keys, "i").agg(F.count("*").alias("n"), F.max((F.col("i") != F.col("d")).cast("int")).alias("other"))
     slots = values.groupBy(*keys).agg(F.count("*").alias("n_slots"), F.avg((F.col("n") == 1).cast("double")).alias("consistent"), F.max("other").alias("other"))
-    out = counts.join(sizes, "item_id").join(slots, keys, "left")
+    out = counts.join(sizes, ["item_id", "exact"]).join(slots, keys, "left")
     return accepted(out.select("doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("all")).alias("share"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
                                F.coalesce("consistent", F.lit(1.0)).alias("consistent"), F.coalesce(F.col("other") == 1, F.lit(False)).alias("changed"), "all"))
 
@@ -108,28 +135,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, n_windows, share, n_slots,
     consistent, changed``; ``changed`` says whether some slot has another value than in the item."""
     docs = docs.select(F.col("doc_id"), "text")
-    parts = tokenised(benchmark.select("item_id", "text"), "item_id").withColumn("irow", F.xxhash64("t", "v")).withColumn("p", F.explode(places(F.col("t"))))
-    w, slots = window_at(F.col("p"))
-    items = parts.select("item_id", "irow", F.col("p").alias("ipos"), w.alias("w"), slots.alias("slots")).where(literals(F.col("w")) >= LITERAL)
-    items = written(items.withColumn("hash", F.xxhash64("w")).distinct(), "items")
-    hashes = items.select("hash").distinct()
+    parts = tokenised(benchmark.select("item_id", "text"), "item_id").withColumn("irow", F.xxhash64("t", "v"))
+    short = F.least(F.lit(SIZE), F.size("t"))
+    kinds = parts.withColumn("kind", F.explode(F.array(F.lit(0), short)))
+    kinds = kinds.withColumn("ipos", F.explode(places(F.col("t"), F.when(F.col("kind") == 0, SIZE).otherwise(F.col("kind")))))
+    w, slots = any_window(F.col("ipos"), F.col("kind"))
+    items = kinds.select("item_id", "irow", "ipos", "kind", w.alias("w"), slots.alias("slots")).where((F.col("kind") > 0) | (literals(F.col("w")) >= LITERAL))
+    items = written(items.withColumn("hash", hashed(token_hashes("w"))).distinct(), "items")
+    hashes = items.select("kind", "hash").distinct()
     small = items.count() <= SMALL
-    found = written(marked(docs, hashes, small), "marked")
+    exact = sorted(r.kind for r in items.where("kind > 0").select("kind").distinct().collect())  # at most SIZE numbers
+    found = written(marked(docs, hashes, small, exact), "marked")
 
     near = written(tokenised(docs.join(found, "doc_id", "left_semi"), "doc_id").withColumn("_row", F.xxhash64("t", "v")), "tokens")
-    met = near.select("doc_id", "_row", F.explode(hashes_of("t")).alias("h")).select("doc_id", "_row", "h.pos", "h.hash")
-    met = met.join(F.broadcast(hashes) if small else hashes, "hash", "left_semi")
-    # The places of a document at which something was met, at most its length.
-    met = met.groupBy("doc_id", "_row").agg(F.collect_set("pos").alias("met"))
+    met = near.select("doc_id", "_row", token_hashes("t").alias("t"), token_hashes("v").alias("low"))
+    met = met.select("doc_id", "_row", F.explode(hashes_of(F.col("t"), F.col("low"), exact)).alias("h")).select("doc_id", "_row", "h.*")
+    met = met.join(F.broadcast(hashes) if small else hashes, ["kind", "hash"], "left_semi")
+    # The places of a document at which something was met, at most its length for each kind.
+    met = met.groupBy("doc_id", "_row").agg(F.collect_set(F.struct("pos", "kind", "hash")).alias("met"))
     both = near.join(met, ["doc_id", "_row"]).select("doc_id", "_row", F.transform("met", lambda m: F.struct(
-        m.alias("pos"), window_at(m)[0].alias("w"), window_at(m)[1].alias("slots"))).alias("met"))
-    both = both.select("doc_id", "_row", F.explode("met").alias("m")).select("doc_id", "_row", "m.*").withColumn("hash", F.xxhash64("w"))
-    side = items.select("item_id", "irow", "ipos", "hash", F.col("w").alias("iw"), F.col("slots").alias("islots"))
-    hits = both.join(F.broadcast(side) if small else side, "hash").where("w = iw")
-    hits = written(hits.select("doc_id", "_row", "item_id", "irow", (F.col("pos") - F.col("ipos")).alias("offset"), "hash", "slots", "islots").distinct(), "hits")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("hash").alias("all"))
-    whole = readings(hits, sizes, ["doc_id", "item_id"])
-    aligned = readings(hits, sizes, ["doc_id", "item_id", "_row", "irow", "offset"])
+        m["pos"].alias("pos"), m["kind"].alias("kind"), m["hash"].alias("hash"), any_window(m["pos"], m["kind"])[0].alias("w"), any_window(m["pos"], m["kind"])[1].alias("slots"))).alias("met"))
+    both = both.select("doc_id", "_row", F.explode("met").alias("m")).select("doc_id", "_row", "m.*")
+    side = items.select("item_id", "irow", "ipos", "kind", "hash", F.col("w").alias("iw"), F.col("slots").alias("islots"))
+    hits = both.join(F.broadcast(side) if small else side, ["kind", "hash"]).where("w = iw").withColumn("exact", F.col("kind") > 0)
+    hits = written(hits.select("doc_id", "_row", "item_id", "irow", "exact", (F.col("pos") - F.col("ipos")).alias("offset"), "hash", "slots", "islots").distinct(), "hits")
+    sizes = items.groupBy("item_id", (F.col("kind") > 0).alias("exact")).agg(F.countDistinct("hash").alias("all"))
+    whole = readings(hits, sizes, ["doc_id", "item_id", "exact"])
+    aligned = readings(hits.where("NOT exact"), sizes, ["doc_id", "item_id", "exact", "_row", "irow", "offset"])
     best = F.max(F.struct("share", "consistent", (~F.col("changed")).alias("same"), "n_windows", "n_slots")).alias("b")
     out = whole.unionByName(aligned).groupBy("doc_id", "item_id").agg(best)
     return out.select("doc_id", "item_id", "b.n_windows", "b.share", "b.n_slots", "b.consistent", (~F.col("b.same")).alias("changed"))

@@ -245,6 +245,17 @@ def test_slots_per_alignment(spark):
     assert all(r.consistent == 1.0 for r in got.values())
 
 
+def test_exact_windows(spark):
+    """Copies of items dense in numbers or names, short, unspaced or in another case are found."""
+    items = {1: "12 + 7 = 19, 13 + 8 = 21, 14 + 9 = 23, so 15 + 10 is 25 or 30", 2: "Why now?", 3: "明日の天気はどうですか。", 4: "We saw Anna Berg, Paul Stein, Rosa Klein and Otto Wald in Old Bonn",
+             5: "the plain words of this sentence are not names at all", 6: "", 7: "北京"}
+    docs = [(1, f"Sum: {items[1]}."), (2, "He asked: why NOW, of all days?"), (3, f"前の文です。{items[3]}次の文です。"), (4, f"Then {items[4].lower()} again."), (5, f"So {items[5].title()}."),
+            (6, f"So {items[5].upper()}."), (7, "12 + 7 = 19, and nothing else; why? now?"), (8, "12 13 14 15 16 17 18 19 20 21 22"), (9, "他住在北京市。"), (10, "now why"), (11, None)]
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 5), (7, 2), (9, 7)}
+    assert all(not r.changed and r.share == 1.0 for r in got)
+
+
 def test_planted_passages(spark):
     """Documents that hold a whole item are found, and only those (by plain search for runs of words)."""
     docs = {r.doc_id: " ".join(re.findall(common.WORD_CLASS, (r.text or "").lower())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
