@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,18 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int = 16 << 20) -> Iterator[None]:
+    """Bound the bytes of an Arrow batch while tables are written inside; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column end to end, and the border of each row; null is empty."""
     column = pc.fill_null(column, "")
