@@ -12,6 +12,7 @@ from eventlab.llm.embedding_dedup import op10_embedding_dedup
 from eventlab.llm.exact_topk import op11_exact_topk
 from eventlab.llm.language_id import op7_language_id
 from eventlab.llm.licenses import op2_license_scan
+from eventlab.llm.merkle import op13_merkle_manifest
 from eventlab.llm.minhash_dedup import op3_minhash_dedup
 from eventlab.llm.pieces import op6_sentencepiece
 from eventlab.llm.sharding import op8_sharding
@@ -22,6 +23,6 @@ from eventlab.llm.twins import SQL
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_format, op2_license_scan, op3_minhash_dedup, op4_token_binary, op5_suffix_dedup, op6_sentencepiece, op7_language_id, op8_sharding,
-              op9_decontamination, op10_embedding_dedup, op11_exact_topk)
+              op9_decontamination, op10_embedding_dedup, op11_exact_topk, op13_merkle_manifest)
 }
 __all__ = ["QUERIES", "SQL"]
