@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventlab.llm.alignment import op12_alignment
 from eventlab.llm.chat_format import op1_chat_format
 from eventlab.llm.decontamination import op9_decontamination
 from eventlab.llm.embedding_dedup import op10_embedding_dedup
@@ -23,6 +24,6 @@ from eventlab.llm.twins import SQL
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_format, op2_license_scan, op3_minhash_dedup, op4_token_binary, op5_suffix_dedup, op6_sentencepiece, op7_language_id, op8_sharding,
-              op9_decontamination, op10_embedding_dedup, op11_exact_topk, op13_merkle_manifest)
+              op9_decontamination, op10_embedding_dedup, op11_exact_topk, op12_alignment, op13_merkle_manifest)
 }
 __all__ = ["QUERIES", "SQL"]
