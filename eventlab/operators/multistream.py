@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlab.operators.running import BUCKET, running
+from eventlab.operators.running import BUCKET, ranges_needed, running
 from eventlab.times import Windows, flatten
 
 
@@ -88,16 +88,16 @@ def pairing_steps(events: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
     ``prev`` is the key's previous event, ``prev_waits`` whether that one is waiting when
     this one arrives, ``meets`` whether the two pair up, ``waits`` whether this one waits.
     """
-    columns = events.columns
+    columns, ranges = events.columns, ranges_needed(events, ["key"], bucket)
     row = F.struct("seq", *[c for c in columns if c not in ("key", "seq")])
     seen = running(events, ["key"], "seq", {"_before": ("sum", F.lit(1).cast("bigint")), "prev": ("max", row)},
-                   inclusive=False, bucket=bucket)
+                   inclusive=False, ranges=ranges)
     # `_at` is the event's place within its key, `_from` the last place where waiting started over.
     placed = seen.withColumns({
         "_at": F.coalesce("_before", F.lit(0)),
         "_starts": F.col("prev").isNull() | F.col("prev.side").eqNullSafe(F.col("side"))})
     chains = running(placed, ["key"], "seq", {"_from": ("max", F.when(F.col("_starts"), F.col("_at")))},
-                     inclusive=False, bucket=bucket)
+                     inclusive=False, ranges=ranges)
     prev_waits = F.coalesce(F.pmod(F.col("_at") - 1 - F.col("_from"), F.lit(2)) == 0, F.lit(False))
     return chains.withColumn("prev_waits", prev_waits).select(
         *columns, "prev", "prev_waits", (F.col("prev_waits") & ~F.col("_starts") & F.col("side").isNotNull()).alias("meets"),

@@ -1,16 +1,20 @@
 """Running aggregates in arrival order that no hot key can pin to one task.
 
 A plain ``sum(...) OVER (PARTITION BY key ORDER BY seq)`` sorts all rows of a key in one
-task, which is right for keys of up to ``bucket`` rows.  Larger keys, of which there is at
-most one per ``bucket`` rows of the table, are cut into runs at quantiles of their arrival
-numbers.  Each run is aggregated first (partial aggregation, no sort), the small table of
-runs is accumulated per key, and what went before a run enters it as one leading row.  The
-table is shuffled once, by key and run; how the numbers are spread doesn't matter, and
-where the cuts lie moves work between tasks but changes no result.
+task, which is right for keys of up to ``bucket`` rows; then the input is read once and
+shuffled once, by key.  If a key is larger, the rows are cut into ranges of (key, arrival
+number) that are equal in rows however keys and numbers are spread, and written in that
+order.  Windows then run inside a range.  A range can go on with only one key, that of the
+range before, so what went before a range is one row per range at most, which is sent to all
+tasks.  Where the cuts lie moves work between tasks but changes no result.
+
+Whether a key is larger is counted when the operator is called; tables of up to ``bucket``
+rows need no count per key.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
@@ -18,15 +22,28 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlab.session import written
 from eventlab.times import floor_div
 
 # The most rows of a key that one task sorts without need.
 BUCKET = 1 << 18
-# Cuts at quantiles; between two of them a key's numbers are cut evenly.
-CUTS = 64
 
-# Aggregates that can be merged with themselves: a partial result is again an input.
-MERGEABLE = {"sum": F.sum, "max": F.max, "min": F.min}
+# Aggregates that can be merged with themselves, and how two partial results meet; null is "none yet".
+MERGEABLE = {
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+    "max": (F.max, F.greatest),
+    "min": (F.min, F.least),
+}
+
+
+def ranges_needed(df: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> int:
+    """How many ranges to cut the table into; 1 where no key has more than ``bucket`` rows."""
+    rows = df.count()
+    if rows <= bucket:
+        return 1
+    if keys and df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count")).filter(F.col("_count") > bucket).isEmpty():
+        return 1
+    return math.ceil(rows / bucket) + 1
 
 
 def running(
@@ -38,81 +55,48 @@ def running(
     lead: str | None = None,
     inclusive: bool = True,
     bucket: int = BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add one running total per entry of ``totals`` to every row.
 
     ``totals`` maps an output name to ``("sum" | "max" | "min", input column)``.  Rows
-    are taken per ``keys`` in the order of ``lead``, if given, and then ``seq``; both are
-    whole numbers, and together they are unique within the keys.  ``inclusive=False``
-    leaves the row itself out.
+    are taken per ``keys`` in the order of ``lead``, if given, and then ``seq``; together
+    they are unique within the keys.  ``inclusive=False`` leaves the row itself out.
+    ``ranges`` is what :func:`ranges_needed` found, if the caller has asked already.
     """
     merges = {name: MERGEABLE[how] for name, (how, _) in totals.items()}
-    rows = df.withColumns({**{f"_in_{name}": column for name, (_, column) in totals.items()}, "_is_row": F.lit(1)})
-    if lead is not None:
-        # A key's earlier values of `lead` enter the next one as its first row.
-        groups = rows.groupBy(*keys, lead).agg(*_merged(merges))
-        before = _accumulate(groups.withColumn("_is_row", F.lit(1)), keys, lead, merges, False, bucket)
-        rows = rows.unionByName(_carried(before, rows, [*keys, lead], merges))
-        keys = [*keys, lead]
-    out = _accumulate(rows, keys, seq, merges, inclusive, bucket)
-    return out.filter("_is_row = 1").select(*df.columns, *[F.col(f"_out_{n}").alias(n) for n in totals])
-
-
-def _merged(merges: Mapping[str, Callable]) -> list[Column]:
-    return [merge(f"_in_{n}").alias(f"_in_{n}") for n, merge in merges.items()]
-
-
-def _carried(before: DataFrame, rows: DataFrame, group: Sequence[str], merges: Mapping[str, Callable]) -> DataFrame:
-    """What went before each group, if anything, as a row; its other columns are null."""
-    known = {*group, "_is_row", *(f"_in_{n}" for n in merges)}
-    before = before.filter(reduce(or_, [F.col(f"_out_{n}").isNotNull() for n in merges]))
-    return before.select(*group, *[F.col(f"_out_{n}").alias(f"_in_{n}") for n in merges], F.lit(0).alias("_is_row"),
-                         *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in known])
-
-
-def _accumulate(
-    rows: DataFrame,
-    keys: Sequence[str],
-    seq: str,
-    merges: Mapping[str, Callable],
-    inclusive: bool,
-    bucket: int,
-) -> DataFrame:
-    """Running ``_out_*`` from ``_in_*`` per ``keys``; rows with ``_is_row`` 0 come first."""
-    at = F.col(seq).cast("bigint")
-    if not keys:  # one key for all rows, in a form that stays a key to join on
-        rows = rows.withColumn("_all", F.coalesce(at.bitwiseAND(F.lit(0)), F.lit(0)))
-        return _accumulate(rows, ["_all"], seq, merges, inclusive, bucket).drop("_all")
-    names = {f"_key_{i}": k for i, k in enumerate(keys)}
-
-    def join(df: DataFrame, large: DataFrame, how: str) -> DataFrame:
-        """At most one row per `bucket` rows of the table is sent to all tasks."""
-        on = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for n, k in names.items()])
-        return df.join(F.broadcast(large), on, how).drop(*names)
-
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count")).filter(F.col("_count") > bucket)
-    counts = counts.select(*[F.col(k).alias(n) for n, k in names.items()], "_count")
-    cuts = F.percentile_approx(at, [i / CUTS for i in range(CUTS + 1)], 10_000)
-    large = join(rows.select(*keys, seq), counts, "inner").groupBy(*keys).agg(F.first("_count").alias("_count"), cuts.alias("_cuts"))
-    large = large.select(*[F.col(k).alias(n) for n, k in names.items()], F.array_distinct("_cuts").alias("_cuts"),
-                         F.ceil(F.col("_count") / F.lit(bucket * CUTS)).alias("_pieces"))
-    cut = join(rows, large, "left")
-    place = F.size(F.filter("_cuts", lambda x: x <= at))
-    low, high = F.get("_cuts", F.col("_place") - 1), F.get("_cuts", F.col("_place"))
-    piece = F.least(F.col("_pieces") - 1, F.floor((at.cast("double") - low) / (high.cast("double") - low) * F.col("_pieces")))
-    run = F.when(F.col("_cuts").isNull() | at.isNull(), F.lit(0)).otherwise(F.col("_place") * F.col("_pieces") + F.coalesce(piece, F.lit(0)))
-    cut = cut.withColumn("_place", place).withColumn("_run", run.cast("bigint"))
-
-    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = cut.filter("_cuts IS NOT NULL").groupBy(*keys, "_run").agg(*_merged(merges))
-    before = runs.select(*keys, "_run", *[merge(f"_in_{n}").over(earlier).alias(f"_out_{n}") for n, merge in merges.items()])
-    cut = cut.drop("_cuts", "_pieces", "_place")
-    carried = _carried(before, cut, [*keys, "_run"], merges).withColumn("_is_row", F.lit(-1))
-    upto = (Window.partitionBy(*keys, "_run").orderBy("_is_row", seq)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
-    return (cut.unionByName(carried)
-            .select("*", *[merge(f"_in_{n}").over(upto).alias(f"_out_{n}") for n, merge in merges.items()])
-            .filter("_is_row >= 0").drop("_run"))
+    order = [seq] if lead is None else [lead, seq]
+    rows = df.withColumns({f"_in_{name}": column for name, (_, column) in totals.items()})
+    if ranges is None:
+        ranges = ranges_needed(df, keys, bucket)
+    last = Window.currentRow if inclusive else -1
+
+    def within(*group: str) -> dict[str, Column]:
+        upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+        return {name: merge(f"_in_{name}").over(upto) for name, (merge, _) in merges.items()}
+
+    if ranges == 1:
+        return rows.select(*df.columns, *[total.alias(name) for name, total in within(*keys).items()])
+    rows = in_ranges(rows, [*keys, *order], ranges)
+    before = carried(rows, keys, merges)
+    joined = rows.join(F.broadcast(before), reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ["_range", *keys]]), "left")
+    out = joined.withColumns({f"_out_{name}": total for name, total in within("_range", *keys).items()})
+    return out.select(*df.columns, *[meet(F.col(f"_before_{name}"), F.col(f"_out_{name}")).alias(name) for name, (_, meet) in merges.items()])
+
+
+def in_ranges(rows: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """The rows written in ``ranges`` parts of ascending ``order``, numbered by ``_range``."""
+    return written(rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+
+
+def carried(rows: DataFrame, keys: Sequence[str], merges: Mapping[str, tuple[Callable, Callable]]) -> DataFrame:
+    """What a key has in earlier ranges, where it has any: at most one row per range."""
+    parts = rows.groupBy("_range", *keys).agg(*[merge(f"_in_{name}").alias(f"_in_{name}") for name, (merge, _) in merges.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(
+        *[F.col(c).alias(f"_of_{c}") for c in ["_range", *keys]],
+        *[merge(f"_in_{name}").over(earlier).alias(f"_before_{name}") for name, (merge, _) in merges.items()])
+    return before.filter(reduce(or_, [F.col(f"_before_{name}").isNotNull() for name in merges]))
 
 
 def numbered(
