@@ -8,10 +8,10 @@ in the same way.
 The built levels are stored as node rows that link to a node above, with the siblings on the
 way there.  A row spans ``STRIDE`` levels, so a climb from a leaf to the root takes a join for
 every ``STRIDE`` levels, and no more shuffles; with a stride of one every level has rows of its
-own.  A recursive SQL query starts at every leaf and climbs from link to link, appending the
-siblings to the proof and folding the leaf's digest with them.  A node high up is met by many
-leaves, so its row is stored once per ``RUN`` leaves below it, and the join key holds the run.
-Levels are built in blocks of 2^``STRIDE`` nodes, each in one call, so that no task holds more.
+own.  A recursive SQL query starts at the node rows of all leaves and climbs from link to link,
+appending the siblings to the proof and folding the leaf's digest with them.  A node high up is
+met by many leaves, so its row is stored once per 2^``RUN`` leaves below it, and the join key
+holds the run.  Levels are built in blocks of 2^``STRIDE`` nodes, so that no task holds more.
 
 Null columns count as ``-`` and a null ``lang`` is a tree of its own, the first one.  Rows
 without an id come first in their tree, and rows with equal ids are ordered by their leaves.
@@ -22,6 +22,7 @@ read nor covered by a leaf.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,10 +31,10 @@ from pyspark.sql import functions as F
 from eventlab.llm.common import table, within, written
 
 #: Levels that a node row spans, and leaves that share a copy of a node row, as powers of two.
-STRIDE, RUN = 8, 8
-NODES = "tree string, pos long, digest binary, above binary, path array<struct<left:binary,right:binary>>, lo long, hi long, above_hi long"
-FIELDS = pa.schema([("tree", pa.string()), ("pos", pa.int64()), ("digest", pa.binary()), ("above", pa.binary()), ("path", pa.list_(pa.struct([("left", pa.binary()), ("right", pa.binary())]))),
-                    ("lo", pa.int64()), ("hi", pa.int64()), ("above_hi", pa.int64())])
+STRIDE, RUN = 12, 8
+STEP = pa.struct([("left", pa.binary()), ("right", pa.binary())])
+#: What :func:`spanned` adds to the columns ``tree, pos, digest, lo, hi`` and others.
+ADDED = "above binary, path array<struct<left:binary,right:binary>>, above_hi long"
 
 
 def parent(parts: list[bytes]) -> bytes:
@@ -56,8 +57,10 @@ def spanned(rows: pa.Table, stride: int) -> pa.Table:
         now = [parent(now[i:i + 2]) for i in range(0, len(now), 2)]
     count, last = len(digests), max(rows["hi"].to_pylist())
     steps = [[{"left": a, "right": b} for a, b in path] for path in paths]
-    return pa.Table.from_arrays([pa.array([tree] * count), rows["pos"], rows["digest"], pa.array(now * count, pa.binary()), pa.array(steps, FIELDS.field("path").type), rows["lo"], rows["hi"],
-                                 pa.array([last] * count, pa.int64())], schema=FIELDS)
+    added = {"above": pa.array(now * count, pa.binary()), "path": pa.array(steps, pa.list_(STEP)), "above_hi": pa.array([last] * count, pa.int64())}
+    for name, values in added.items():
+        rows = rows.append_column(name, values)
+    return rows
 
 
 def stored(column: str | Column) -> Column:
@@ -76,35 +79,46 @@ def leaves(docs: DataFrame, one_in: int) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("tree"), digest(F.col("n_chars")).alias("leaf"), F.when(hit, digest(more)).alias("altered"))
 
 
-def built(nodes: DataFrame, stride: int, first: int) -> tuple[DataFrame, DataFrame, int]:
-    """All tiers over ``nodes`` (``tree, pos, digest, lo, hi``): their rows, the last nodes, the next tier's number."""
-    tiers, tier = None, first
+def tier_of(nodes: DataFrame, stride: int, number: int) -> DataFrame:
+    """The node rows of one tier, from its nodes (``tree, pos, digest, lo, hi`` and others)."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema)
+    rows = nodes.groupBy("tree", F.shiftright("pos", stride)).applyInArrow(lambda some: spanned(some, stride), f"{schema}, {ADDED}")
+    return written(rows.withColumn("tier", F.lit(number)), "nodes")
+
+
+def above(rows: DataFrame, stride: int) -> DataFrame:
+    """The nodes that the rows of a tier link to."""
+    first = rows.where(F.col("pos") % (1 << stride) == 0)
+    return first.select("tree", F.shiftright("pos", stride).alias("pos"), F.col("above").alias("digest"), "lo", F.col("above_hi").alias("hi"))
+
+
+def built(nodes: DataFrame, stride: int, number: int) -> tuple[list[DataFrame], DataFrame]:
+    """All tiers from ``nodes`` on, numbered from ``number``, and the one node of each tree they end in."""
+    tiers = []
     while True:
-        key = F.shiftright("pos", stride).alias("_block")
-        rows = nodes.groupBy("tree", key).applyInArrow(lambda some: spanned(some, stride), NODES)
-        rows = written(rows.withColumn("tier", F.lit(tier)), "nodes")
-        nodes = rows.where(F.col("pos") % (1 << stride) == 0).select("tree", F.shiftright("pos", stride).alias("pos"), F.col("above").alias("digest"), "lo", F.col("above_hi").alias("hi"))
-        tiers, tier = rows if tiers is None else tiers.unionByName(rows), tier + 1
+        tiers.append(tier_of(nodes, stride, number + len(tiers)))
+        nodes = above(tiers[-1], stride)
         if nodes.where(F.col("pos") > 0).isEmpty():
-            return tiers, nodes, tier
+            return tiers, nodes
 
 
-def linked(rows: DataFrame, stride: int, run: int) -> DataFrame:
+def linked(rows: DataFrame, run: int) -> DataFrame:
     """Node rows with their links, one copy for each run of leaves below."""
     runs = F.sequence(F.shiftright("lo", run), F.shiftright("hi", run))
-    return rows.select("tier", "tree", "pos", "digest", "path", (F.col("tier") + 1).alias("up_tier"), F.col("up_tree"), F.col("up_pos"), F.explode(runs).alias("run"))
+    return rows.select("tier", "tree", "pos", "digest", "path", "up_tree", "up_pos", F.explode(runs).alias("run"))
 
 
-def climb_sql(leaves_of: str, nodes: str, subroots: int) -> str:
-    """The recursive query over two written tables; ``subroots`` is the tier whose nodes are subroots."""
+def climb_sql(leaves_of: str, nodes: str, stride: int, run: int, subroots: int, last: int) -> str:
+    """The recursive query over two written tables; ``subroots`` is the tier whose nodes are subroots, ``last`` that beyond the root."""
+    proof = "aggregate({0}.path, {1}, (s, x) -> concat(s, x.left, x.right))"
+    fold = "aggregate({0}.path, {1}, (s, x) -> unhex(sha2(lower(hex(concat(x.left, s, x.right))), 256)))"
     return f"""WITH RECURSIVE climb(doc_id, leaf, run, tier, tree, pos, proof, folded, subroot) AS (
-  SELECT doc_id, leaf, run, 0, tree, pos, CAST(X'' AS BINARY), coalesce(altered, leaf), CAST(NULL AS BINARY) FROM {leaves_of}
+  SELECT doc_id, digest, shiftright(pos, {run}), 1, tree, shiftright(pos, {stride}), {proof.format('l', "CAST(X'' AS BINARY)")}, {fold.format('l', 'coalesce(altered, digest)')}, CAST(NULL AS BINARY)
+  FROM {leaves_of} l
   UNION ALL
-  SELECT c.doc_id, c.leaf, c.run, n.up_tier, n.up_tree, n.up_pos,
-         aggregate(n.path, c.proof, (s, x) -> concat(s, x.left, x.right)),
-         aggregate(n.path, c.folded, (s, x) -> unhex(sha2(lower(hex(concat(x.left, s, x.right))), 256))),
+  SELECT c.doc_id, c.leaf, c.run, n.tier + 1, n.up_tree, n.up_pos, {proof.format('n', 'c.proof')}, {fold.format('n', 'c.folded')},
          CASE WHEN n.tier = {subroots} THEN n.digest ELSE c.subroot END
-  FROM climb c JOIN {nodes} n ON c.tier = n.tier AND c.tree = n.tree AND c.pos = n.pos AND c.run = n.run)"""
+  FROM climb c JOIN {nodes} n ON c.tier = n.tier AND c.tree = n.tree AND c.pos = n.pos AND c.run = n.run WHERE c.tier < {last})"""
 
 
 def manifest(docs: DataFrame, stride: int = STRIDE, run: int = RUN, one_in: int = 7) -> DataFrame:
@@ -114,26 +128,25 @@ def manifest(docs: DataFrame, stride: int = STRIDE, run: int = RUN, one_in: int
     with one added to ``n_chars``, and ends at another root.
     """
     spark = docs.sparkSession
-    numbered = written(within(leaves(docs, one_in), ["tree"], [F.col("doc_id").asc_nulls_first(), F.col("leaf")], "pos"), "leaves")
-    nodes = numbered.select("tree", "pos", F.col("leaf").alias("digest"), F.col("pos").alias("lo"), F.col("pos").alias("hi"))
-    below, subroots, tier = built(nodes, stride, 0)
-    below = below.withColumn("up_tree", F.col("tree")).withColumn("up_pos", F.shiftright("pos", stride))
-    # The subroots are nodes of one more tree; the first tier there keeps the name of its own tree for the link from below.
+    numbered = within(leaves(docs, one_in), ["tree"], [F.col("doc_id").asc_nulls_first(), F.col("leaf")], "pos")
+    nodes = numbered.select("doc_id", "altered", "tree", "pos", F.col("leaf").alias("digest"), F.col("pos").alias("lo"), F.col("pos").alias("hi"))
+    (of_leaves, *below), subroots = built(nodes, stride, 0)
+    # The subroots are nodes of one more tree; its first tier keeps the names of their own trees for the links from below.
+    first = 1 + len(below)
     named = written(within(subroots.drop("pos"), [], [F.col("tree")], "pos"), "subroots")
-    above, root, last = built(named.withColumn("tree", F.lit("")), stride, tier)
-    above = above.join(named.select("pos", F.col("tree").alias("own")), "pos", "left")
-    start = F.col("tier") == tier
-    above = above.withColumns({"tree": F.when(start, F.col("own")).otherwise(F.col("tree")), "up_tree": F.lit(""), "up_pos": F.shiftright("pos", stride), "pos": F.when(start, F.lit(0)).otherwise(F.col("pos"))})
-    links = written(linked(below.unionByName(above.drop("own")), stride, run), "links")
+    (start, *rest), root = built(named.withColumns({"own": F.col("tree"), "tree": F.lit("")}), stride, first)
+    last = first + 1 + len(rest)
+    up = {"up_tree": F.col("tree"), "up_pos": F.shiftright("pos", stride)}
+    rows = [x.withColumns(up) for x in (*below, *rest)] + [start.withColumns(up).withColumns({"tree": F.col("own"), "pos": F.lit(0).cast("long")})]
+    links = written(reduce(DataFrame.unionByName, [linked(x, run) for x in rows]), "links")
     top = root.select(F.lower(F.hex("digest"))).first()  # one row, none if the table is empty
-    begin = numbered.select("doc_id", "leaf", "altered", "tree", "pos", F.shiftright("pos", run).alias("run"))
-    begin.createOrReplaceTempView("merkle_leaves")
+    of_leaves.createOrReplaceTempView("merkle_leaves")
     links.createOrReplaceTempView("merkle_links")
     limit = "spark.sql.cteRecursionRowLimit"  # a million rows unless it is lifted
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")
     try:
-        ended = spark.sql(f"{climb_sql('merkle_leaves', 'merkle_links', tier)} SELECT doc_id, leaf, subroot, proof, folded FROM climb WHERE tier = {last}")
+        ended = spark.sql(f"{climb_sql('merkle_leaves', 'merkle_links', stride, run, first, last)} SELECT doc_id, leaf, subroot, proof, folded FROM climb WHERE tier = {last}")
         hexed = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "folded")]
         ended = written(ended.select("doc_id", *hexed, F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256")), "climbed")
     finally:
