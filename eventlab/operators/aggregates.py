@@ -7,11 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlab.operators.running import BUCKET, running
+from eventlab.operators.running import BUCKET, numbered, running
+from eventlab.session import written
 from eventlab.times import floor_div
 
 # Values of a key that `reduce_in_order` gathers in one task.
 FOLD = 1 << 16
+# Values that one row of `rolling_reduce` scans.
+RUN = 128
 
 
 def _others(df: DataFrame, *taken: str) -> list[str]:
@@ -110,6 +113,55 @@ def reduce_in_order(
     return level.select(*keys, F.col("_value").alias(name))
 
 
+def rolling_reduce(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    value: Column,
+    merge: Callable[[Column, Column], Column],
+    name: str = "value",
+    *,
+    run: int = RUN,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """For each row the values of its key so far, combined in ``seq`` order by ``merge``.
+
+    ``merge`` is any associative function of two columns; it need not commute.  This is a
+    parallel prefix scan: runs of ``run`` consecutive rows are folded, the table of runs is
+    scanned in the same way, and each run is folded again from what went before it.  No row
+    of the plan holds more than ``run`` values, so a key may have any number of rows, and the
+    levels grow with the logarithm of the largest key.  ``seq`` is unique within the keys.
+    Null values are handed to ``merge`` like others.
+    """
+    rows = df.select(*keys, seq, value.alias("_value"))
+    scanned = _scan(rows, keys, seq, merge, run, bucket)
+    return scanned.select(*keys, seq, F.col("_sofar").alias(name))
+
+
+def _scan(
+    rows: DataFrame, keys: Sequence[str], at: str, merge: Callable[[Column, Column], Column], run: int, bucket: int
+) -> DataFrame:
+    """Rows ``(keys, at, _value)`` with ``_sofar``, the merge of all values up to the row's own."""
+    placed = numbered(rows, keys, at, "_place", bucket=bucket).withColumn("_run", floor_div(F.col("_place") - 1, run))
+    items = F.sort_array(F.collect_list(F.struct("_place", F.col(at).alias("_at"), "_value"))).alias("_items")
+    runs = written(placed.groupBy(*keys, "_run").agg(items))  # at most `run` values each
+    rest = F.slice("_items", F.lit(2), F.size("_items"))
+    if runs.filter("_run > 0").isEmpty():
+        runs = runs.withColumn("_first", F.col("_items")[0]["_value"])
+    else:
+        total = F.reduce(rest, F.col("_items")[0]["_value"], lambda done, item: merge(done, item["_value"]))
+        above = _scan(runs.select(*keys, F.col("_run").alias("_unit"), total.alias("_value")), keys, "_unit", merge, run, bucket)
+        before = above.select(*[F.col(k).alias(f"_of_{k}") for k in keys], (F.col("_unit") + 1).alias("_next"), F.struct("_sofar").alias("_before"))
+        same = F.col("_run") == F.col("_next")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        head = F.col("_items")[0]["_value"]
+        runs = runs.join(before, same, "left").withColumn("_first", F.when(F.col("_before").isNull(), head).otherwise(merge(F.col("_before._sofar"), head)))
+    sofar = F.reduce(rest, F.array("_first"), lambda done, item: F.concat(done, F.array(merge(F.element_at(done, -1), item["_value"]))))
+    each = F.explode(F.arrays_zip(F.col("_items._at").alias("_at"), F.col("_items._value").alias("_value"), sofar.alias("_sofar"))).alias("_row")
+    return runs.select(*keys, each).select(*keys, F.col("_row._at").alias(at), F.col("_row._value").alias("_value"), F.col("_row._sofar").alias("_sofar"))
+
+
 def reduce_any_order(
     df: DataFrame, keys: Sequence[str], seq: str, first: Sequence[str], sums: Sequence[str]
 ) -> DataFrame:

@@ -12,12 +12,14 @@ from eventlab.functions import parse
 from eventlab.operators import aggregates, eventtime, late, multistream, state, topn, windows
 from eventlab.plans import live, tables
 from eventlab.sources import readers
-from eventlab.streaming import counters, sinks
+from eventlab.streaming import counters, keyed, sinks
 from eventlab.streaming.groups import RowGroups
+from eventlab.streaming.join import live_window_join as join_windows
 from eventlab.streaming.late import LiveLate
 from eventlab.streaming.live import live_totals as totals_of
 from eventlab.streaming.live import live_visits
 from eventlab.streaming.reconcile import LiveReconcile
+from eventlab.streaming.refire import LiveRefire
 from eventlab.streaming.tables import OutputTable
 from eventlab.streaming.timers import reconcile_with_timers
 from eventlab.streaming.topn import live_top_n
@@ -145,6 +147,16 @@ def keyed_reduce(spark, d):
     return out.select("gender", "value.*")
 
 
+@query
+def rolling_reduce(spark, d):
+    """Each event is a map x -> a x + b modulo 1009; the user's maps so far, one after another."""
+    a, b = F.pmod("seq", F.lit(1008)) + 1, F.pmod(F.length("action") * F.col("seq"), F.lit(1009))
+    out = aggregates.rolling_reduce(
+        tables.events(spark, d), ["user_id"], "seq", F.struct(a.alias("a"), b.alias("b")),
+        lambda first, then: F.struct((first["a"] * then["a"] % 1009).alias("a"), ((then["a"] * first["b"] + then["b"]) % 1009).alias("b")), "map", run=8)
+    return out.select("user_id", "seq", "map.a", "map.b")
+
+
 @query
 def keyed_sum(spark, d):
     return aggregates.reduce_any_order(books(spark, d), ["gender"], "seq", ["bid", "title", "writer"], ["n"])
@@ -360,16 +372,19 @@ def split_main(spark, d):
     return multistream.route(books(spark, d), F.col("gender") == "ECONOMY")[1]
 
 
-@query
-def window_join(spark, d):
-    events = tables.events(spark, d)
-
+def click_sides(events):
+    """Clicks and purchases with what is measured of each."""
     def side(action, name):
         measures = [F.count(F.lit(1)).alias(f"{name}s"), F.min("ts").alias(f"first_{name}"),
                     F.max("ts").alias(f"last_{name}")]
         return events.filter(F.col("action") == action), measures
 
-    (clicks, of_clicks), (purchases, of_purchases) = side("click", "click"), side("purchase", "purchase")
+    return side("click", "click"), side("purchase", "purchase")
+
+
+@query
+def window_join(spark, d):
+    (clicks, of_clicks), (purchases, of_purchases) = click_sides(tables.events(spark, d))
     return multistream.window_join(clicks, purchases, ["user_id"], "ts", DAY, of_clicks, of_purchases)
 
 
@@ -430,9 +445,61 @@ def live_groups(spark, d):
 @query
 def live_running_count(spark, d):
     home = live.folder(spark)
-    writer, out = counters.live_running_count(live.events(spark, d, home), ["action"], "seq", home, f"{home}/checkpoint")
-    sinks.run_available(writer)
-    return out.all(spark)
+    return live.written(keyed.live_running_count(live.events(spark, d, home), ["action"], "seq"), home)
+
+
+@query
+def live_slot_groups(spark, d):
+    """Rows dealt over slots; each slot hands over its rows fifty at a time."""
+    home = live.folder(spark)
+    rows = live.events(spark, d, home).withColumn("slot", F.pmod("seq", F.lit(7)))
+    groups = live.written(keyed.live_row_groups(rows, ["slot"], "seq", 50), home)
+    return groups.groupBy("slot", "group").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
+                                               F.count_distinct("user_id").alias("users"))
+
+
+@query
+def live_count_window(spark, d):
+    home = live.folder(spark)
+    pairs = live.written(keyed.live_row_groups(live.events(spark, d, home), ["action"], "seq", 2), home)
+    return pairs.groupBy("action", F.col("group").alias("chunk")).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
+
+
+@query
+def live_cross_window_count(spark, d):
+    home = live.folder(spark)
+    stream = live.events(spark, d, home)
+    return live.written(keyed.live_cross_window_count(stream, ["action"], "ts", "seq", HOUR, SOURCE_DELAYS["other"]), home)
+
+
+@query
+def live_active_users(spark, d):
+    home = live.folder(spark)
+    return live.written(keyed.live_active_keys(live.events(spark, d, home), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"]), home)
+
+
+@query
+def live_union_watermark(spark, d):
+    """Readers deliver at once, the others two micro-batches later."""
+    home = live.folder(spark)
+    reads, rest = multistream.route(tables.events(spark, d), F.col("action").isin("view", "click"))
+    sources = {"reader": live.staged(spark, reads, "seq", home, "reader"), "other": live.delayed(spark, rest, "seq", home, "other", 2)}
+    return live.written(keyed.live_union_watermark({name: (stream, SOURCE_DELAYS[name]) for name, stream in sources.items()}, "ts", "seq"), home)
+
+
+@query
+def live_window_join(spark, d):
+    home = live.folder(spark)
+    (clicks, of_clicks), (purchases, of_purchases) = click_sides(live.events(spark, d, home))
+    return live.written(join_windows(clicks, purchases, ["user_id"], "ts", DAY, of_clicks, of_purchases, SOURCE_DELAYS["other"]), home)
+
+
+@query
+def live_refire(spark, d):
+    home = live.folder(spark)
+    windows_ = LiveRefire(live.disordered_events(spark, d, home), "ts", "seq", "user_id", LATE, home)
+    sinks.run_available(windows_.writer(f"{home}/checkpoint-cells"))
+    return live.written(windows_.firings(spark), home)
 
 
 @query

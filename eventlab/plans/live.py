@@ -24,14 +24,22 @@ def folder(spark: SparkSession) -> str:
 
 
 def staged(spark: SparkSession, df: DataFrame, seq: str, home: str, name: str, files: int = FILES) -> DataFrame:
-    """A table as a stream of files, one after another by ``seq`` and one per micro-batch."""
+    """A table as a stream of files, one after another by ``seq`` and one per micro-batch; rows without a ``seq`` come last."""
     low, high = df.agg(F.min(seq), F.max(seq)).first()
     nth = F.floor((F.col(seq) - F.lit(low)) * F.lit(files) / F.lit((high or 0) - (low or 0) + 1))
+    nth = F.coalesce(nth, F.lit(files - 1))
     for i in range(files):  # in order, as the source takes files by their time
         df.filter(nth == i).coalesce(1).write.mode("append").parquet(f"{home}/{name}")
     return readers.stream_parquet(spark, f"{home}/{name}", df.schema, 1)
 
 
+def delayed(spark: SparkSession, df: DataFrame, seq: str, home: str, name: str, empty: int) -> DataFrame:
+    """As :func:`staged`, but the first micro-batches of the stream are without rows."""
+    for _ in range(empty):
+        df.limit(0).coalesce(1).write.mode("append").parquet(f"{home}/{name}")
+    return staged(spark, df, seq, home, name)
+
+
 def whole(spark: SparkSession, df: DataFrame, home: str, name: str) -> DataFrame:
     """A table as a stream that delivers it in one micro-batch."""
     df.write.parquet(f"{home}/{name}")

@@ -172,6 +172,14 @@ FROM b GROUP BY gender""",
     "keyed_sum": f"""WITH {BOOKS}
 SELECT gender, arg_min(bid, seq) AS bid, arg_min(title, seq) AS title, arg_min(writer, seq) AS writer, CAST(sum(n) AS BIGINT) AS n
 FROM b GROUP BY gender""",
+    "rolling_reduce": f"""WITH RECURSIVE {EVENTS}, p AS (
+  SELECT user_id, seq, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS place, seq % 1008 + 1 AS a, length(action) * seq % 1009 AS b FROM e),
+r AS (
+  SELECT user_id, seq, place, a, b FROM p WHERE place = 1
+  UNION ALL
+  SELECT p.user_id, p.seq, p.place, r.a * p.a % 1009, (p.a * r.b + p.b) % 1009
+  FROM r JOIN p ON p.user_id = r.user_id AND p.place = r.place + 1)
+SELECT user_id, seq, a, b FROM r""",
     "uv_pv": visits("720 hours"),
     "uv_pv_by_action": visits("720 hours", "action,"),
     "user_window_counts": counts("24 hours", keys="user_id,"),
@@ -261,6 +269,39 @@ SELECT action, window_start, window_end, count(*) AS pv, count(DISTINCT user_id)
 WHERE {CLOSED} GROUP BY action, window_start, window_end""",
     "live_topn": f"{top('1 hour', '30 minutes')} AND {CLOSED}",
     "live_running_count": f"WITH {EVENTS} SELECT *, row_number() OVER (PARTITION BY action ORDER BY seq) AS n FROM e",
+    "live_slot_groups": f"""WITH {EVENTS}, p AS (
+  SELECT *, seq % 7 AS slot, (row_number() OVER (PARTITION BY seq % 7 ORDER BY seq) - 1) // 50 AS "group" FROM e)
+SELECT slot, "group", count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq, count(DISTINCT user_id) AS users
+FROM p GROUP BY slot, "group" HAVING count(*) = 50""",
+    "live_count_window": f"""WITH {EVENTS}, p AS (
+  SELECT *, (row_number() OVER (PARTITION BY action ORDER BY seq) - 1) // 2 AS chunk FROM e)
+SELECT action, chunk, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq
+FROM p GROUP BY action, chunk HAVING count(*) = 2""",
+    "live_cross_window_count": f"""WITH {assigned('1 hour')}
+SELECT *, row_number() OVER (PARTITION BY action ORDER BY window_start, seq) AS n FROM w WHERE {CLOSED}""",
+    "live_active_users": f"""WITH {assigned('1 hour', '30 minutes')}
+SELECT window_end, count(DISTINCT user_id) AS active FROM w WHERE {CLOSED} GROUP BY window_end""",
+    "live_union_watermark": f"""WITH {EVENTS}, s AS (
+  SELECT *, CASE WHEN action IN ('view', 'click') THEN 'reader' ELSE 'other' END AS source FROM e),
+b AS (
+  SELECT *, (seq - min(seq) OVER k) * 8 // (max(seq) OVER k - min(seq) OVER k + 1) + CASE source WHEN 'other' THEN 2 ELSE 0 END AS batch
+  FROM s WINDOW k AS (PARTITION BY source)),
+c AS (
+  SELECT source, batch, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq FROM b GROUP BY source, batch),
+m AS (
+  SELECT c.*,
+    (SELECT max(ts) FROM b WHERE b.source = 'reader' AND b.batch < c.batch) AS reader,
+    (SELECT max(ts) FROM b WHERE b.source = 'other' AND b.batch < c.batch) - INTERVAL '15 minutes' AS other FROM c)
+SELECT source, n, first_seq, last_seq,
+       CASE WHEN reader IS NOT NULL AND other IS NOT NULL THEN date_trunc('milliseconds', least(reader, other)) END AS watermark FROM m""",
+    "live_window_join": f"""WITH {assigned('24 hours')},
+c AS (SELECT user_id, window_start, window_end, count(*) AS clicks, min(ts) AS first_click, max(ts) AS last_click
+      FROM w WHERE action = 'click' GROUP BY user_id, window_start, window_end),
+p AS (SELECT user_id, window_start, window_end, count(*) AS purchases, min(ts) AS first_purchase, max(ts) AS last_purchase
+      FROM w WHERE action = 'purchase' GROUP BY user_id, window_start, window_end)
+SELECT * FROM c JOIN p USING (user_id, window_start, window_end)
+WHERE window_end <= (SELECT least(max(ts) FILTER (WHERE action = 'click'), max(ts) FILTER (WHERE action = 'purchase')) - INTERVAL '15 minutes' FROM e)""",
+    "live_refire": f"""SELECT * FROM (WITH {replay(assigned('1 hour', source=DISORDERED))} {REFIRE}) WHERE at_seq IS NOT NULL""",
     "live_watermark": f"""WITH {DISORDERED}
 SELECT seq, ts, (max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
        - INTERVAL '15 minutes' - INTERVAL '1 millisecond' AS watermark FROM e""",

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 # Event time is UTC, late joins may be skewed, streaming state can be large.
 SETTINGS = {
@@ -15,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    CHANGES: "true",
     "spark.python.unix.domain.socket.enabled": "true",
 }
 
@@ -48,8 +50,9 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state on disk, as processors with timers need it."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Keep streaming state on disk, as processors with timers need it, and write what a batch changed."""
+    for name in ("spark.sql.streaming.stateStore.providerClass", CHANGES):
+        spark.conf.set(name, SETTINGS[name])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

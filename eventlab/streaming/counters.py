@@ -1,8 +1,7 @@
-"""Running counts and watermarks of a stream, row by row."""
+"""The watermark of a stream, row by row."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -10,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventlab.operators.eventtime import watermark_trace
-from eventlab.operators.running import running
 from eventlab.streaming.sinks import to_batches
 from eventlab.streaming.tables import OutputTable, StateTable
 from eventlab.times import NONE
@@ -20,32 +18,6 @@ def schema_of(df: DataFrame, *names: str) -> str:
     return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
-def live_running_count(
-    stream: DataFrame, keys: Sequence[str], seq: str, folder: str, checkpoint: str
-) -> tuple[DataStreamWriter, OutputTable]:
-    """Write each row with the count of its key so far; also return the table written.
-
-    The counts of earlier batches enter as one leading row per key, so a key with most of
-    the rows is still numbered by many tasks.  ``seq`` is the arrival number, unique and
-    not negative within a batch.
-    """
-    rows = OutputTable(f"{folder}/rows", f"{schema_of(stream, *stream.columns)}, n bigint")
-    totals = StateTable(f"{folder}/totals", f"{schema_of(stream, *keys)}, n bigint")
-
-    def number(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        one = batch.withColumn("_n", F.lit(1).cast("bigint"))
-        earlier = totals.before(batch.sparkSession, batch_id).select(
-            *keys, F.lit(-1).cast("bigint").alias(seq), F.col("n").alias("_n"))
-        both = one.unionByName(earlier, allowMissingColumns=True)
-        numbered = running(both, keys, seq, {"n": ("sum", F.col("_n"))}).filter(F.col(seq) >= 0).drop("_n")
-        rows.write(numbered, batch_id)
-        totals.write(both.groupBy(*keys).agg(F.sum("_n").alias("n")), batch_id)
-        batch.unpersist()
-
-    return to_batches(stream, number, checkpoint), rows
-
-
 def live_watermark_trace(
     stream: DataFrame, ts: str, seq: str, folder: str, checkpoint: str, delay: timedelta = NONE
 ) -> tuple[DataStreamWriter, OutputTable]:

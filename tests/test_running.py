@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from eventlab.operators import aggregates, eventtime, state, windows
+from eventlab.operators import aggregates, eventtime, multistream, state, windows
 from eventlab.operators.running import chunked, numbered, running
 from eventlab.times import Windows, floor_div
 from datetime import timedelta
@@ -186,3 +186,58 @@ def test_unseen_source_holds_the_watermark_back(spark):
     df = spark.createDataFrame([(0, "x", at(1000)), (1, "x", at(2000))], "seq bigint, src string, ts timestamp")
     out = eventtime.union_watermark(df, "ts", "seq", "src", {"x": timedelta(0), "y": timedelta(0)})
     assert [r.watermark for r in out.collect()] == [None, None]
+
+
+@pytest.mark.parametrize("bucket", [8, 1 << 18])
+@pytest.mark.parametrize("run", [2, 5, 128])
+def test_rolling_reduce_of_a_merge_that_does_not_commute(spark, run, bucket):
+    rows, df = table(spark, 150, seed=run)
+    out = aggregates.rolling_reduce(df.drop("v"), ["k"], "seq", F.col("t"), lambda a, b: F.concat(a, F.lit(">"), b), "path", run=run, bucket=bucket)
+    assert out.columns == ["k", "seq", "path"]
+    sofar, want = {}, {}
+    for seq, k, _, t in rows:
+        sofar[k] = t if k not in sofar else f"{sofar[k]}>{t}"
+        want[seq] = (k, sofar[k])
+    assert {r.seq: (r.k, r.path) for r in out.collect()} == want and out.count() == len(rows)
+
+
+def test_rolling_reduce_of_nothing_one_row_and_nulls(spark):
+    _, df = table(spark, 0)
+    add = lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    assert aggregates.rolling_reduce(df, ["k"], "seq", F.col("v"), add).count() == 0
+    some = spark.createDataFrame([(i, None if i % 3 else i) for i in range(20)], "seq bigint, v bigint")
+    got = {r.seq: r.value for r in aggregates.rolling_reduce(some, [], "seq", F.col("v"), add, run=4).collect()}
+    assert got == {i: sum(j for j in range(i + 1) if j % 3 == 0) if i else 0 for i in range(20)}
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_a_row_is_read_once_or_twice(spark, tmp_path):
+    """Plain windows over one scan; where a key is large, the ranges and what goes before them."""
+    _, df = table(spark, 400)
+    df.withColumn("ts", F.timestamp_millis(F.col("seq") * 1000)).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    hour = Windows(timedelta(hours=1))
+    for bucket, most in ((1 << 18, 1), (100, 2)):
+        assert scans(numbered(df, ["k"], "seq", bucket=bucket)) <= most
+        assert scans(state.cross_window_count(df, ["k"], "ts", "seq", hour, bucket=bucket)) <= most
+        assert scans(state.window_and_cumulative(df, ["k"], "ts", hour, bucket=bucket)) <= most
+        left, right = df.filter("v < 0"), df.filter("v >= 0")
+        steps = multistream.reconcile_in_order(left, right, "k", "ts", "seq", bucket=bucket)
+        assert scans(steps) <= 4
+
+
+def test_no_task_of_a_hot_key_gets_all_of_its_rows(spark):
+    df = spark.range(2000).select(F.col("id").alias("seq"), F.lit("hot").alias("k"))
+    out = numbered(df, ["k"], "seq", bucket=100)
+    assert out.withColumn("task", F.spark_partition_id()).count() == 2000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        spread = numbered(df, ["k"], "seq", bucket=100).groupBy(F.spark_partition_id()).count()
+        assert spread.agg(F.max("count")).first()[0] < 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlab.functions import parse
-from eventlab.operators import late, multistream, state, topn, windows
+from eventlab.operators import late, multistream, topn, windows
 from eventlab.operators.eventtime import watermark_trace
 from eventlab.operators.late import LatePolicy
 from eventlab.sources import readers
@@ -85,14 +85,6 @@ def test_live_totals_end_at_the_table_totals(spark, stream, tmp_path):
     assert last == {r.action: r["count"] for r in df.groupBy("action").count().collect()}
 
 
-def test_live_running_count_goes_on_between_batches(spark, stream, tmp_path):
-    df, opened = stream
-    writer, out = counters.live_running_count(opened(), ["action"], "seq", str(tmp_path / "t"), str(tmp_path / "c"))
-    sinks.run_available(writer)
-    want = state.running_count(df, ["action"], "seq")
-    assert sorted(utc(out.all(spark))) == sorted(utc(want))
-
-
 def test_live_watermark_goes_on_between_batches(spark, stream, tmp_path):
     df, opened = stream
     writer, out = counters.live_watermark_trace(opened(), "ts", "seq", str(tmp_path / "t"), str(tmp_path / "c"), HOUR)
