@@ -15,9 +15,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,9 @@ DIGEST = "part int, doc_id long, local long, n_tokens long, ids_crc32 long"
 #: A space between two visible characters: no token reaches over the point before it.
 CUT = re.compile(r" (?<=\S )(?=\S)")
 
+#: Pieces that are encoded as one text.
+JOINED = 100
+
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """The ids end to end, ``bits`` each, most significant bit first, eight at a time."""
@@ -66,19 +69,43 @@ class Encoder:
     """Ids of whole texts as little-endian 32-bit numbers.
 
     A text is cut before single spaces, which no token crosses, and each distinct piece is
-    encoded once; at most ``keep`` pieces are remembered.
+    encoded once; at most ``keep`` pieces are remembered.  New pieces are encoded many at a
+    time, as one text, and told apart by the bytes of their tokens.
     """
 
     def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
-        self.known: dict[str, bytes] = {}
         self.size = self.tokenizer.get_vocab_size()
-
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {piece: array("I", x.ids).tobytes() for piece, x in zip(pieces, found)}  # 32 bits, little-endian as all platforms here
+        names = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        self.bytes_of[list(names.values())] = [len(x) for x in names]  # a character of a byte-level name is a byte
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def ids_of(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces, each with the space before it."""
+        # A piece that ends in white space would meet the next one's space, so it is encoded by itself.
+        closed = [x for x in pieces if not x[-1:].isspace()]
+        alone = [x for x in pieces if x[-1:].isspace()]
+        runs = [" " + " ".join(closed[i:i + JOINED]) for i in range(0, len(closed), JOINED)]
+        found = list(chain.from_iterable(self.ids_of(runs)))
+        ids = np.array(found, np.int64)
+        until = np.cumsum([len(x.encode("utf-8", "surrogatepass")) + 1 for x in closed], dtype=np.int64)
+        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), until) + 1
+        others = self.ids_of([" " + x for x in alone])
+        self.known.update(zip(closed + alone, range(len(self.known), len(self.known) + len(pieces))))
+        last = ends[-1] if len(ends) else 0
+        more = last + np.cumsum([len(x) for x in others], dtype=np.int64)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends, self.ends[-1] + more])
+        self.ids = np.concatenate([self.ids, ids.astype("<u4"), np.array(list(chain.from_iterable(others)), "<u4")])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [CUT.split(text) for text in texts]
@@ -87,12 +114,21 @@ class Encoder:
             later.update(x[1:])
         missing = list(later.difference(self.known))
         if len(self.known) + len(missing) > self.keep:
-            self.known, missing = {}, list(later)
-        spaced = self.learn([" " + x for x in missing])
-        self.known.update((x[1:], ids) for x, ids in spaced.items())
-        heads = self.learn(list({x[0] for x in parts}))
+            self.forget()
+            missing = list(later)
+        if missing:
+            self.learn(missing)
+        heads = [np.array(x, "<u4") for x in self.ids_of([x[0] for x in parts])]
         known = self.known
-        return [heads[x[0]] + b"".join([known[y] for y in x[1:]]) for x in parts]
+        out = []
+        for head, x in zip(heads, parts):
+            at = np.array([known[y] for y in x[1:]], np.int64)
+            begin = self.ends[at]
+            count = self.ends[at + 1] - begin
+            upto = np.cumsum(count)
+            rest = self.ids[np.arange(upto[-1] if len(at) else 0) + np.repeat(begin - upto + count, count)]
+            out.append(head.tobytes() + rest.tobytes())
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
