@@ -11,7 +11,9 @@ bucket, and the number of tables follows from it: a pair at the threshold is mis
 tables with probability ``miss`` at most.
 
 Vectors that are null or zero, or hold null or non-finite components, are linked with nothing
-and stand alone, as do vectors of another length than the other side of a comparison.
+and stand alone, as do vectors of another length than the other side of a comparison.  Rows
+without an id are linked like others; they are never kept, and a component of such rows alone
+has no id.  Rows that repeat an id are vectors of their own.
 """
 
 from __future__ import annotations
@@ -50,6 +52,19 @@ def signs(batches: Iterator[pa.RecordBatch], tables: int, bits: int) -> Iterator
             yield pa.RecordBatch.from_arrays([names, pa.array(list(codes), pa.list_(pa.int64()))], names=["class_id", "codes"])
 
 
+def normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors of length one beside the given ones, in time that follows their components."""
+    for batch in batches:
+        column = batch["v"]
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        counts = np.diff(column.offsets.to_numpy())
+        begins = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        unit = flat / np.repeat(np.maximum.reduceat(np.abs(flat), begins), counts) if len(flat) else flat  # keeps squares finite
+        unit = unit / np.repeat(np.sqrt(np.add.reduceat(unit * unit, begins)), counts) if len(flat) else unit
+        offsets = pa.array(np.concatenate([begins, [len(flat)]]), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch["least"], batch["copies"], column, pa.ListArray.from_arrays(offsets, pa.array(unit))], names=["least", "copies", "v", "unit"])
+
+
 def sized(vectors: list) -> list[tuple[int, list]]:
     by: dict[int, list] = {}
     for i, v in enumerate(vectors):
@@ -153,11 +168,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     usable = F.coalesce(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("v", F.when(usable, F.transform("v", lambda x: x + F.lit(0.0))))
-    low = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    scaled = F.transform("v", lambda x: x / low)  # keeps squares finite
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    classes = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"))
-    classes = written(classes.select("class_id", "copies", "v", F.transform(scaled, lambda x: x / norm).alias("unit")), "classes")
+    classes = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    # Not every class has an id, and two may share one: classes are numbered.
+    classes = classes.select("least", "copies", "v").mapInArrow(normalised, "least long, copies long, v array<double>, unit array<double>")
+    classes = written(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     count = classes.count()
     bits = max(8, math.ceil(math.log2(max(2, count))) + spare_bits)
     agree = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
@@ -180,10 +194,13 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
     links = found.where("a = b").groupBy(F.col("a").alias("class_id")).agg(F.sum("n").alias("n"))
     groups = components(found.where("a <> b").select("a", "b"), "class_id", "component")
-    named = classes.select("class_id", "v", "copies").join(links, "class_id", "left").join(groups, "class_id", "left")
-    named = named.select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component_id"))
+    # A component is named by its smallest id, among all rows of its classes.
+    named = classes.select("class_id", "v", "copies", "least").join(links, "class_id", "left").join(groups, "class_id", "left")
+    named = named.withColumn("component", F.coalesce("component", "class_id"))
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(names, "component").select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     out = rows.join(named, "v", "left").select(F.col("vec_id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col(key) == F.col("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)))
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

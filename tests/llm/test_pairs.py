@@ -2,6 +2,7 @@
 
 import json
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -267,6 +268,30 @@ def test_planted_passages(spark):
 
 # -- 10 ----------------------------------------------------------------------------------
 
+def test_vectors_without_an_id_or_with_the_same_one(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.01]), (7, [1.0, 0.02]), (7, [0.0, 1.0]), (9, [0.0, 1.0]), (3, [0.01, 1.0]), (None, [-1.0, 0.5]), (None, None), (5, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((tuple(r) for r in embedding_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 2, 7, False), (None, 2, 7, False), (7, 2, 7, True), (7, 2, 3, False), (9, 2, 3, False), (3, 2, 3, True), (None, 0, None, False), (None, 0, None, False), (5, 0, 5, True)], key=str)
+
+
+def test_length_one_in_time_that_follows_the_components():
+    import pyarrow as pa
+
+    def seconds(size):
+        flat = np.random.default_rng(size).standard_normal(400 * size)
+        column = pa.ListArray.from_arrays(pa.array(np.arange(401) * size, pa.int32()), pa.array(flat))
+        batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([1] * 400), column], names=["least", "copies", "v"])
+        start = time.perf_counter()
+        out = next(embedding_dedup.normalised(iter([batch])))
+        took = time.perf_counter() - start
+        assert np.allclose(np.linalg.norm(np.array(out["unit"].to_pylist()), axis=1), 1)
+        return took
+
+    seconds(16)
+    assert min(seconds(1024) for _ in range(5)) < 40 * max(1e-4, min(seconds(64) for _ in range(5)))
+
+
 def test_embeddings_against_all_pairs(spark):
     rng = np.random.default_rng(2)
     vectors = {r.vec_id: list(map(float, r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
