@@ -22,7 +22,7 @@ from eventlab.streaming.reconcile import LiveReconcile
 from eventlab.streaming.refire import LiveRefire
 from eventlab.streaming.tables import OutputTable
 from eventlab.streaming.timers import reconcile_with_timers
-from eventlab.streaming.topn import live_top_n
+from eventlab.streaming.topn import live_top_n, live_top_n_chained
 from eventlab.times import Windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +195,16 @@ def sliding_counts(spark, d):
     return windows.window_counts(tables.events(spark, d), "ts", THREE_EVERY_TWO)
 
 
+@query
+def sliding_sketches(spark, d):
+    """Estimated visitors of overlapping windows, held against the exact count: within three standard errors, and at most one off below 20."""
+    events = tables.events(spark, d)
+    estimated = windows.window_sketches(events, "ts", "user_id", THREE_EVERY_TWO).select("window_start", F.col("uv").alias("estimate"))
+    exact = windows.window_visits(events, "ts", "user_id", THREE_EVERY_TWO)
+    close = F.abs(F.col("estimate") - F.col("uv")) <= F.greatest(F.lit(1), F.lit(3 * 1.04 / 64) * F.col("uv"))
+    return exact.join(estimated, "window_start").select("window_start", "window_end", "pv", "uv", close.alias("close"))
+
+
 @query
 def window_concat(spark, d):
     return windows.window_concat(tables.events(spark, d), "ts", "seq", "action", DAY, ["user_id"], rows_per_part=3)
@@ -396,6 +406,16 @@ def text_scan(spark, d):
     return parse.parse_event(readers.text_lines(spark, live.event_files(spark, d, live.folder(spark))))
 
 
+@query
+def text_replay(spark, d):
+    """Event lines in eight files, some lines made empty; each file is replayed up to its first one."""
+    home = live.folder(spark)
+    lines = tables.event_lines(spark, d).withColumn("value", F.when(F.col("seq") % 61 != 60, F.col("value")).otherwise(""))
+    lines = lines.withColumn("part", F.pmod(F.shiftright("seq", 4), F.lit(8)))
+    lines.repartition(8, "part").sortWithinPartitions("part", "seq").select("part", "value").write.partitionBy("part").text(f"{home}/lines")
+    return parse.parse_event(readers.replayed_lines(spark, f"{home}/lines").select("value"))
+
+
 @query
 def live_text(spark, d):
     home = live.folder(spark)
@@ -425,6 +445,12 @@ def live_topn(spark, d):
     return spark.read.parquet(f"{home}/out/batch=*")
 
 
+@query
+def live_topn_chained(spark, d):
+    home = live.folder(spark)
+    return live.written(live_top_n_chained(live.events(spark, d, home), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"]), home)
+
+
 @query
 def live_totals(spark, d):
     home = live.folder(spark)

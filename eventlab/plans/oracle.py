@@ -187,6 +187,12 @@ SELECT user_id, seq, a, b FROM r""",
     "window_all_counts": counts("1 hour"),
     "sliding_counts": f"""WITH {sliding()}
 SELECT window_start, window_end, count(*) AS n FROM w GROUP BY window_start, window_end""",
+    "sliding_sketches": f"""WITH {sliding()}
+SELECT window_start, window_end, count(*) AS pv, count(DISTINCT user_id) AS uv, TRUE AS close FROM w GROUP BY window_start, window_end""",
+    "text_replay": f"""WITH {EVENTS}, p AS (SELECT *, (seq >> 4) % 8 AS part FROM e),
+b AS (SELECT part, min(seq) AS last FROM p WHERE seq % 61 = 60 GROUP BY part)
+SELECT user_id, action, ts FROM p LEFT JOIN b USING (part) WHERE last IS NULL OR seq < last""",
+    "live_topn_chained": f"{top('1 hour', '30 minutes')} AND {CLOSED}",
     "window_concat": f"""WITH {assigned('24 hours')}, r AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY seq) - 1 AS place FROM w),
 p AS (SELECT *, place // 3 AS part FROM r)

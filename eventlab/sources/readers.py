@@ -14,6 +14,21 @@ def text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path if isinstance(path, str) else list(path))
 
 
+def replayed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The lines of each file up to its first empty one, as ``value``, which ends that file's replay.
+
+    A file's lines have a place: the split they are in and, inside it, their turn.  The place
+    of the first empty line is a minimum per file, found before anything moves, and both
+    passes read the same splits; no file is read by one task alone.  A file without an empty
+    line is replayed whole.
+    """
+    lines = text_lines(spark, path).select(
+        "*", F.col("_metadata.file_path").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("turn")).alias("_at"))
+    ends = lines.filter(F.length("value") == 0).groupBy("_file").agg(F.min("_at").alias("_end"))
+    return lines.join(ends, "_file", "left").filter(F.col("_end").isNull() | (F.col("_at") < F.col("_end"))).drop("_file", "_at", "_end")
+
+
 def stream_text_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Lines of the files that appear in a folder, blank ones left out."""
     reader = spark.readStream.format("text")

@@ -85,3 +85,18 @@ def test_rows_and_text_files(spark, tmp_path):
     read = readers.with_arrival(readers.text_lines(spark, str(tmp_path)))
     assert [r.value for r in read.orderBy("seq").collect()] == ["x y", "", "z"]
     assert ms(None) is None
+
+
+def test_replay_ends_at_the_first_empty_line_of_each_file(spark, tmp_path):
+    texts = {"a.txt": ["1", "2", "", "3", "", "4"], "b.txt": ["5", "6"], "c.txt": ["", "7"], "d.txt": [], "e.txt": [f"{i:06d}" for i in range(4000)] + [""] + ["x"] * 4000, "f.txt": ["8", " ", "9", ""]}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("".join(f"{x}\n" for x in lines))
+    want = sorted(["1", "2", "5", "6", "8", " ", "9"] + texts["e.txt"][:4000])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "1000"):  # also with files cut into many splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            out = readers.replayed_lines(spark, str(tmp_path))
+            assert out.columns == ["value"] and sorted(r.value for r in out.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -109,3 +109,19 @@ def test_top_n_order_and_ties(spark):
     assert [(r["rank"], r.user_id, r.n) for r in out.orderBy("rank").collect()] == [
         (1, "u03", 4), (2, "u07", 4), (3, "u11", 4), (4, "u02", 3)]
     assert topn.top_n(df, "user_id", "ts", Windows(timedelta(hours=1)), k=4, min_groups=1).count() == 8
+
+
+def test_sketches_stay_near_the_exact_count(spark):
+    df = spark.range(60_000).select((F.col("id") % 7919).cast("string").alias("user_id"), F.timestamp_millis(F.col("id") * 1000).alias("ts"), (F.col("id") % 2).alias("k"))
+    grid = Windows(timedelta(hours=3), slide=timedelta(hours=2))
+    exact = {(r.k, r.window_start): (r.pv, r.uv) for r in windows.window_visits(df, "ts", "user_id", grid, ["k"]).collect()}
+    sketches = windows.window_sketches(df, "ts", "user_id", grid, ["k"])
+    got = {(r.k, r.window_start): (r.pv, r.uv) for r in sketches.collect()}
+    assert got.keys() == exact.keys() and all(got[w][0] == exact[w][0] and abs(got[w][1] - exact[w][1]) <= 0.05 * exact[w][1] for w in exact)
+    approx = {(r.k, r.window_start): (r.pv, r.uv) for r in windows.window_visits(df, "ts", "user_id", grid, ["k"], approx=True).collect()}
+    assert approx == got
+    whole = sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch"))).first()[0]
+    assert abs(whole - 7919) <= 0.05 * 7919
+    assert windows.window_sketches(df.limit(0), "ts", "user_id", grid).count() == 0
+    nobody = windows.window_sketches(df.limit(5).withColumn("user_id", F.lit(None).cast("string")), "ts", "user_id", Windows(timedelta(hours=1))).first()
+    assert (nobody.pv, nobody.uv) == (5, 0)
