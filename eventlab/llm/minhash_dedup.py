@@ -9,10 +9,11 @@ so that most shingles draw one number.
 Texts with the same counted shingles are one class.  Classes that share a band of their
 signatures are compared by the exact similarity: first each with one member of the bucket,
 that with the most copies, which joins groups of near copies in a number of comparisons that
-follows their size.  Of buckets that still hold several groups, pairs of different groups are
-compared where they can be similar at all: at a similarity of 0.8, the shingles that the two
-share hold 0.8 of either text's weight, so with the rarest first, the first 0.2 of either's
-weight reach the rarest shared one.  No link is lost between classes that share a band.
+follows their size.  Buckets that still hold several groups are compared in tiles of bounded
+size: products of weights and presences, over 16-bit marks of the shingles, bound from above
+what two classes share and how similar they can be, and only pairs of different groups that
+may reach 0.8 leave a tile, to be compared exactly.  No link is lost between classes that
+share a band, and what moves are marks, not pairs.
 
 Null texts and texts without words are linked with nothing.  Texts of fewer than five words
 have one shingle.  Rows with equal ids and different texts are classed by id: the id's class
@@ -26,12 +27,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlab.llm.common import U64, components, in_small_batches, mix, portions, shingles, table, utf8, words_of, written
 
 PORTION = 2 << 20
+#: Classes of a bucket that a block holds, and marks that one product takes.
+TILE, COLUMNS = 512, 4096
+PAIRS = 1 << 16  # compared by their bands at a time
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -137,31 +141,113 @@ def verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
-def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per shingle, with its share of the text's weight."""
+def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text's shingles as sorted 16-bit marks, each as often as it occurs."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 200):
-            some = batch.slice(i, 200)
-            items = [np.frombuffer(x.as_py(), "<i8") for x in some["items"]]
-            counts = [np.frombuffer(x.as_py(), "<i4") for x in some["counts"]]
-            at = pa.array(np.repeat(np.arange(len(items)), [len(x) for x in items]))
-            yield pa.RecordBatch.from_arrays([some["class"].take(at), some["component"].take(at), pa.array(np.concatenate(items)), pa.array(np.concatenate([c / c.sum() for c in counts]))],
-                                             names=["class", "component", "item", "share"])
+        marks = []
+        for items, counts in zip(batch["items"], batch["counts"]):
+            short = (mix(np.frombuffer(items.as_py(), "<u8")) >> U64(48)).astype("<u2")
+            marks.append(np.sort(np.repeat(short, np.frombuffer(counts.as_py(), "<i4"))).tobytes())
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(marks, pa.binary())], names=["class", "marks"])
 
 
-def possible(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes in different components that share one of the rarest shingles of both.
+def shared_weights(marks: list[bytes], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each left and right text, at most how much of either's weight the two share.
 
-    A shingle counts as rare by the number of the given classes that hold it.
+    Texts that share a shingle share its mark, so a product of weights and presences bounds
+    what they share; marks that a single text has are left out.
     """
-    each = written(rows.mapInArrow(exploded, "class long, component long, item long, share double"), "shingles")
-    spread = each.groupBy("item").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    before = Window.partitionBy("class").orderBy("n", "item").rowsBetween(Window.unboundedPreceding, -1)
-    first = each.join(spread, "item").withColumn("before", F.coalesce(F.sum("share").over(before), F.lit(0.0)))
-    first = first.where((F.col("before") <= 1 - threshold + 1e-9) & (F.col("lo") < F.col("hi"))).select("class", "component", "item")
-    first = written(first, "rarest")
-    other = first.select(F.col("class").alias("b"), F.col("component").alias("_c"), "item")
-    return first.join(other, "item").where("class < b AND component <> _c").select(F.col("class").alias("a"), "b")
+    each = [np.frombuffer(x, "<u2") for x in marks]
+    sizes = np.array([len(x) for x in each])
+    cell, times = np.unique(np.repeat(np.arange(len(each)), sizes) << 16 | np.concatenate(each).astype(np.int64), return_counts=True)
+    row, mark = cell >> 16, cell & 0xFFFF
+    column, held = np.unique(mark, return_inverse=True, return_counts=True)[1:]
+    often = held[column] > 1
+    row, column, weight = row[often], column[often], (times[often] / sizes[row[often]]).astype(np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column, weight = row[order], column[order], weight[order]
+    of_left, of_right = (np.zeros((len(left), len(right)), np.float32) for _ in range(2))
+    places = np.full(len(each), -1), np.full(len(each), -1)
+    places[0][left], places[1][right] = np.arange(len(left)), np.arange(len(right))
+    cuts = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]])) if len(column) else np.zeros(0, np.int64)
+    cuts = np.append(cuts[::COLUMNS], len(column))
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        used, at = np.unique(column[low:high], return_inverse=True)
+        dense = []
+        for place, side in zip(places, (left, right)):
+            here = place[row[low:high]]
+            held_weight = np.zeros((len(side), len(used)), np.float32)
+            held_weight[here[here >= 0], at[here >= 0]] = weight[low:high][here >= 0]
+            dense.append(held_weight)
+        of_left += dense[0] @ (dense[1] > 0).T.astype(np.float32)
+        of_right += (dense[0] > 0).astype(np.float32) @ dense[1].T
+    return of_left, of_right
+
+
+def likely(rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a tile that may be similar: of different groups, and sharing enough of both weights.
+
+    A pair that shares several bands is left to the first of them.
+
+    With the parts A and B of their weights that two texts do not share, each term of the
+    similarity is at most the mean of x / (1 + A) and y / (1 + B), so the similarity is at most
+    the mean of (1 - A) / (1 + A) and (1 - B) / (1 + B).
+    """
+    classes, groups = rows["class"].to_numpy(), rows["component"].to_numpy()
+    left, right = (np.flatnonzero(np.array(rows[c].to_pylist(), bool)) for c in ("left", "right"))
+    apart = (groups[left][:, None] != groups[right][None, :]) & ~(np.isin(left, right)[:, None] & np.isin(right, left)[None, :] & (left[:, None] >= right[None, :]))
+    if not apart.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    of_left, of_right = shared_weights(rows["marks"].to_pylist(), left, right)
+    i, j = np.nonzero(apart & (of_left / (2 - of_left) + of_right / (2 - of_right) >= 2 * threshold - 1e-4))
+    i, j = left[i], right[j]
+    codes = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(classes), -1)[:, :rows["band"][0].as_py()]
+    first = np.concatenate([~(codes[i[k:k + PAIRS]] == codes[j[k:k + PAIRS]]).any(axis=1) for k in range(0, len(i), PAIRS)] or [np.zeros(0, bool)])
+    return classes[i[first]], classes[j[first]]
+
+
+def likely_pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """All tiles; their rows follow one another, and a tile may go on in the next batch."""
+    keys = ("band", "key", "x", "y")
+    rest: pa.Table | None = None
+
+    def pairs(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        a, b = likely(tile, threshold)
+        return np.minimum(a, b), np.maximum(a, b)
+
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if rest is not None:
+            rows = pa.concat_tables([rest, rows]).combine_chunks()
+        values = [rows[c].to_numpy() for c in keys]
+        starts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([v[1:] != v[:-1] for v in values])]))
+        found = [pairs(rows.slice(low, high - low)) for low, high in zip(starts[:-1], starts[1:])]
+        rest = rows.slice(starts[-1]) if len(starts) else None
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    if rest is not None and rest.num_rows:
+        a, b = pairs(rest)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def possible(buckets: DataFrame, sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes in different components that share a bucket and may be similar.
+
+    ``buckets`` holds ``band, key, class, component``.  A bucket is compared in tiles of two
+    blocks of at most ``TILE`` classes or so; a class goes to the tiles of its block.
+    """
+    members = buckets.select("class").distinct()
+    marks = written(sets.join(members, sets["doc_id"] == members["class"], "left_semi").mapInArrow(marked, "class long, marks binary"), "marks")
+    marks = marks.join(classes.select("class", "bands"), "class")
+    sizes = buckets.groupBy("band", "key").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
+    placed = buckets.join(sizes, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    placed = placed.select("*", others).select("band", "key", "class", "component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                                               (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"))
+    order = ["band", "key", "x", "y"]
+    rows = placed.join(marks, "class").select(*order, "class", "component", "left", "right", "marks", "bands").repartition(*order).sortWithinPartitions(*order)
+    return rows.mapInArrow(partial(likely_pairs, threshold=threshold), "a long, b long")
 
 
 def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4) -> DataFrame:
@@ -190,9 +276,9 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     labels = groups(edges)
     inside = buckets.select("band", "key", "class").join(labels, "class")
     apart = inside.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "key")
-    apart = written(inside.join(apart, ["band", "key"]).select("class", "component").distinct(), "apart")
+    apart = written(inside.join(apart, ["band", "key"]).select("band", "key", "class", "component"), "apart")
     if not apart.isEmpty():
-        more = written(links(possible(sets.join(apart, sets["doc_id"] == apart["class"]).select("class", "component", "items", "counts"), threshold)), "edges")
+        more = written(links(written(possible(apart, sets, classes, threshold), "possible")), "edges")
         labels = groups(edges.unionByName(more))
     members = found.select("doc_id", "c1", "c2").join(classes.select("c1", "c2", "class"), ["c1", "c2"]).join(labels, "class", "left")
     members = members.groupBy("doc_id").agg(F.min(F.coalesce("component", "class")).alias("class_id"))

@@ -90,11 +90,12 @@ def test_near_duplicates_against_all_pairs(spark):
     rng = np.random.default_rng(5)
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     base = max(docs.values(), key=lambda t: (len(t) < 700, len(t) if len(t) < 700 else 0)).split(" ")
-    for k in range(60):  # a group of near copies, some of them far from each other
+    for k in range(90):  # a group of near copies, some of them far from each other and from the most frequent one
         words = list(base)
         for at in rng.integers(0, len(words), 1 + k % 7):
             words[at] = f"w{k}x{at}"
         docs[10_000 + k] = " ".join(words)
+    docs[10_100] = docs[10_000]
     docs |= {20_000: None, 20_001: "", 20_002: "...", 20_003: "one two", 20_004: "One, two!", 20_005: "a b c d e f " * 4000, 20_006: "a b c d e f " * 3999}
     df = spark.createDataFrame([(i, t, "x") for i, t in docs.items()], "doc_id long, text string, component string")
     counts = {i: shingle_counts(t) for i, t in docs.items()}
@@ -116,6 +117,29 @@ def test_near_duplicates_against_all_pairs(spark):
     assert minhash_dedup.similar_classes(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tile,columns", [(4, 7), (512, 4096)])
+def test_pairs_of_a_bucket_bounded_from_above(spark, monkeypatch, tile, columns):
+    """Of all pairs in different components of a bucket, those that reach 0.8 come out, once each, and few others."""
+    monkeypatch.setattr(minhash_dedup, "TILE", tile)
+    monkeypatch.setattr(minhash_dedup, "COLUMNS", columns)
+    rng = np.random.default_rng(2)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for k in range(40):
+        words = list(base) * (1 + k % 2)
+        for at in rng.integers(0, len(words), k % 6):
+            words[at] = f"w{k}x{at}"
+        texts.append(" ".join(words))
+    counts = [shingle_counts(t) for t in texts]
+    sets = spark.createDataFrame([(i, np.array(list(c), "<u8").tobytes(), np.array(list(c.values()), "<i4").tobytes()) for i, c in enumerate([Counter({hash(k) % 2**61: n for k, n in c.items()}) for c in counts])], "doc_id long, items binary, counts binary")
+    buckets = spark.createDataFrame([(band, key, i, i % 5) for i in range(40) for band, key in ((0, i % 3), (1, 7))], "band int, key long, class long, component long")
+    classes = spark.createDataFrame([(i, [i % 3, 7]) for i in range(40)], "class long, bands array<long>")
+    got = [(r.a, r.b) for r in minhash_dedup.possible(buckets, sets, classes, 0.8).collect()]
+    alike = {(i, j) for i in range(40) for j in range(i + 1, 40) if i % 5 != j % 5 and probability_jaccard(counts[i], counts[j]) >= 0.8}
+    assert len(got) == len(set(got)) and alike and alike <= set(got) and len(got) < 3 * len(alike) + 20
+    assert all(i < j and i % 5 != j % 5 for i, j in got)
+
+
 def test_signature_estimates_probability_jaccard():
     rng = np.random.default_rng(9)
     items = np.unique(rng.integers(1, 1 << 60, 400).astype(np.uint64))
