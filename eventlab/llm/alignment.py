@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -80,6 +81,7 @@ class ByteLevel:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer

@@ -13,6 +13,7 @@ others, and reading gives null back.  Rows with equal ids are ordered by text ha
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,15 +26,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlab.llm.common import in_small_batches, shared_path, table
+from eventlab.llm.common import in_small_batches, portions, shared_path, table, utf8
 
 FOLDER = "part int, block long, first_id long, last_id long, no_id long, bits int, start long, n long, doc_ids binary, ends binary, payload binary"
 DIGEST = "part int, doc_id long, local long, n_tokens long, ids_crc32 long"
 #: A space between two visible characters: no token reaches over the point before it.
 CUT = re.compile(r" (?<=\S )(?=\S)")
 
-#: Pieces that are encoded as one text.
-JOINED = 100
+#: Pieces that are encoded as one text, texts that the library takes at a time, and bytes of texts looked at together.
+JOINED, BATCH, PORTION = 100, 64, 2 << 20
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -74,6 +75,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, keep: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
@@ -88,7 +90,10 @@ class Encoder:
         self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     def ids_of(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), BATCH):
+            found += [x.ids for x in self.tokenizer.encode_batch(texts[i:i + BATCH], add_special_tokens=False)]
+        return found
 
     def learn(self, pieces: list[str]) -> None:
         """Remember the ids of new pieces, each with the space before it."""
@@ -159,8 +164,8 @@ def packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block: int
         return pa.RecordBatch.from_pylist([values], schema=FIELDS)
 
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            some = batch.slice(at, 500)
+        for first, last in portions(utf8(batch["text"])[1], PORTION):
+            some = batch.slice(first, last - first)
             for doc, text in zip(some["doc_id"].to_pylist(), tokens.encode([x or "" for x in some["text"].to_pylist()])):
                 ids.append(doc)
                 held.append(text + end)
