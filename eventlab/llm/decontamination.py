@@ -31,6 +31,8 @@ from eventlab.llm.common import table, written
 SIZE, LITERAL, LEAST, CONSISTENT = 8, 5, 3, 0.9
 #: More benchmark windows than these are not broadcast.
 SMALL = 500_000
+#: Beginnings of windows that can be told apart before a window is hashed.
+GATES = 1 << 16
 #: Scripts written without spaces, and their punctuation: each character is a token.
 UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\uFF00-\uFFEF\x{20000}-\x{3FFFF}"
 TOKEN = rf"[0-9]+(?:[.,:][0-9]+)*|[^\x00-\x40\x5B-\x60\x7B-\x7F{UNSPACED}]+|[.!?\n]+|[{UNSPACED}]"
@@ -76,16 +78,39 @@ def places(t: Column, size: int | Column = SIZE) -> Column:
     return F.when((F.size(t) >= size) & (size > 0), F.sequence(F.lit(1), F.size(t) - size + 1))
 
 
-def hashes_of(t: Column, low: Column, sizes: list[int]) -> Column:
+def hashes_of(t: Column, low: Column, sizes: list[int], gates: bytes | None = None) -> Column:
     """Place, kind and hash of every window: kind 0 are those of the templates ``t``, others
-    those of as many lower-cased tokens ``low``.  A window's hash is that of its tokens' hashes."""
+    those of as many lower-cased tokens ``low``.  A window's hash is that of its tokens' hashes.
+    With ``gates``, only of windows that begin like some window of the benchmark."""
     def windows(of: Column, size: int, kind: int) -> Column:
-        each = F.transform(places(of, size), lambda i: F.struct(i.alias("pos"), F.lit(kind).alias("kind"), hashed(F.slice(of, i, F.lit(size))).alias("hash")))
+        at = places(of, size)
+        if gates is not None:
+            at = F.filter(at, lambda i: F.substring(F.lit(gates), gate(of, i, size) + 1, 1) == F.lit(b"\x01"))
+        each = F.transform(at, lambda i: F.struct(i.alias("pos"), F.lit(kind).alias("kind"), hashed(F.slice(of, i, F.lit(size))).alias("hash")))
         return F.coalesce(each, F.array().cast("array<struct<pos:int,kind:int,hash:bigint>>"))
 
     return F.concat(windows(t, SIZE, 0), *[windows(low, k, k) for k in sizes])
 
 
+def gate(hashes: Column, at: Column, size: int) -> Column:
+    """Which of the gates a window passes: one of its first two tokens, or of its only one."""
+    first = F.get(hashes, at - 1)
+    return F.pmod(F.xxhash64(first, F.get(hashes, at)) if size > 1 else F.xxhash64(first), F.lit(GATES)).cast("int")
+
+
+def gates_of(items: DataFrame, sizes: list[int]) -> bytes:
+    """A byte for each gate, 1 where a window of the benchmark begins; ``GATES`` bytes, however large the benchmark is."""
+    rows = items.select("kind", token_hashes("w").alias("h"))
+    parts = [rows.where(F.col("kind") == kind).select(gate(F.col("h"), F.lit(1), kind or SIZE).alias("gate")) for kind in (0, *sizes)]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    out = bytearray(GATES)
+    for row in both.distinct().collect():  # at most GATES numbers
+        out[row.gate] = 1
+    return bytes(out)
+
+
 def hashed(window: Column) -> Column:
     return F.xxhash64(window, F.size(window))
 
@@ -108,10 +133,27 @@ def any_window(pos: Column, kind: Column) -> tuple[Column, Column]:
     return F.when(kind == 0, w).otherwise(low), F.when(kind == 0, slots).otherwise(F.array().cast("array<string>"))
 
 
-def marked(docs: DataFrame, hashes: DataFrame, small: bool, sizes: list[int]) -> DataFrame:
-    """Ids of the documents that share a window's hash with the benchmark; values aren't carried."""
-    rows = tokenised(docs, "doc_id").select("doc_id", token_hashes("t").alias("t"), token_hashes("v").alias("low"))
-    rows = rows.select("doc_id", F.explode(F.transform(hashes_of(F.col("t"), F.col("low"), sizes), lambda x: x["hash"])).alias("hash"))
+def token_pairs(raw: Column) -> Column:
+    """For each token that is no sentence end, the hashes of its canonical and its lower-cased form."""
+    def one(x: Column, i: Column) -> Column:
+        before = F.get(raw, i - 1)
+        number, capital = (before >= "0") & (before < ":"), (x >= "A") & (x < "[")
+        own = F.xxhash64(F.lower(x))
+        kind = (F.when(x < ":", "#").when(number, F.when(F.lower(x).isin(*UNITS), "@").when(capital, "$"))
+                .when(capital & (before >= "A"), "$"))
+        return F.when(~((x < "0") | (x >= "?") & (x < "@")), F.struct(F.when(kind.isNull(), own).otherwise(F.xxhash64(kind)).alias("t"), own.alias("low")))
+
+    return F.array_compact(F.transform(raw, one))
+
+
+def marked(docs: DataFrame, hashes: DataFrame, small: bool, sizes: list[int], gates: bytes) -> DataFrame:
+    """Ids of the documents that share a window's hash with the benchmark; values aren't carried.
+
+    Few windows begin with two tokens that begin one of the benchmark's, and only those are hashed.
+    """
+    rows = docs.select("doc_id", tokens(F.col("text")).alias("_raw")).select("doc_id", token_pairs(F.col("_raw")).alias("_p"))
+    rows = rows.select("doc_id", F.col("_p.t").alias("t"), F.col("_p.low").alias("low"))
+    rows = rows.select("doc_id", F.explode(F.transform(hashes_of(F.col("t"), F.col("low"), sizes, gates), lambda x: x["hash"])).alias("hash"))
     hashes = hashes.select("hash").distinct()
     return rows.join(F.broadcast(hashes) if small else hashes, "hash", "left_semi").select("doc_id").distinct()
 
@@ -145,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hashes = items.select("kind", "hash").distinct()
     small = items.count() <= SMALL
     exact = sorted(r.kind for r in items.where("kind > 0").select("kind").distinct().collect())  # at most SIZE numbers
-    found = written(marked(docs, hashes, small, exact), "marked")
+    found = written(marked(docs, hashes, small, exact, gates_of(items, exact)), "marked")
 
     near = written(tokenised(docs.join(found, "doc_id", "left_semi"), "doc_id").withColumn("_row", F.xxhash64("t", "v")), "tokens")
     met = near.select("doc_id", "_row", token_hashes("t").alias("t"), token_hashes("v").alias("low"))
