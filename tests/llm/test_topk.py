@@ -84,3 +84,17 @@ def test_query(spark, tmp_path):
     rows = list(enumerate(vectors(np.random.default_rng(9), 120, 8)))
     spark.createDataFrame([(k, v, "x") for k, v in rows], SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
     assert sorted((tuple(r) for r in exact_topk.op11_exact_topk(spark, str(tmp_path)).collect()), key=str) == brute(rows, 5, 50)
+
+
+@pytest.mark.parametrize("name", ["op10_embedding_dedup", "op11_exact_topk", "op13_merkle_manifest"])
+def test_same_rows_as_sql(spark, name):
+    import check
+    import duckdb
+
+    from eventlab.llm.queries import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    assert check.rows_of(QUERIES[name](spark, folder).toPandas()) == check.rows_of(duck.sql(SQL[name]).df())
