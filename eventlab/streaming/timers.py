@@ -30,8 +30,8 @@ class Reconciler(StatefulProcessor):
     after its time is emitted as alone, too, and kept marked, so that a partner that comes
     after all is reported as matched late; after ``retention_ms``, if given, it is forgotten.
 
-    The rows of a key in one batch are taken by time, then side, so the result does not
-    depend on the order in which the shuffle delivers them.  The state of a key is read and
+    The rows of a key in one batch are taken by arrival number, or without one by time, then
+    side, so the result does not depend on the order in which the shuffle delivers them.  The state of a key is read and
     written once per batch, not once per row.
     """
 
@@ -44,7 +44,7 @@ class Reconciler(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = waiting = self.state.get()
-        for row in sorted(rows, key=lambda row: (row.ms, row.side)):
+        for row in sorted(rows, key=lambda row: (row.at, row.ms, row.side)):
             if waiting is None or waiting[0] == row.side:
                 if waiting is not None and not waiting[2]:
                     yield self._alone(key[0], waiting)
@@ -87,15 +87,18 @@ class Reconciler(StatefulProcessor):
 
 def reconcile_with_timers(
     left: DataFrame, right: DataFrame, key: str, ts: str, timeout: timedelta | None = None, delay: timedelta = NONE,
-    retention: timedelta | None = None,
+    retention: timedelta | None = None, seq: str | None = None,
 ) -> DataFrame:
     """Pairs and lone events of two streams, in append mode: ``key``, both times and the status.
 
+    ``seq`` numbers both inputs together in the order of their arrival, rising from batch to batch.
+
     The watermark of both streams together is that of the slower one.  Without a timeout
     an event waits for ever and only pairs are emitted.
     """
     def side(df: DataFrame) -> DataFrame:
-        return watermarked(df.select(F.col(key).cast("string").alias("key"), ts), ts, delay)
+        at = F.lit(0) if seq is None else F.col(seq)
+        return watermarked(df.select(F.col(key).cast("string").alias("key"), ts, at.cast("bigint").alias("at")), ts, delay)
 
     both = tagged_union(side(left), side(right)).withColumn("ms", F.unix_millis(ts))
     out = both.groupBy("key").transformWithState(

@@ -14,8 +14,9 @@ from eventlab.sources import readers
 from eventlab.streaming import keyed, sinks
 from eventlab.streaming.join import live_window_join
 from eventlab.streaming.refire import LiveRefire
+from eventlab.streaming.timers import reconcile_with_timers
 from eventlab.times import Windows
-from helpers import at, utc
+from helpers import at, pair_up, utc
 from test_streaming import EVENT, HOUR, events, finish, stream  # noqa: F401
 
 
@@ -163,3 +164,17 @@ def test_a_batch_writes_what_it_touches(spark, files, tmp_path):
     finish(counted, tmp_path)
     sizes = written_by_batch(tmp_path / "checkpoint")
     assert len(sizes) >= 6 and max(sizes[1:6]) <= 1.2 * min(sizes[1:6])
+
+
+def test_pairs_in_arrival_order_over_batches(spark, files, tmp_path):
+    """Repeated keys: as the table form, but for the events that still wait."""
+    rows = [(i, "hot" if i % 3 else "abc"[i % 7 % 3], "left" if i * 5 % 7 < 4 else "right", 1_000_000 - i * 1000) for i in range(90)]
+
+    def side(name):
+        tables = [spark.createDataFrame([(k, at(t), q) for q, k, s, t in rows if s == name and a <= q < a + 30], "order_id string, ts timestamp, seq bigint") for a in (0, 30, 60)]
+        return readers.stream_parquet(spark, files(name, tables), "order_id string, ts timestamp, seq bigint", 1)
+
+    got = utc(finish(reconcile_with_timers(side("left"), side("right"), "order_id", "ts", seq="seq"), tmp_path).select("key", "left_ts", "right_ts"))
+    want = pair_up(rows)
+    missing = sorted(set(want) - set(got), key=str)
+    assert set(got) <= set(want) and all(None in pair for pair in missing) and len(missing) <= 4  # one waiting event per key at most
