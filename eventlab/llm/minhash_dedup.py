@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from eventlab.llm.common import U64, components, in_small_batches, mix, portions, shingles, table, utf8, words_of, written
 
-PORTION = 2 << 20
+PORTION = 1 << 19
 #: Classes of a bucket that a block holds, and marks that one product takes.
-TILE, COLUMNS = 512, 4096
+TILE, COLUMNS = 256, 1024
 PAIRS = 1 << 16  # compared by their bands at a time
 
 
