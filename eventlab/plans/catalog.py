@@ -548,9 +548,9 @@ def live_late_rows(spark, d):
 @query
 def live_late_visits(spark, d):
     home = live.folder(spark)
-    split = LiveLate(live.disordered_events(spark, d, home), "ts", "seq", "user_id", LATE_SLIDING, home)
-    sinks.run_available(split.writer(f"{home}/checkpoint"))
-    return split.visits(spark)
+    windows_ = LiveRefire(live.disordered_events(spark, d, home), "ts", "seq", "user_id", LATE_SLIDING, home)
+    sinks.run_available(windows_.writer(f"{home}/checkpoint"))
+    return windows_.visits(spark)
 
 
 @query

@@ -109,6 +109,13 @@ class LiveRefire:
         rows.unpersist()
         batch.unpersist()
 
+    def visits(self, spark: SparkSession) -> DataFrame:
+        """Page views and unique visitors per window over all batches so far, from what the first step has written."""
+        grid = self.policy.windows
+        counts = self.cells.all(spark).filter(F.col("kind") != MARK).groupBy("window_at").agg(F.sum("n").alias("pv"), F.count_distinct(F.nullif("user", F.lit(""))).alias("uv"))
+        start = grid.start(F.col("window_at"))
+        return counts.select(start.alias("window_start"), (start + F.lit(grid.size)).alias("window_end"), "pv", "uv")
+
     def firings(self, spark: SparkSession, files_per_batch: int | None = None) -> DataFrame:
         """The second step, over what the first has written: ``window_start, window_end, at_seq, refired, pv, uv``."""
         grid, policy = self.policy.windows, self.policy

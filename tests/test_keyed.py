@@ -133,6 +133,8 @@ def test_refire_agrees_with_the_table_form(spark, stream, tmp_path, grid, latene
     want = late.firings(df, "ts", "seq", "user_id", policy).filter("at_seq IS NOT NULL")
     assert want.filter("refired").count() > 0 or not lateness
     assert plain(got.select(want.columns)) == plain(want)
+    visits = late.final_visits(df, "ts", "seq", "user_id", policy)
+    assert plain(live.visits(spark).select(visits.columns)) == plain(visits)
 
 
 def test_refire_over_batches_of_its_own_and_after_a_restart(spark, stream, tmp_path):  # noqa: F811
