@@ -34,7 +34,7 @@ from eventlab.llm.common import U64, components, in_small_batches, mix, portions
 
 PORTION = 1 << 19
 #: Classes of a bucket that a block holds, and marks that one product takes.
-TILE, COLUMNS = 256, 1024
+TILE, COLUMNS = 1024, 1024
 PAIRS = 1 << 16  # compared by their bands at a time
 
 
