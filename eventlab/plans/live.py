@@ -14,6 +14,8 @@ from eventlab.streaming import sinks
 
 # Micro-batches of a staged table.
 FILES = 8
+# Rows of a file of a staged table, about.
+ROWS = 1 << 20
 
 
 def folder(spark: SparkSession) -> str:
@@ -23,21 +25,28 @@ def folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/live-{uuid.uuid4().hex}"
 
 
-def staged(spark: SparkSession, df: DataFrame, seq: str, home: str, name: str, files: int = FILES) -> DataFrame:
-    """A table as a stream of files, one after another by ``seq`` and one per micro-batch; rows without a ``seq`` come last."""
-    low, high = df.agg(F.min(seq), F.max(seq)).first()
+def staged(spark: SparkSession, df: DataFrame, seq: str, home: str, name: str, files: int = FILES, empty: int = 0, rows: int = ROWS) -> DataFrame:
+    """A table as a stream of portions, one after another by ``seq`` and one per micro-batch; rows without a ``seq`` come last.
+
+    A portion is as many files as the largest table part needs at about ``rows`` rows a file, so
+    all cores read the table, write a portion and read it again.  ``empty`` portions without rows come first.
+    """
+    low, high, count = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
     nth = F.floor((F.col(seq) - F.lit(low)) * F.lit(files) / F.lit((high or 0) - (low or 0) + 1))
     nth = F.coalesce(nth, F.lit(files - 1))
-    for i in range(files):  # in order, as the source takes files by their time
-        df.filter(nth == i).coalesce(1).write.mode("append").parquet(f"{home}/{name}")
-    return readers.stream_parquet(spark, f"{home}/{name}", df.schema, 1)
+    path, each = f"{home}/{name}", max(1, -(-count // (files * rows)))
+    for i in range(-empty, files):  # in order, as the source takes files by their time
+        if i >= 0:
+            df.filter(nth == i).repartition(each).write.mode("append").parquet(path)
+        have = len(spark.read.schema(df.schema).parquet(path).inputFiles()) if i > -empty or not empty else 0
+        for _ in range((i + empty + 1) * each - have):  # a task without rows writes no file
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return readers.stream_parquet(spark, path, df.schema, each)
 
 
 def delayed(spark: SparkSession, df: DataFrame, seq: str, home: str, name: str, empty: int) -> DataFrame:
     """As :func:`staged`, but the first micro-batches of the stream are without rows."""
-    for _ in range(empty):
-        df.limit(0).coalesce(1).write.mode("append").parquet(f"{home}/{name}")
-    return staged(spark, df, seq, home, name)
+    return staged(spark, df, seq, home, name, empty=empty)
 
 
 def whole(spark: SparkSession, df: DataFrame, home: str, name: str) -> DataFrame:

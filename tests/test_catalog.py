@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
@@ -41,6 +42,22 @@ def test_staged_tables_come_in_many_batches(spark):
     assert sum(p["numInputRows"] > 0 for p in run.recentProgress) == live.FILES
 
 
+def test_a_portion_is_several_files(spark):
+    """Portions of 4 files, the one without rows and the small ones, too; empty ones first; rows without a number last."""
+    home = live.folder(spark)
+    kept = F.when(F.col("id") < 397, F.when((F.col("id") < 100) | (F.col("id") >= 200), F.col("id")))
+    df = spark.range(400).select(kept.alias("seq"), F.col("id").alias("x"))
+    stream = live.staged(spark, df, "seq", home, "in", files=4, empty=2, rows=25)
+    seen = []
+    sinks.run_available(sinks.to_batches(stream, lambda batch, i: seen.append(sorted(r.x for r in batch.collect())), f"{home}/checkpoint"))
+    low, high = df.agg(F.min("seq"), F.max("seq")).first()
+    want = [[] for _ in range(6)]
+    for seq, x in df.collect():
+        want[2 + (3 if seq is None else (seq - low) * 4 // (high - low + 1))].append(x)
+    assert seen == [sorted(x) for x in want]
+    assert len(spark.read.parquet(f"{home}/in").inputFiles()) == 6 * 4
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["action", "pv", "uv", "window_start", "window_end"]
 
