@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlab.plans import tables
-from eventlab.session import checkpoint_dir, use_rocksdb, use_utc
+from eventlab.session import checkpoint_dir, state_tasks, use_rocksdb, use_utc
 from eventlab.sources import readers
 from eventlab.streaming import sinks
 
@@ -73,6 +73,7 @@ def event_files(spark: SparkSession, sf_dir: str, home: str) -> str:
 
 def written(stream: DataFrame, home: str) -> DataFrame:
     """Run a stream in append mode into a Parquet table and read that."""
-    sinks.run_available(stream.writeStream.outputMode("append").format("parquet")
-                        .option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint"))
+    with state_tasks(stream.sparkSession):
+        sinks.run_available(stream.writeStream.outputMode("append").format("parquet")
+                            .option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint"))
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{home}/out")

@@ -9,7 +9,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from eventlab.plans import live
 from eventlab.plans.catalog import CATALOG as QUERIES
 from eventlab.plans.oracle import ORACLE
-from eventlab.streaming import sinks
+from eventlab.streaming import keyed, sinks
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,6 +58,19 @@ def test_a_portion_is_several_files(spark):
     assert len(spark.read.parquet(f"{home}/in").inputFiles()) == 6 * 4
 
 
+def test_a_stream_keeps_two_parts_of_state_a_core(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        home = live.folder(spark)
+        out = live.written(keyed.live_running_count(live.events(spark, SF_DIR, home), ["action"], "seq"), home)
+        assert out.count() == 1000 and spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        parts = spark.read.format("state-metadata").load(f"{home}/checkpoint").select("numPartitions").first()[0]
+        assert parts == 2 * spark.sparkContext.defaultParallelism == 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["action", "pv", "uv", "window_start", "window_end"]
 
