@@ -15,6 +15,7 @@ Rows without a ``seq`` come first in their batch.  A null key is a key.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
@@ -26,6 +27,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from eventlab.streaming.live import watermarked
 from eventlab.times import NONE, Windows, micros
 
+# Entries that the users of a window are dealt over.
+BUCKETS = 256
+
 
 def millis(duration: timedelta | None) -> int | None:
     return None if duration is None else micros(duration) // 1000
@@ -137,25 +141,64 @@ class AcrossWindows(Keyed):
         self.total.update((n,))
 
 
+def bucket(user: str) -> int:
+    return zlib.crc32(user.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+class Members:
+    """The different users of a window in map state, many to an entry: a call to the store costs more than a hundred users do.
+
+    Of what is kept, only the buckets are read that new users fall into, and each once per batch.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.state = handle.getMapState(name, "bucket int", "users array<string>")
+
+    def open(self) -> None:
+        """Begin with the rows that a window has in this batch."""
+        self.any, self.held, self.changed = self.state.exists(), {}, set()
+
+    def add(self, user: str) -> bool:
+        """Whether the user is new."""
+        at = bucket(user)
+        if at not in self.held:
+            kept = self.state.getValue((at,)) if self.any else None
+            self.held[at] = set(kept[0]) if kept else set()
+        if user in self.held[at]:
+            return False
+        self.held[at].add(user)
+        self.changed.add(at)
+        return True
+
+    def keep(self) -> None:
+        """Write what the batch changed."""
+        for at in self.changed:
+            self.state.updateValue((at,), (list(self.held[at]),))
+
+    def count(self) -> int:
+        return sum(len(users) for users, in self.state.values())
+
+    def clear(self) -> None:
+        self.state.clear()
+
+
 class ActiveKeys(Keyed):
     """The different users of a window: gathered in a map, counted and dropped by a timer 1 ms after the end."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.users = handle.getMapState("users", "user string", "rows bigint")
+        self.users = Members(handle, "users")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen: dict[str | None, int] = {}
+        self.users.open()
         for row in rows:
-            seen[row["user"]] = seen.get(row["user"], 0) + 1
-        for user, n in seen.items():
-            before = self.users.getValue((user,))[0] if self.users.containsKey((user,)) else 0
-            self.users.updateValue((user,), (before + n,))
+            self.users.add(row["user"])
+        self.users.keep()
         self.handle.registerTimer(key[0] + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        users = sum(1 for _ in self.users.keys())
+        users = self.users.count()
         self.users.clear()
         yield Row(end_ms=key[0], active=users)
 

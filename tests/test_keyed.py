@@ -90,6 +90,19 @@ def test_active_users_and_an_empty_store(spark, stream, tmp_path):  # noqa: F811
     assert left.count() == 1  # the last row's window, which is still open
 
 
+def test_many_users_take_few_entries(spark, files, tmp_path):
+    """3,000 users of one window in two batches, half of them in both: a bounded number of entries, each user counted once."""
+    tables = [spark.range(a, a + 2000).select(F.concat(F.lit("u"), "id").alias("user_id"), F.lit(at(1000)).alias("ts")) for a in (0, 1000)]
+    end = spark.createDataFrame([("end", at(10**9))], "user_id string, ts timestamp")
+    for name, batches in (("open", tables), ("closed", [*tables, end])):
+        (tmp_path / name).mkdir()
+        source = readers.stream_parquet(spark, files(f"{name}-in", batches), "user_id string, ts timestamp", 1)
+        got = plain(finish(keyed.live_active_keys(source, "user_id", "ts", Windows(HOUR)), tmp_path / name))
+        assert got == ([] if name == "open" else [(3_600_000, 3000)])
+    left = spark.read.format("statestore").option("stateVarName", "users").load(str(tmp_path / "open" / "checkpoint"))
+    assert left.count() <= keyed.BUCKETS
+
+
 def test_watermark_of_a_union_with_a_late_starter(spark, files, tmp_path):
     def source(name, batches):
         return readers.stream_parquet(spark, files(name, [spark.createDataFrame([(s, at(t)) for s, t in rows], "seq bigint, ts timestamp") for rows in batches]), "seq bigint, ts timestamp", 1)
