@@ -26,7 +26,7 @@ from eventlab.operators.eventtime import watermark_trace
 from eventlab.operators.late import LatePolicy
 from eventlab.sources.readers import stream_parquet
 from eventlab.streaming.counters import schema_of
-from eventlab.streaming.keyed import named
+from eventlab.streaming.keyed import Members, named
 from eventlab.streaming.live import watermarked
 from eventlab.streaming.sinks import to_batches
 from eventlab.streaming.tables import OutputTable, StateTable
@@ -46,20 +46,20 @@ class Firing(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.sums = handle.getValueState("sums", "pv bigint, uv bigint")
-        self.users = handle.getMapState("users", "user string", "n bigint")
+        self.users = Members(handle, "users")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         pv, uv = self.sums.get() if self.sums.exists() else (0, 0)
         before = pv
+        self.users.open()
         for row in sorted(rows, key=lambda r: (r["kind"], r["at_seq"] or 0)):
             if row["kind"] != MARK:
                 pv += row["n"]
-                if not self.users.containsKey((row["user"],)):
-                    self.users.updateValue((row["user"],), (row["n"],))
-                    uv += 1
+                uv += self.users.add(row["user"])
             if row["kind"] == LATE or row["kind"] == MARK and pv:
                 yield Row(window_at=key[0], at_seq=row["at_seq"], refired=row["kind"] == LATE, pv=pv, uv=uv)
         if pv != before:
+            self.users.keep()
             self.sums.update((pv, uv))
             self.handle.registerTimer(key[0] * self.step_ms + self.offset_ms + self.close_ms)
 

@@ -103,6 +103,19 @@ def test_many_users_take_few_entries(spark, files, tmp_path):
     assert left.count() <= keyed.BUCKETS
 
 
+def test_refiring_windows_keep_few_entries(spark, files, tmp_path):
+    """A user who comes in time, in the next batch and late is one user; 3,000 users are a bounded number of entries."""
+    rows = [(i, f"u{i % 3000}", at(1000)) for i in range(4000)]
+    tables = [spark.createDataFrame(x, "seq bigint, user_id string, ts timestamp") for x in (rows[:2500], rows[2500:], [(4000, "u9", at(3_600_000)), (4001, "u1", at(2000)), (4002, "new", at(2000))])]
+    policy = LatePolicy(Windows(HOUR), timedelta(0), timedelta(minutes=20))
+    live = LiveRefire(readers.stream_parquet(spark, files("in", tables), "seq bigint, user_id string, ts timestamp", 1), "ts", "seq", "user_id", policy, str(tmp_path / "t"))
+    sinks.run_available(live.writer(str(tmp_path / "cells")))
+    got = finish(live.firings(spark, files_per_batch=1), tmp_path)
+    assert plain(got, "at_seq", "refired", "pv", "uv") == [(4000, False, 4000, 3000), (4001, True, 4001, 3000), (4002, True, 4002, 3001)]
+    left = spark.read.format("statestore").option("stateVarName", "users").load(str(tmp_path / "checkpoint"))
+    assert 0 < left.count() <= 2 * keyed.BUCKETS
+
+
 def test_watermark_of_a_union_with_a_late_starter(spark, files, tmp_path):
     def source(name, batches):
         return readers.stream_parquet(spark, files(name, [spark.createDataFrame([(s, at(t)) for s, t in rows], "seq bigint, ts timestamp") for rows in batches]), "seq bigint, ts timestamp", 1)
