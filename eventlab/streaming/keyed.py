@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -27,6 +28,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from eventlab.streaming.live import watermarked
 from eventlab.times import NONE, Windows, micros
 
+# Stands for no number in a frame.
+MOST = (1 << 63) - 1
 # Entries that the users of a window are dealt over.
 BUCKETS = 256
 
@@ -204,17 +207,20 @@ class ActiveKeys(Keyed):
 
 
 class Marks(Keyed):
-    """For each source and micro-batch the rows it delivered and the watermark that was in force."""
+    """For each source and micro-batch the rows it delivered and the watermark that was in force; takes whole frames of rows."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.batches = handle.getValueState("batches", "n bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seqs = [row[self.seq] for row in rows]
-        n = self.batches.get()[0] if self.batches.exists() else 0
-        self.batches.update((n + 1,))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, least, most = 0, MOST, -MOST
+        for some in rows:
+            n, least, most = n + len(some), min(least, int(some["low"].min())), max(most, int(some["high"].max()))
+        before = self.batches.get()[0] if self.batches.exists() else 0
+        self.batches.update((before + 1,))
         mark = timerValues.getCurrentWatermarkInMs()
-        yield Row(source=key[0], n=len(seqs), first_seq=min(seqs), last_seq=max(seqs), mark_ms=mark if mark > 0 else None)
+        yield pd.DataFrame({"source": [key[0]], "n": [n], **{name: pd.array([x], "Int64") for name, x in (
+            ("first_seq", least if least < MOST else None), ("last_seq", most if most > -MOST else None), ("mark_ms", mark if mark > 0 else None))}})
 
 
 def live_running_count(stream: DataFrame, keys: Sequence[str], seq: str, ttl: timedelta | None = None) -> DataFrame:
@@ -254,9 +260,10 @@ def live_union_watermark(sources: dict[str, tuple[DataFrame, timedelta]], ts: st
     for name, (stream, delay) in sources.items():
         spark = stream.sparkSession
         spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
-        parts.append(watermarked(stream.select(seq, ts), ts, delay).withColumn("source", F.lit(name)))
+        numbers = [F.coalesce(F.col(seq).cast("bigint"), F.lit(none)).alias(x) for x, none in (("low", MOST), ("high", -MOST))]
+        parts.append(watermarked(stream.select(ts, *numbers), ts, delay).withColumn("source", F.lit(name)))
     both = parts[0]
     for part in parts[1:]:
         both = both.unionByName(part)
-    out = both.groupBy("source").transformWithState(Marks([seq, ts, "source"], seq), "source string, n bigint, first_seq bigint, last_seq bigint, mark_ms bigint", "Append", "EventTime")
+    out = both.groupBy("source").transformWithStateInPandas(Marks([seq, ts, "source"], seq), "source string, n bigint, first_seq bigint, last_seq bigint, mark_ms bigint", "Append", "EventTime")
     return out.select("source", "n", "first_seq", "last_seq", F.timestamp_millis("mark_ms").alias("watermark"))

@@ -116,6 +116,21 @@ def test_refiring_windows_keep_few_entries(spark, files, tmp_path):
     assert 0 < left.count() <= 2 * keyed.BUCKETS
 
 
+def typed(spark, folder, tables, schema):
+    """Rows of any type as a stream, one file and micro-batch per table."""
+    for rows in tables:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+    return readers.stream_parquet(spark, str(folder), schema, 1)
+
+
+def test_union_of_rows_without_a_number(spark, tmp_path):
+    """Numbers beyond 2^53 and nulls in one batch: the nulls count, the smallest and largest are of the others."""
+    schema, big = "seq bigint, ts timestamp", 2**53
+    source = typed(spark, tmp_path / "in", ([(big + 1, at(1000)), (None, at(1000)), (big + 3, at(2000))], [(None, at(3000))]), schema)
+    got = finish(keyed.live_union_watermark({"one": (source, timedelta(0))}, "ts", "seq"), tmp_path)
+    assert plain(got) == sorted([("one", 3, big + 1, big + 3, None), ("one", 1, None, None, 2000)], key=str)
+
+
 def test_watermark_of_a_union_with_a_late_starter(spark, files, tmp_path):
     def source(name, batches):
         return readers.stream_parquet(spark, files(name, [spark.createDataFrame([(s, at(t)) for s, t in rows], "seq bigint, ts timestamp") for rows in batches]), "seq bigint, ts timestamp", 1)
