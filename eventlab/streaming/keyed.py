@@ -19,11 +19,13 @@ import zlib
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import AtomicType, LongType, StructField, StructType
 
 from eventlab.streaming.live import watermarked
 from eventlab.times import NONE, Windows, micros
@@ -108,40 +110,65 @@ class Groups(Keyed):
 
 
 class AcrossWindows(Keyed):
-    """Numbers the rows of a key window by window: a window's rows are listed when it closes (map state, timers)."""
+    """Numbers the rows of a key window by window: a window's rows are listed when it closes (map state, timers).
 
-    def __init__(self, columns: Sequence[str], seq: str, schema: StructType):
-        super().__init__(columns, seq)
-        self.fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in schema.fields)
+    A key's rows come and go as frames, and wait as one Arrow table per window and batch.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.total = handle.getValueState("total", "n bigint")
-        self.open = handle.getMapState("open", "end_ms bigint", f"rows array<struct<{self.fields}>>")
-        self.out = Row(*self.columns, "n")
+        self.open = handle.getMapState("open", "end_ms bigint", "tables array<binary>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new: dict[int, list[tuple]] = {}
-        for row in rows:
-            new.setdefault(row["_end_ms"], []).append(tuple(row))
-        for end, more in new.items():
-            before = [tuple(row) for row in self.open.getValue((end,))[0]] if self.open.containsKey((end,)) else []
-            self.open.updateValue((end,), (before + more,))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new: dict[int, list[bytes]] = {}
+        for some in joined(rows):
+            for end, more in some.groupby("end_ms_"):
+                new.setdefault(int(end), []).append(packed(more))
+        for end, tables in new.items():
+            kept = self.open.getValue((end,))
+            self.open.updateValue((end,), ([*(bytes(x) for x in (kept[0] if kept else ())), *tables],))
             self.handle.registerTimer(end)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         end = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.open.containsKey((end,)):
+        kept = self.open.getValue((end,))
+        if kept is None:
             return
-        at = self.columns.index(self.seq)
-        rows = sorted((tuple(row) for row in self.open.getValue((end,))[0]), key=lambda row: (row[at] is not None, row[at]))
         self.open.removeKey((end,))
+        rows = pd.concat([unpacked(x) for x in kept[0]], ignore_index=True)
+        rows = rows.sort_values(["numbered_", "seq_"], kind="stable", ignore_index=True)
         n = self.total.get()[0] if self.total.exists() else 0
-        for row in rows:
-            n += 1
-            yield self.out(*row, n)
-        self.total.update((n,))
+        rows["n"] = np.arange(n + 1, n + len(rows) + 1)
+        self.total.update((n + len(rows),))
+        yield rows[[*self.columns, "n"]]
+
+
+def joined(frames: Iterator[pd.DataFrame], size: int = 1 << 17) -> Iterator[pd.DataFrame]:
+    """The frames in portions of about ``size`` rows."""
+    held, n = [], 0
+    for some in frames:
+        held.append(some)
+        n += len(some)
+        if n >= size:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def packed(rows: pd.DataFrame) -> bytes:
+    """Rows as an Arrow file."""
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(data)).read_pandas()
 
 
 def bucket(user: str) -> int:
@@ -237,9 +264,16 @@ def live_row_groups(stream: DataFrame, keys: Sequence[str], seq: str, size: int,
 
 def live_cross_window_count(stream: DataFrame, keys: Sequence[str], ts: str, seq: str, windows: Windows, delay: timedelta = NONE) -> DataFrame:
     """Rows of closed windows with a count per key that goes on from window to window."""
-    rows = windows.assign(watermarked(stream, ts, delay), ts).withColumn("_end_ms", F.unix_millis("window_end"))
-    out = rows.groupBy(*keys).transformWithState(AcrossWindows(rows.columns, seq, rows.schema), with_field(rows.schema, "n"), "Append", "EventTime")
-    return out.drop("_end_ms")
+    rows = windows.assign(watermarked(stream, ts, delay), ts)
+    schema = rows.schema
+    # Frames know no null in a whole number, so values travel as text, and order by columns without one;
+    # a frame's columns can't begin with an underscore.
+    texts = [F.col(f.name).cast("string").alias(f"c{i}_") if isinstance(f.dataType, AtomicType) else F.col(f.name).alias(f"c{i}_") for i, f in enumerate(schema.fields)]
+    number = F.coalesce(F.col(seq), F.lit(0).cast(schema[seq].dataType))
+    rows = rows.select(*keys, ts, *texts, F.unix_millis("window_end").alias("end_ms_"), F.col(seq).isNotNull().alias("numbered_"), number.alias("seq_"))
+    names = [f"c{i}_" for i in range(len(schema))]
+    out = rows.groupBy(*keys).transformWithStateInPandas(AcrossWindows(names, "seq_"), with_field(rows.select(*names).schema, "n"), "Append", "EventTime")
+    return out.select(*[F.col(f"c{i}_").cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)], "n")
 
 
 def live_active_keys(stream: DataFrame, key: str, ts: str, windows: Windows, delay: timedelta = NONE) -> DataFrame:

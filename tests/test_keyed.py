@@ -3,6 +3,7 @@
 import os
 import time
 from datetime import timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from eventlab.streaming.join import live_window_join
 from eventlab.streaming.refire import LiveRefire
 from eventlab.streaming.timers import reconcile_with_timers
 from eventlab.times import Windows
-from helpers import at, pair_up, utc
+from helpers import at, ms, pair_up, utc
 from test_streaming import EVENT, HOUR, events, finish, stream  # noqa: F401
 
 
@@ -123,6 +124,22 @@ def typed(spark, folder, tables, schema):
     return readers.stream_parquet(spark, str(folder), schema, 1)
 
 
+def test_rows_of_open_windows_wait_as_tables(spark, tmp_path):
+    """Numbers beyond 2^53, nulls and other types come back as they were; a window's rows wait in one entry."""
+    schema = "seq bigint, action string, ts timestamp, x double, y decimal(20,3), z array<int>"
+    big = 2**53
+    rows = [(big + 3, "a", at(3000), 0.1, None, [1, None]), (None, "a", at(1000), None, Decimal("1.250"), None), (big + 1, None, at(2000), 1.5, None, [2]), (big + 2, "a", at(1000), None, None, [])]
+    last = [(big + 9, "a", at(10**9), None, None, None), (big + 8, None, at(10**9), None, None, None)]
+    source = typed(spark, tmp_path / "in", (rows[:2], rows[2:], last), schema)
+    got = finish(keyed.live_cross_window_count(source, ["action"], "ts", "seq", Windows(HOUR)), tmp_path)
+    assert got.columns == [*source.columns, "window_start", "window_end", "n"]
+    assert [t for _, t in got.dtypes[:6]] == [f.dataType.simpleString() for f in source.schema]
+    numbers = {1: rows[1], 2: rows[3], 3: rows[0]}
+    assert plain(got, "action", "n", "seq", "ts", "x", "y", "z") == sorted([(None, 1, big + 1, 2000, 1.5, None, [2])] + [("a", n, r[0], ms(r[2]), r[3], r[4], r[5]) for n, r in numbers.items()], key=str)
+    left = spark.read.format("statestore").option("stateVarName", "open").load(str(tmp_path / "checkpoint"))
+    assert left.count() == 2 and "tables:array<binary>" in left.select("user_map_value").schema.simpleString()
+
+
 def test_union_of_rows_without_a_number(spark, tmp_path):
     """Numbers beyond 2^53 and nulls in one batch: the nulls count, the smallest and largest are of the others."""
     schema, big = "seq bigint, ts timestamp", 2**53
