@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventlab.functions import parse
 from eventlab.operators import aggregates, eventtime, late, multistream, state, topn, windows
 from eventlab.plans import live, tables
+from eventlab.session import state_tasks
 from eventlab.sources import readers
 from eventlab.streaming import counters, keyed, sinks
 from eventlab.streaming.groups import RowGroups
@@ -440,8 +441,9 @@ def live_uv_pv(spark, d):
 @query
 def live_topn(spark, d):
     home = live.folder(spark)
-    sinks.run_available(live_top_n(live.events(spark, d, home), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"],
-                                   f"{home}/out", f"{home}/checkpoint"))
+    writer = live_top_n(live.events(spark, d, home), "user_id", "ts", HALF_PAST, SOURCE_DELAYS["other"], f"{home}/out", f"{home}/checkpoint")
+    with state_tasks(spark):
+        sinks.run_available(writer)
     return spark.read.parquet(f"{home}/out/batch=*")
 
 
@@ -456,7 +458,8 @@ def live_totals(spark, d):
     home = live.folder(spark)
     changed = totals_of(live.events(spark, d, home), ["action"], [F.count(F.lit(1)).alias("n")])
     out = OutputTable(f"{home}/out", "action string, n bigint")
-    sinks.run_available(sinks.to_batches(changed, out.write, f"{home}/checkpoint", "update"))
+    with state_tasks(spark):
+        sinks.run_available(sinks.to_batches(changed, out.write, f"{home}/checkpoint", "update"))
     return out.all(spark).groupBy("action").agg(F.max("n").alias("n"))
 
 
