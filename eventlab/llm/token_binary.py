@@ -14,7 +14,6 @@ others, and reading gives null back.  Rows with equal ids are ordered by text ha
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -30,11 +29,14 @@ from eventlab.llm.common import in_small_batches, portions, shared_path, table,
 
 FOLDER = "part int, block long, first_id long, last_id long, no_id long, bits int, start long, n long, doc_ids binary, ends binary, payload binary"
 DIGEST = "part int, doc_id long, local long, n_tokens long, ids_crc32 long"
-#: A space between two visible characters: no token reaches over the point before it.
-CUT = re.compile(r" (?<=\S )(?=\S)")
+#: White space and punctuation marks before which texts are cut.
+GAPS, MARKS = (" ", "\n", "\t", "\r"), b".,;:!?"
+VISIBLE = np.arange(256) > 32
+VISIBLE[127] = False
+LETTER = np.isin(np.arange(256) & 0xDF, np.arange(65, 91)) & (np.arange(256) < 128)
 
-#: Pieces that are encoded as one text, texts that the library takes at a time, and bytes of texts looked at together.
-JOINED, BATCH, PORTION = 100, 64, 2 << 20
+#: Pieces that are encoded as one text, texts that the library takes at a time, bytes of texts looked at together, and letters of a piece that is remembered.
+JOINED, BATCH, PORTION, SHORT = 100, 64, 4 << 20, 64
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -66,12 +68,41 @@ def unpack(payload: bytes, bits: int, first: int, last: int) -> np.ndarray:
     return out.reshape(-1)[first - low * 8:last - low * 8].astype("<u4")
 
 
+def spans(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All places of the spans, one after another."""
+    upto = np.cumsum(counts)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(begins - upto + counts, counts)
+
+
+def table_of(letters: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[np.frombuffer(letters, np.uint8)] = True
+    return out
+
+
+def cut_points(data: np.ndarray, marks: bytes = MARKS) -> np.ndarray:
+    """Bytes of UTF-8 texts before which a text may be cut.
+
+    White space after a visible character: no token reaches over the point before it.  Neither
+    does one reach from a letter A to Z to one of ``marks``.  Beyond ASCII, a character counts as
+    visible if its first byte starts no white space.
+    """
+    visible = VISIBLE[data]
+    beyond = data >= 128
+    for back, leads in ((1, b"\xC2"), (2, b"\xE1\xE2\xE3")):
+        visible[back:] &= ~(beyond[back:] & table_of(leads)[data[:-back]])
+    gap = table_of("".join(GAPS).encode())[data]
+    mark = table_of(marks)[data]
+    return np.flatnonzero(gap[1:] & visible[:-1] | mark[1:] & LETTER[data[:-1]]) + 1
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit numbers.
 
-    A text is cut before single spaces, which no token crosses, and each distinct piece is
-    encoded once; at most ``keep`` pieces are remembered.  New pieces are encoded many at a
-    time, as one text, and told apart by the bytes of their tokens.
+    A text is cut where no token can reach over: before white space or, after a letter, before a
+    punctuation mark.  Each distinct piece is encoded once; at most ``keep`` short pieces are
+    remembered.  New pieces are encoded many at a time, as one text, and told apart by the bytes
+    of their tokens.
     """
 
     def __init__(self, path: str, keep: int = 1_000_000):
@@ -83,6 +114,8 @@ class Encoder:
         names = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         self.bytes_of[list(names.values())] = [len(x) for x in names]  # a character of a byte-level name is a byte
+        added = "".join(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = b"" if set(added) & set(MARKS.decode()) else MARKS  # an added token is never cut
         self.forget()
 
     def forget(self) -> None:
@@ -92,48 +125,59 @@ class Encoder:
     def ids_of(self, texts: list[str]) -> list[list[int]]:
         found = []
         for i in range(0, len(texts), BATCH):
-            found += [x.ids for x in self.tokenizer.encode_batch(texts[i:i + BATCH], add_special_tokens=False)]
+            found += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i:i + BATCH], add_special_tokens=False)]
         return found
 
     def learn(self, pieces: list[str]) -> None:
-        """Remember the ids of new pieces, each with the space before it."""
-        # A piece that ends in white space would meet the next one's space, so it is encoded by itself.
-        closed = [x for x in pieces if not x[-1:].isspace()]
-        alone = [x for x in pieces if x[-1:].isspace()]
-        runs = [" " + " ".join(closed[i:i + JOINED]) for i in range(0, len(closed), JOINED)]
-        found = list(chain.from_iterable(self.ids_of(runs)))
-        ids = np.array(found, np.int64)
-        until = np.cumsum([len(x.encode("utf-8", "surrogatepass")) + 1 for x in closed], dtype=np.int64)
+        """Add the ids of new pieces."""
+        # Only a piece that starts with white space and does not end in it can stand between others.
+        inner = [x[:1] in GAPS and not x[-1:].isspace() for x in pieces]
+        closed = [x for x, y in zip(pieces, inner) if y]
+        alone = [x for x, y in zip(pieces, inner) if not y]
+        found = self.ids_of(["".join(closed[i:i + JOINED]) for i in range(0, len(closed), JOINED)])
+        ids = np.array(list(chain.from_iterable(found)), np.int64)
+        until = np.cumsum([len(x.encode("utf-8")) for x in closed], dtype=np.int64)
         ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), until) + 1
-        others = self.ids_of([" " + x for x in alone])
-        self.known.update(zip(closed + alone, range(len(self.known), len(self.known) + len(pieces))))
+        others = self.ids_of(alone)
         last = ends[-1] if len(ends) else 0
         more = last + np.cumsum([len(x) for x in others], dtype=np.int64)
-        self.ends = np.concatenate([self.ends, self.ends[-1] + ends, self.ends[-1] + more])
-        self.ids = np.concatenate([self.ids, ids.astype("<u4"), np.array(list(chain.from_iterable(others)), "<u4")])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [CUT.split(text) for text in texts]
-        later = set()
-        for x in parts:
-            later.update(x[1:])
-        missing = list(later.difference(self.known))
-        if len(self.known) + len(missing) > self.keep:
+        at = np.empty(len(pieces), np.int64)
+        inner = np.array(inner, bool)
+        at[inner], at[~inner] = np.arange(len(closed)), len(closed) + np.arange(len(alone))
+        begins = np.concatenate([[0], ends, more])
+        flat = np.concatenate([ids.astype("<u4"), np.array(list(chain.from_iterable(others)), "<u4")])
+        first, count = begins[at], np.diff(begins)[at]
+        self.ids = np.concatenate([self.ids, flat[spans(first, count)]])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(count)])
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        data, borders = utf8(column)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[cut_points(data, self.marks)] = True
+        edge[borders] = True
+        cuts = np.flatnonzero(edge)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]).dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.known
+        slots = np.array([known.get(x, -1) for x in names], np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(known) + len(new) > self.keep:
             self.forget()
-            missing = list(later)
-        if missing:
+            new, known = np.arange(len(names)), self.known
+        new = sorted(new.tolist(), key=lambda k: len(names[k]) > SHORT)  # the long ones last
+        if new:
+            slots[new] = len(known) + np.arange(len(new))
+            missing = [names[k] for k in new]
             self.learn(missing)
-        heads = [np.array(x, "<u4") for x in self.ids_of([x[0] for x in parts])]
-        known = self.known
-        out = []
-        for head, x in zip(heads, parts):
-            at = np.array([known[y] for y in x[1:]], np.int64)
-            begin = self.ends[at]
-            count = self.ends[at + 1] - begin
-            upto = np.cumsum(count)
-            rest = self.ids[np.arange(upto[-1] if len(at) else 0) + np.repeat(begin - upto + count, count)]
-            out.append(head.tobytes() + rest.tobytes())
-        return out
+            known.update(zip([x for x in missing if len(x) <= SHORT], slots[new].tolist()))
+        at = slots[pieces.indices.to_numpy()]
+        count = self.ends[at + 1] - self.ends[at]
+        found = self.ids[spans(self.ends[at], count)]
+        upto = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(cuts, borders)]
+        self.ends = self.ends[:len(known) + 1]  # the long ones go
+        self.ids = self.ids[:self.ends[-1]]
+        return [found[a:b].tobytes() for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -166,7 +210,7 @@ def packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block: int
     for batch in batches:
         for first, last in portions(utf8(batch["text"])[1], PORTION):
             some = batch.slice(first, last - first)
-            for doc, text in zip(some["doc_id"].to_pylist(), tokens.encode([x or "" for x in some["text"].to_pylist()])):
+            for doc, text in zip(some["doc_id"].to_pylist(), tokens.encode(some["text"])):
                 ids.append(doc)
                 held.append(text + end)
                 size += len(text) // 4 + 1

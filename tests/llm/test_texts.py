@@ -122,6 +122,27 @@ def test_token_files_with_null_ids(spark):
             assert sorted(x.tolist() for x in token_binary.document_ids(spark, folder, doc)) == sorted(x for i, x in plain if i == doc)
 
 
+@pytest.mark.parametrize("keep", [1_000_000, 3])
+def test_encoder_cuts_where_no_token_reaches_over(keep):
+    from tokenizers import Tokenizer
+
+    library, mine = Tokenizer.from_file(tokenizer_path()), token_binary.Encoder(tokenizer_path(), keep)
+    texts = ["", " ", "a", "Word, word. word.\nWord\r\n\tword!?  two  ", "\n\n x", "it's don't. 'tis .'s ;'ll", "end<|endoftext|>.<|endoftext|> x<|endoftext|>", "a.b.c@d.e:80/f?g;h,1.5 1,000",
+             "nb\u00a0 sp\u2003 \u3000\n\u0085 x\u200b y", "été. Привет, мир. 日本。 テ ス 한국 말 e\u0301. \U0001F600 ok", "\x00 \x1c\n\x7f .x", "x" * 200 + " " + "y" * 200 + ".", "  lead", "trail \n"]
+    for _ in range(2):
+        got = mine.encode(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encoder_learns_a_word_once():
+    mine = token_binary.Encoder(tokenizer_path())
+    mine.encode(["x word"])
+    asked, ids_of = [], mine.ids_of
+    mine.ids_of = lambda texts: asked.extend(texts) or ids_of(texts)
+    mine.encode(["x word. word, word\n"])
+    assert all("word" not in x for x in asked)
+
+
 def test_token_files_of_an_empty_table(spark):
     folder = common.shared_path(spark, "tokens")
     token_binary.write_tokens(odd(spark).limit(0), folder, tokenizer_path())
