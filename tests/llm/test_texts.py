@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -206,6 +207,30 @@ def test_suffix_array_and_common_prefixes(seed):
         assert shared[b] == n
 
 
+def test_bytes_in_use_per_byte_of_text():
+    make = np.random.default_rng(3)
+    words = [bytes(make.integers(97, 123, n, np.uint8)) for n in make.integers(1, 12, 2000)]
+    rows = [b" ".join(words[k] for k in make.integers(0, 2000, 25)) + b"x" * 100 for _ in range(1500)]
+    data, borders = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    ids = np.arange(len(rows))
+
+    many = np.tile(data, 24)
+    ends = np.concatenate([[0], np.cumsum(np.tile(np.diff(borders), 24))])
+
+    def most(job, size):
+        tracemalloc.start()
+        try:
+            job()
+            return tracemalloc.get_traced_memory()[1] / size
+        finally:
+            tracemalloc.stop()
+
+    assert most(lambda: suffix_dedup.first_places(rows, ids, ids), len(data)) < 68
+    assert most(lambda: suffix_dedup.segments(many, ends, suffix_dedup.GRAM), len(many)) < 8
+    marks = many == 120
+    assert (suffix_dedup.counted_before(marks, ends) == np.concatenate([[0], np.cumsum(marks)])[ends]).all()
+
+
 def test_without_repeats_keeps_columns(spark):
     df = odd(spark)
     out = suffix_dedup.without_repeats(df)
