@@ -13,6 +13,9 @@ The components are cut into slices, and each slice is a list of partial scores p
 Equal vectors are one class with its smallest ids, so that copies of one vector are one entry
 however many there are.  Queries and vectors meet in tiles of bounded size: the queries, a
 stated part of the rows, go to every block of vectors, and no task holds more than two tiles.
+What grows with the rows is joined by shuffles, as tables of vectors take far more room in the
+driver than their files, by which Spark decides what to send to all tasks; one number per
+query may go that way.
 
 Vectors that are null, or hold null or non-finite components, take no part.  Shorter vectors
 are filled up with zeros.  Components beyond 2^62 after scaling, and scores beyond 2^61, count
@@ -63,6 +66,17 @@ def matrix(codes: list[bytes], size: int) -> np.ndarray:
     return np.frombuffer(b"".join(x.ljust(8 * size, b"\0") for x in codes), "<i8").reshape(len(codes), size)
 
 
+def narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold all of them."""
+    most = max(int(numbers.max(initial=0)), -int(numbers.min(initial=0)) - 1)
+    return numbers.astype("<i2" if most < 1 << 15 else "<i4" if most < 1 << 31 else "<i8").tobytes()
+
+
+def widened(body: bytes, rows: int, width: int) -> np.ndarray:
+    """The numbers of :func:`narrow`, as rows."""
+    return np.frombuffer(body, f"<i{len(body) // max(1, rows * width)}").reshape(rows, width).astype("<i8")
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of all rows of one side with all of the other, exactly."""
     most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1])
@@ -76,9 +90,9 @@ def packed(rows: pa.Table, size: int, width: int) -> pa.Table:
     whole = matrix(rows["code"].to_pylist(), size)
     out = []
     for k, low in enumerate(range(0, size, width)):
-        part = np.ascontiguousarray(whole[:, low:low + width])
+        part = whole[:, low:low + width]
         out.append({"slice": k, "block": rows["block"][0].as_py(), "ids": rows["class"].to_numpy().astype("<i8").tobytes(), "least": rows["least"].to_numpy().astype("<i8").tobytes(),
-                    "width": part.shape[1], "body": part.tobytes()})
+                    "width": part.shape[1], "body": narrow(part)})
     return pa.Table.from_pylist(out, schema=pa.schema([("slice", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("least", pa.binary()), ("width", pa.int32()), ("body", pa.binary())]))
 
 
@@ -110,9 +124,9 @@ def scored(batches: Iterator[pa.RecordBatch], k: int | None) -> Iterator[pa.Reco
         for pair in batch.to_pylist():
             width = pair["width"]
             names, least = (np.frombuffer(pair[c], "<i8") for c in ("ids", "least"))
-            vectors = np.frombuffer(pair["body"], "<i8").reshape(len(names), width)
+            vectors = widened(pair["body"], len(names), width)
             asking, share = (np.frombuffer(pair[c], "<i8") for c in ("q_ids", "q_least"))
-            queries = np.frombuffer(pair["q_body"], "<i8").reshape(len(asking), width)
+            queries = widened(pair["q_body"], len(asking), width)
             for low in range(0, len(asking), QUERIES):
                 some = slice(low, low + QUERIES)
                 scores = products(queries[some], vectors)
@@ -130,11 +144,17 @@ def whole_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["query"], batch["class"], pa.array(score, pa.int64())], names=["query", "class", "score"])
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, for a join that sends neither side through the driver."""
+    return df.hint("merge")
+
+
 def met(queries: DataFrame, vectors: DataFrame, blocks: int, k: int | None) -> DataFrame:
     """Every block of queries against every block of vectors, slice by slice."""
-    asking = queries.select("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
+    asking = queries.repartition(queries.sparkSession.sparkContext.defaultParallelism)  # each tile is copied once per block
+    asking = asking.select("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
                             F.col("ids").alias("q_ids"), F.col("least").alias("q_least"), F.col("body").alias("q_body"))
-    return vectors.join(asking, ["slice", "block"]).mapInArrow(partial(scored, k=k), FOUND)
+    return asking.join(shuffled(vectors), ["slice", "block"]).mapInArrow(partial(scored, k=k), FOUND)
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vector: str = "embedding", scale: float = 256.0, slices: int = 2) -> DataFrame:
@@ -156,7 +176,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
         def resolved(pairs: DataFrame) -> DataFrame:
             """Scores in full."""
             q = classes.select(F.col("class").alias("query"), F.col("code").alias("q_code"))
-            return pairs.join(classes.select("class", "code"), "class").join(q, "query").select("query", "class", "q_code", "code").mapInArrow(whole_scores, "query long, class long, score long")
+            return pairs.join(shuffled(classes.select("class", "code")), "class").join(shuffled(q), "query").select("query", "class", "q_code", "code").mapInArrow(whole_scores, "query long, class long, score long")
 
         def nth(scores: DataFrame, name: str) -> DataFrame:
             """The ``more``-th best score of each query, or its lowest if it has fewer."""
@@ -172,30 +192,31 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
 
         # 2: all entries from the share on
         share = F.expr(f"cut div {lists} + IF(cut > 0 AND cut % {lists} <> 0, 1, 0)")  # the quotient, rounded up
-        second, _ = tiles(asking.join(cutoff, asking["class"] == cutoff["query"]).select("class", share.alias("least"), "code"), size, width)
+        second, _ = tiles(asking.join(shuffled(cutoff), asking["class"] == cutoff["query"]).select("class", share.alias("least"), "code"), size, width)
         found = written(met(second, data, blocks, None).groupBy("query", "class").agg(F.sum("part").alias("score"), F.count("*").alias("_lists")), "found")
         complete = found.where(F.col("_lists") == lists).select("query", "class", "score")
-        raised = nth(complete, "raised").where(F.col("_have") == more).select("query", "raised")
+        raised = written(nth(complete, "raised").where(F.col("_have") == more).select("query", "raised"), "raised")
 
         # 3: what could still reach the cutoff
         short = found.where(F.col("_lists") < lists).join(cutoff, "query").join(raised, "query", "left")
         open_ = short.where(F.col("score") + (F.lit(lists) - F.col("_lists")) * (share - 1) >= F.greatest("cut", F.coalesce("raised", "cut"))).select("query", "class")
-        ranked = complete.unionByName(resolved(open_)).join(classes.select("class", "least"), "class")
+        hopeful = complete.unionByName(resolved(open_)).join(raised, "query", "left").where(F.col("score") >= F.coalesce("raised", "score"))
+        ranked = hopeful.join(shuffled(classes.select("class", "least")), "class")
         place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "least", "class"))
         best = written(ranked.withColumn("_n", place).where(F.col("_n") <= more).select("query", "class", "score"), "best")
 
     # from classes to rows: the smallest keys of a class are enough
     of_class = Window.partitionBy("code").orderBy(F.col("key").asc_nulls_last())
     members = rows.withColumn("_m", F.row_number().over(of_class)).where(F.col("_m") <= more)
-    members = members.join(classes.select("class", "code"), "code").select("class", "key", "_m")
+    members = members.join(shuffled(classes.select("class", "code")), "code").select("class", "key", "_m")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.col("key").asc_nulls_last(), "class", "_m"))
-    listed = best.join(members, "class").withColumn("_n", place).where(F.col("_n") <= more)
+    listed = best.join(shuffled(members), "class").withColumn("_n", place).where(F.col("_n") <= more)
     entry = F.struct("_n", "key", "score", (F.col("class") == F.col("query")).alias("same"))
     listed = listed.groupBy("query").agg(F.sort_array(F.collect_list(entry)).alias("list"))  # at most ``more`` entries
-    asked = rows.where(asks).join(asking.select("code", F.col("class").alias("query")), "code").select(F.col("key").alias("query_id"), "query")
+    asked = rows.where(asks).join(shuffled(asking.select("code", F.col("class").alias("query"))), "code").select(F.col("key").alias("query_id"), "query")
     own = F.coalesce(F.array_position(F.transform("list", lambda x: x["same"] & x["key"].eqNullSafe(F.col("query_id"))), True), F.lit(0))
     rest = F.filter("list", lambda x, i: i + 1 != F.col("own"))
-    out = asked.join(listed, "query").withColumn("own", own).select("query_id", F.posexplode(F.slice(rest, 1, k)).alias("rank", "hit"))
+    out = asked.join(shuffled(listed), "query").withColumn("own", own).select("query_id", F.posexplode(F.slice(rest, 1, k)).alias("rank", "hit"))
     return out.select("query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.key").alias(key), F.col("hit.score").alias("score"))
 
 

@@ -1,6 +1,7 @@
 """Exact top-k search against all products."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -80,6 +81,31 @@ def test_cutoff_spares_most_entries(spark, monkeypatch):
     assert seen[1] < 0.6 * 20 * 2000 * 2
 
 
+def test_tables_of_vectors_stay_out_of_the_driver(spark, monkeypatch):
+    """All of them are small enough to be sent to all tasks; only a number per query is."""
+    monkeypatch.setattr(exact_topk, "BYTES", 8 * 8 * 20)
+    plans, real = [], exact_topk.written
+
+    def spied(df, name):
+        plans.append(df)
+        return real(df, name)
+
+    monkeypatch.setattr(exact_topk, "written", spied)
+    rows = list(enumerate(vectors(np.random.default_rng(3), 90, 8)))
+    df = spark.createDataFrame([(key, vector, "x") for key, vector in rows], SCHEMA)
+    plans.append(exact_topk.top_k(df, every=5))
+    sent = [line for x in plans for line in x._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in line]
+    assert all(re.search(r"BroadcastHashJoin \[query#\d+L\], \[query#\d+L\], (Inner|LeftOuter)", x) for x in sent) and len(sent) <= 3
+    joins = [x for x in plans if "SortMergeJoin" in x._jdf.queryExecution().executedPlan().toString()]
+    assert len(joins) >= 4
+
+
+def test_numbers_of_tiles():
+    for least, most, size in ((-3, 90, 2), (-(1 << 15), (1 << 15) - 1, 2), (0, 1 << 15, 4), (-(1 << 31) - 1, 0, 8), (-(1 << 62), 1 << 62, 8)):
+        numbers = np.array([[least, 0, most], [most, least, 1]], "<i8")
+        assert len(exact_topk.narrow(numbers)) == 6 * size and (exact_topk.widened(exact_topk.narrow(numbers), 2, 3) == numbers).all()
+
+
 def test_query(spark, tmp_path):
     rows = list(enumerate(vectors(np.random.default_rng(9), 120, 8)))
     spark.createDataFrame([(k, v, "x") for k, v in rows], SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
