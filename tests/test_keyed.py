@@ -238,3 +238,76 @@ def test_pairs_in_arrival_order_over_batches(spark, files, tmp_path):
     want = pair_up(rows)
     missing = sorted(set(want) - set(got), key=str)
     assert set(got) <= set(want) and all(None in pair for pair in missing) and len(missing) <= 4  # one waiting event per key at most
+
+
+def waits_and_pairs(batches, timeout, retention):
+    """What each micro-batch emits, key by key and event by event; ``batches``: lists of ``(seq, key, side, ms)``."""
+    waiting, out, marks, newest = {}, [], [0, 0], {}
+    for batch in [*batches, [], []]:
+        emitted = []
+        for seq, key, side, ms in sorted(batch, key=lambda event: event[0]):
+            if timeout is not None and ms <= marks[-2]:
+                continue  # behind the watermark of the batch before
+            held = waiting.pop(key, None)
+            if held is not None and held[0] != side:
+                times = {side: ms, held[0]: held[1]}
+                late = timeout is not None and abs(ms - held[1]) > timeout
+                emitted.append((key, times["left"], times["right"], "matched_late" if late else "matched"))
+                continue
+            if held is not None and not held[2]:
+                emitted.append((key, *((held[1], None) if held[0] == "left" else (None, held[1])), f"{held[0]}_only"))
+            waiting[key] = (side, ms, False)
+        for key, (side, ms, reported) in list(waiting.items()) if timeout is not None else ():
+            if not reported and ms + timeout < marks[-1]:
+                emitted.append((key, *((ms, None) if side == "left" else (None, ms)), f"{side}_only"))
+                waiting[key] = (side, ms, True)
+            elif reported and retention is not None and ms + retention < marks[-1]:
+                del waiting[key]
+        out.append(emitted)
+        for _, _, side, ms in batch:
+            newest[side] = max(newest.get(side, 0), ms)
+        marks.append(max(marks[-1], min(newest.values())) if len(newest) == 2 else marks[-1])
+    return sorted((x for emitted in out for x in emitted), key=str)
+
+
+@pytest.mark.parametrize("timeout, retention", [(None, None), (4000, None), (4000, 9000)])
+def test_timers_over_many_batches(spark, files, tmp_path, monkeypatch, timeout, retention):
+    """Late events, repeated and null keys, events without a partner; entries of the store fill up and double."""
+    from eventlab.streaming import timers
+
+    monkeypatch.setattr(timers, "PARTS", 4)
+    monkeypatch.setattr(timers, "HELD", 3)
+    schema, batches = "k string, ts timestamp, seq bigint", []
+    for b in range(5):
+        rows = [(b * 100 + i, None if i == 77 else f"k{(i * 31 + b * 17) % 83}", "left" if i * 7 % 11 < 6 else "right", b * 3000 + i * 613 % 5000 + 10_000) for i in range(78)]
+        batches.append([*rows, (b * 100 + 90, f"old{b}", "left", 9000), (b * 100 + 91, f"old{b}", "right", 9500)])
+
+    def side(name):
+        tables = [spark.createDataFrame([(k, at(ms), seq) for seq, k, s, ms in batch if s == name], schema).coalesce(1) for batch in batches]
+        return readers.stream_parquet(spark, files(name, tables), schema, 1)
+
+    span = [None if x is None else timedelta(milliseconds=x) for x in (timeout, retention)]
+    got = utc(finish(reconcile_with_timers(side("left"), side("right"), "k", "ts", span[0], retention=span[1], seq="seq"), tmp_path).select("key", "left_ts", "right_ts", "status"))
+    want = waits_and_pairs(batches, timeout, retention)
+    assert sorted(got, key=str) == want and len(want) > 100
+
+
+def test_keys_share_calls_and_state(spark, tmp_path, monkeypatch):
+    """900 keys of which a third waits: a call takes many of them, and so does an entry of the store; times may be far away or missing."""
+    from eventlab.streaming import timers
+
+    monkeypatch.setattr(timers, "PARTS", 8)
+    schema = "k string, ts timestamp"
+
+    def side(name, rows):  # pandas can't write times so far away
+        df = spark.createDataFrame(rows, "k string, day bigint")
+        df.select("k", F.timestamp_millis(F.col("day") * 86_400_000).alias("ts")).coalesce(1).write.parquet(str(tmp_path / name))
+        return readers.stream_parquet(spark, str(tmp_path / name), schema)
+
+    sides = (side("left", [*((f"k{i}", 1) for i in range(900)), ("far", 2_900_000), ("none", None)]),
+             side("right", [*((f"k{i}", 2) for i in range(600)), ("end", 2_900_000), ("none", 1)]))
+    out = finish(reconcile_with_timers(*sides, "k", "ts", timedelta(days=30)), tmp_path)
+    counts = {r["status"]: r["count"] for r in out.groupBy("status").count().collect()}
+    assert counts == {"matched": 600, "left_only": 300, "right_only": 1}
+    state = spark.read.format("statestore").option("stateVarName", "waiting").option("batchId", 0).load(str(tmp_path / "checkpoint"))
+    assert 0 < state.count() <= 32  # entries, for 303 waiting events
